@@ -58,6 +58,13 @@ SELECT c_custkey AS id, CAST(c_custkey % 2 AS INT) AS treatment, CAST(CASE WHEN
     "b_scored": """
 SELECT c_custkey AS id, CAST(CASE WHEN c_acctbal < 2000 THEN 1 ELSE 0 END AS INT) AS y,
  CAST((c_custkey*7919) % 1000 AS DOUBLE)/1000 AS p, CAST(floor(abs(c_acctbal)) AS DOUBLE)/100 AS MonthlyCharges FROM {customer}""",
+    # One driver per customer, named after a feature, and five signed contributions.
+    "b_drivers": """
+SELECT c_custkey AS id, CAST((c_custkey*7919) % 1000 AS DOUBLE)/1000 AS churn_probability,
+ concat(CASE c_custkey % 9 WHEN 0 THEN 'num__songs_played_avg' WHEN 1 THEN 'cat__PaymentMethod_' WHEN 2 THEN 'num__days_since_last_' WHEN 3 THEN 'num__tenure'
+  WHEN 4 THEN 'num__MonthlyCharges' WHEN 5 THEN 'cat__TechSupport_' WHEN 6 THEN 'num__num_unq_' WHEN 7 THEN 'cat__Contract_' ELSE 'x_' END, lower(c_mktsegment)) AS feature,
+ CAST((c_custkey*31) % 201 - 100 AS DOUBLE)/100 AS v0, CAST((c_custkey*57) % 181 - 90 AS DOUBLE)/100 AS v1, CAST((c_custkey*83) % 161 - 80 AS DOUBLE)/100 AS v2,
+ CAST((c_custkey*11) % 221 - 110 AS DOUBLE)/100 AS v3, CAST((c_custkey*19) % 191 - 95 AS DOUBLE)/100 AS v4 FROM {customer}""",
     "b_telco": """
 SELECT CAST(c_custkey AS STRING) AS customerID,
  CASE WHEN c_custkey % 2 = 0 THEN 'Male' ELSE 'Female' END AS gender,

@@ -15,13 +15,12 @@ def fit_bill_cutoffs(df: DataFrame) -> DataFrame:
     return q.select(F.col("MonthlyCharges")[0].alias("p75"), F.col("MonthlyCharges")[1].alias("median"))
 
 
-def _cutoff_columns(cutoffs) -> tuple[Column, Column]:
-    """Cut-offs as columns: from a fitted one-row frame, or from plain (p75, median) numbers."""
+def _cutoffs(cutoffs) -> Column:
+    """Cut-offs as a struct: from a fitted one-row frame, or from plain (p75, median) numbers."""
     if isinstance(cutoffs, DataFrame):
-        row = cutoffs.select(F.struct("p75", "median").alias("q")).scalar()
-        return row.getField("p75"), row.getField("median")
+        return cutoffs.select(F.struct("p75", "median").alias("q")).scalar()
     p75, median = cutoffs
-    return F.lit(float(p75)), F.lit(float(median))
+    return F.struct(F.lit(float(p75)).alias("p75"), F.lit(float(median)).alias("median"))
 
 
 def engineer_telco(df: DataFrame, cutoffs=None) -> DataFrame:
@@ -83,8 +82,8 @@ def engineer_telco(df: DataFrame, cutoffs=None) -> DataFrame:
         new["senior_citizen"] = c("SeniorCitizen").cast("int")
 
     if "MonthlyCharges" in have:
-        p75, median = _cutoff_columns(fit_bill_cutoffs(df) if cutoffs is None else cutoffs)
-        bill = c("MonthlyCharges")
+        df = df.withColumn("_bill", _cutoffs(fit_bill_cutoffs(df) if cutoffs is None else cutoffs))
+        bill, p75, median = c("MonthlyCharges"), c("_bill.p75"), c("_bill.median")
         new["high_bill"] = flag(bill > p75)
         if "tenure" in have:
             new["low_tenure_high_bill"] = flag((c("tenure") <= 12) & (bill > median))
@@ -95,4 +94,4 @@ def engineer_telco(df: DataFrame, cutoffs=None) -> DataFrame:
     if support is not None and monthly_contract is not None:
         new["month_to_month_no_support"] = flag(monthly_contract & (support == 0))
 
-    return df.withColumns(new) if new else df
+    return df.withColumns(new).drop("_bill") if new else df

@@ -99,20 +99,21 @@ def counts_by_category(df: DataFrame, columns: list[str], label: str | None = No
 
 def histogram(df: DataFrame, column: str, bins: int, by: str | None = None) -> DataFrame:
     """Counts per equal-width bin over the column's range; the maximum falls in the last bin."""
-    value = F.col(column).cast("double")
-    ends = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi")).alias("ends")).scalar()
-    lo, hi = ends.getField("lo"), ends.getField("hi")
-    width = (hi - lo) / bins
+    value, lo, hi = F.col("_value"), F.col("_ends.lo"), F.col("_ends.hi")
+    ends = df.agg(F.struct(F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi")).alias("ends"))
     index = F.when(hi == lo, F.lit(0)).otherwise(
         F.least(F.floor((value - lo) * bins / F.nullif(hi - lo, F.lit(0.0))), F.lit(bins - 1))
     ).cast("int")
     keys = [F.col(by)] if by else []
-    return (
-        df.filter(value.isNotNull())
+    edges = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), ends.scalar().alias("_ends"))
+    edges = edges.select("bin", (lo + F.col("bin") * (hi - lo) / bins).alias("bin_start"), (lo + (F.col("bin") + 1) * (hi - lo) / bins).alias("bin_end"))
+    counts = (
+        df.filter(F.col(column).isNotNull())
+        .withColumns({"_value": F.col(column).cast("double"), "_ends": ends.scalar()})
         .groupBy(*keys, index.alias("bin"))
         .agg(F.count("*").alias("n"))
-        .withColumns({"bin_start": lo + F.col("bin") * width, "bin_end": lo + (F.col("bin") + 1) * width})
     )
+    return counts.join(F.broadcast(edges), "bin")  # one row per bin
 
 
 def describe_columns(df: DataFrame, columns: list[str], percentiles: list[float] = (0.5, 0.75, 0.9, 0.95, 0.99)) -> DataFrame:

@@ -1,8 +1,8 @@
 """Exact order statistics without collecting a column in one task.
 
 ``percentile`` keeps every distinct value in its final task. Here one pass brackets each wanted
-rank with ``percentile_approx`` (its rank error has a proven bound), a second counts the values
-below each bracket, and only the few values inside a bracket are grouped, shuffled and ranked.
+rank with ``percentile_approx`` (its rank error has a proven bound); a second folds everything
+below a bracket into one count per task and shuffles only the few values inside it.
 """
 
 from __future__ import annotations
@@ -19,83 +19,53 @@ SMALL_COUNT = 10_000
 
 
 def _order_statistics(df: DataFrame, series: dict[str, Column], wanted: list[tuple], dtype: str) -> DataFrame:
-    """Rows (target, low_value, high_value, fraction) for each wanted rank.
+    """Rows (target, low_value, high_value, fraction): target i is the i-th entry of ``wanted``.
 
     ``wanted`` lists (series name, probability, rank): the 0-based rank as given, or, when None,
     rank (n-1)*probability, which may fall between two values.
     """
     names = list(series)
-    df = df.select(*[series[name].cast(dtype).alias(name) for name in names])
-    targets = [
-        (i, names.index(name), name, p, rank) for i, (name, p, rank) in enumerate(wanted)
-    ]
-
-    def bracket(name: str) -> Column:
-        ends = [e for _, _, n, p, _ in targets if n == name
-                for e in (max(p - SLACK, 0.0), min(p + SLACK, 1.0))]
-        return F.struct(
-            F.count(name).alias("n"),
-            F.percentile_approx(name, F.array(*map(F.lit, ends)), F.lit(ACCURACY)).alias("ends"),
-        ).alias(name)
-
-    fitted = df.agg(*[bracket(name) for name in names])
-
-    def limits(t) -> list[Column]:
-        _, _, name, p, _ = t
-        position = 2 * [x[0] for x in targets if x[2] == name].index(t[0])
-        n = F.col(f"{name}.n")
-        lo = F.when((n > SMALL_COUNT) & (F.lit(p) > SLACK), F.col(f"{name}.ends")[position])
-        hi = F.when((n > SMALL_COUNT) & (F.lit(p) < 1 - SLACK), F.col(f"{name}.ends")[position + 1])
-        return [n.alias("n"), lo.alias("lo"), hi.alias("hi")]
-
-    limit_row = fitted.select(F.struct(*[F.struct(*limits(t)).alias(f"t{t[0]}") for t in targets]).alias("limits"))
-    bounded = df.withColumn("limits", limit_row.scalar())
-
-    def bound(t, which: str) -> Column:
-        return F.col(f"limits.t{t[0]}.{which}")
-
-    def is_below(t) -> Column:
-        return F.coalesce(F.col(t[2]) < bound(t, "lo"), F.lit(False))
-
-    below = bounded.agg(
-        F.array(*[F.count_if(is_below(t)) for t in targets]).alias("below"),
-    )
+    pairs = [F.struct(F.lit(i).alias("series"), series[n].cast(dtype).alias("value")) for i, n in enumerate(names)]
+    values = df.select(F.explode(F.array(*pairs)).alias("v")).select("v.series", "v.value").filter(F.col("value").isNotNull())
 
-    def is_inside(t) -> Column:
-        value = F.col(t[2])
-        return (
-            value.isNotNull()
-            & F.coalesce(value >= bound(t, "lo"), F.lit(True))
-            & F.coalesce(value <= bound(t, "hi"), F.lit(True))
+    ends = sorted({e for _, p, _ in wanted for e in (max(p - SLACK, 0.0), min(p + SLACK, 1.0))})
+    fitted = values.groupBy("series").agg(
+        F.count("*").alias("n"),
+        F.percentile_approx("value", F.array(*map(F.lit, ends)), F.lit(ACCURACY)).alias("ends"),
+    )
+    targets = F.array(*[
+        F.struct(
+            F.lit(i).alias("target"), F.lit(names.index(name)).alias("series"),
+            F.lit(float(p)).alias("p"), F.lit(rank).cast("double").alias("rank"),
+            F.lit(ends.index(max(p - SLACK, 0.0)) if p > SLACK else None).cast("int").alias("lo"),
+            F.lit(ends.index(min(p + SLACK, 1.0)) if p < 1 - SLACK else None).cast("int").alias("hi"),
         )
-
-    candidates = F.array(*[
-        F.when(is_inside(t), F.struct(F.lit(t[0]).alias("target"), F.col(t[2]).alias("value"), bound(t, "n").alias("n")))
-        for t in targets
+        for i, (name, p, rank) in enumerate(wanted)
     ])
-    inside = (
-        bounded.select(F.explode(F.array_compact(candidates)).alias("c"))
-        .groupBy("c.target", "c.value", "c.n")
-        .agg(F.count("*").alias("rows"))
+    whole = F.col("n") <= SMALL_COUNT
+    brackets = (
+        fitted.withColumn("t", F.explode(targets)).filter(F.col("series") == F.col("t.series"))
+        .select(
+            "series", "t.target",
+            F.coalesce("t.rank", (F.col("n") - 1) * F.col("t.p")).alias("rank"),
+            F.when(~whole, F.get("ends", F.col("t.lo"))).alias("lo"),
+            F.when(~whole, F.get("ends", F.col("t.hi"))).alias("hi"),
+        )
     )
 
-    rank_of = F.lit(None).cast("double")
-    for i, _, _, p, rank in targets:
-        this = (F.col("n") - 1) * F.lit(float(p)) if rank is None else F.lit(float(rank))
-        rank_of = F.when(F.col("target") == i, this).otherwise(rank_of)
-
-    # Window per target over the distinct values of its bracket only.
-    by_value = Window.partitionBy("target").orderBy("value")
-    placed = (
-        inside.withColumn("last", F.sum("rows").over(by_value) - 1)
-        .withColumn("below", F.get(below.select("below").scalar(), F.col("target")))
-        .withColumn("last", F.col("last") + F.col("below"))
-        .withColumn("first", F.col("last") - F.col("rows") + 1)
-        .withColumn("rank", rank_of)
+    value, lo, hi = F.col("value"), F.col("lo"), F.col("hi")
+    counted = (
+        values.join(F.broadcast(brackets), "series")  # one row per target
+        .filter(hi.isNull() | (value <= hi))
+        .groupBy("target", "rank", F.when(lo.isNull() | (value >= lo), value).alias("value"))
+        .agg(F.count("*").alias("rows"))
     )
+    # Per target: one row for all below its bracket, and the distinct values inside it.
+    upward = Window.partitionBy("target").orderBy(F.col("value").asc_nulls_first())
+    placed = counted.withColumn("last", F.sum("rows").over(upward) - 1).withColumn("first", F.col("last") - F.col("rows") + 1)
 
     def at(position: Column) -> Column:
-        return F.max(F.when(position.between(F.col("first"), F.col("last")), F.col("value")))
+        return F.max(F.when(position.between(F.col("first"), F.col("last")), value))
 
     found = placed.groupBy("target").agg(
         at(F.floor("rank")).alias("low_value"),
@@ -103,17 +73,22 @@ def _order_statistics(df: DataFrame, series: dict[str, Column], wanted: list[tup
         F.max(F.col("rank") - F.floor("rank")).alias("fraction"),
     )
     # A rank outside its bracket would break the sketch's guarantee: fail rather than guess.
+    complete = F.col("low_value").isNotNull() & F.col("high_value").isNotNull()
     return found.withColumn(
         "low_value",
-        F.when(F.col("low_value").isNotNull() & F.col("high_value").isNotNull(), F.col("low_value"))
-        .otherwise(F.raise_error(F.lit("quantile bracket missed its rank")).cast(dtype)),
+        F.when(complete, F.col("low_value")).otherwise(F.raise_error(F.lit("quantile bracket missed its rank")).cast(dtype)),
     )
 
 
+def _one_row(found: DataFrame, value: Column) -> DataFrame:
+    """All targets of ``found`` as a map in one row."""
+    return found.agg(F.map_from_entries(F.collect_list(F.struct("target", value))).alias("m"))
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
     """One row; per column an array of exact linearly interpolated quantiles, NULL/NaN ignored.
 
-    ``df`` is read three times with only ``columns``: materialise it first when it is costly.
+    ``df`` is read twice with only ``columns``: materialise it first when it is costly.
     """
     probabilities = [float(p) for p in probabilities]
     series = {
@@ -121,24 +96,19 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
         for name in columns
     }
     wanted = [(name, p, None) for name in columns for p in probabilities]
-    found = _order_statistics(df, series, wanted, "double").select(
-        "target",
-        (F.col("low_value") + (F.col("high_value") - F.col("low_value")) * F.col("fraction")).alias("q"),
-    )
+    low, high = F.col("low_value"), F.col("high_value")
+    row = _one_row(_order_statistics(df, series, wanted, "double"), low + (high - low) * F.col("fraction"))
     k = len(probabilities)
-    return found.agg(*[
-        F.array(*[F.max(F.when(F.col("target") == i * k + j, F.col("q"))) for j in range(k)]).alias(name)
-        for i, name in enumerate(columns)
+    return row.select(*[
+        F.array(*[F.try_element_at("m", F.lit(i * k + j)) for j in range(k)]).alias(name) for i, name in enumerate(columns)
     ])
 
 
 def exact_ranks(df: DataFrame, series: dict[str, Column], wanted: list[tuple[str, int, int]]) -> DataFrame:
     """One row of BIGINTs, one per wanted (series, 0-based rank, series row count), as r0, r1, ..."""
     targets = [(name, rank / max(n - 1, 1), rank) for name, rank, n in wanted]
-    found = _order_statistics(df, series, targets, "bigint")
-    return found.agg(*[
-        F.max(F.when(F.col("target") == i, F.col("low_value"))).alias(f"r{i}") for i in range(len(wanted))
-    ])
+    row = _one_row(_order_statistics(df, series, targets, "bigint"), F.col("low_value"))
+    return row.select(*[F.try_element_at("m", F.lit(i)).alias(f"r{i}") for i in range(len(wanted))])
 
 
 def fit_caps(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -154,10 +124,11 @@ def apply_caps(df: DataFrame, caps: DataFrame) -> DataFrame:
 
     def clipped(name: str) -> Column:
         value = F.col(name).try_cast("double")
-        pair = row.getField(name)
+        pair = F.col("_caps").getField(name)
         return F.when(value.isNotNull(), F.least(F.greatest(value, pair[0]), pair[1]))
 
-    return df.withColumns({f"{c}_capped": clipped(c) for c in caps.columns if c in df.columns})
+    capped = {f"{c}_capped": clipped(c) for c in caps.columns if c in df.columns}
+    return df.withColumn("_caps", row).withColumns(capped).drop("_caps")
 
 
 def add_capped_columns(df: DataFrame) -> DataFrame:

@@ -367,7 +367,7 @@ def assemble_features(labels: DataFrame, members: DataFrame, transactions: DataF
     The feature frames already sit hash-partitioned by user, so Spark exchanges only the labels
     and members; the one-row anchor comes in as a scalar subquery.
     """
-    day = anchor.select("feature_anchor_date").scalar()
+    day = F.col("_anchor")
     joined = (
         labels.join(members.withColumn("_member", F.lit(1)), "msno", "left")
         .join(transactions, "msno", "left")
@@ -375,9 +375,10 @@ def assemble_features(labels: DataFrame, members: DataFrame, transactions: DataF
     )
     stds = [c for c in logs.columns if c.endswith("_std")]
     return (
-        joined.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in stds})
+        joined.withColumn("_anchor", anchor.select("feature_anchor_date").scalar())
+        .withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in stds})
         .withColumns({**recency_columns(day), **latest_versus_average_columns(), **status_columns(day)})
-        .drop("_member")
+        .drop("_member", "_anchor")
     )
 
 
