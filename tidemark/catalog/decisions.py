@@ -244,7 +244,7 @@ def k2_top25(spark, sf):
 
 
 @query("d12_business_insights", _DECIDED + ",\n" + _KPIS + f""",
-themes AS (SELECT {theme_sql('feature')} AS driver_theme, count(*) AS n FROM ({cte('b_drivers').split(' AS (', 1)[1].rsplit(')', 1)[0]}) drivers GROUP BY 1),
+themes AS (SELECT {theme_sql('feature')} AS driver_theme, count(*) AS n FROM ({cte('b_drivers').split(' AS (', 1)[1].rsplit(')', 1)[0]}) drivers WHERE churn_probability >= 0.5 GROUP BY 1),
 top AS (SELECT driver_theme FROM themes ORDER BY n DESC, driver_theme LIMIT 1)
 SELECT 0 AS line, high_risk_count || ' customers are above the current intervention threshold.' AS insight FROM kpis
 UNION ALL SELECT 1, 'Estimated near-term revenue at risk (high-risk only): $' || format('{{:,.0f}}', revenue_at_risk) || '.' FROM kpis
@@ -252,5 +252,6 @@ UNION ALL SELECT 2, 'Portfolio-wide expected churn loss: $' || format('{{:,.0f}}
 UNION ALL SELECT 3, 'Average value of a high-risk customer: $' || format('{{:,.0f}}', avg_value_high_risk) || '.' FROM kpis
 UNION ALL SELECT 4, 'The most common driver theme among high-risk customers is ' || driver_theme || '.' FROM top""")
 def d12_business_insights(spark, sf):
-    themes = bind(spark, sf, "b_drivers").groupBy(feature_theme(F.col("feature")).alias("driver_theme")).agg(F.count("*").alias("n"))
+    themed = bind(spark, sf, "b_drivers").withColumn("primary_driver_theme", feature_theme(F.col("feature")))
+    themes = r.theme_counts(themed, 0.5)
     return r.business_insights(r.business_kpis(_valued(spark, sf), 0.5), themes)

@@ -1 +1,199 @@
-"""stub"""
+"""MLlib queries. Model outputs have no SQL counterpart; their preprocessing does where exact."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from ..operators import models as m
+from ..operators import subscription as sub
+from ..operators.explain import driver_columns, mean_absolute, tree_attributions
+from ..operators.profile import user_profile
+from ..plans.score import score_batch
+from ..plans.train import assemble_dataset, load_run, train_champion, tune
+from ..session import fresh_path
+from ..streaming.scoring import read_requests, start_scoring
+from .bindings import bind, cte, table
+from .registry import query, rounded, rounded_sql
+
+# Fewer, faster-learning trees than the 400-tree default keep a run to seconds.
+_TREES = {"n_estimators": 10, "learning_rate": 0.3}
+CONFIG = {
+    "data": {"dataset_type": "telco"},
+    "split": {"train_size": 0.70, "dev_size": 0.15, "random_state": 42},
+    "models": {"logistic_regression": {"max_iter": 30}, "boosted_shallow": _TREES, "boosted_leafy": {**_TREES, "num_leaves": 16}},
+}
+
+
+def dataset(spark, sf) -> m.Dataset:
+    return assemble_dataset(bind(spark, sf, "b_telco"), CONFIG, f"{sf}/customer.parquet")
+
+
+def _fitted(spark, sf):
+    """(dataset, preprocessor model, all rows with their feature vector)."""
+    data = dataset(spark, sf)
+    rows = m.prepared(data.frame, data)
+    fitted = m.preprocessor(data.numeric, data.categorical).fit(rows.filter("split = 'train'"))
+    return data, fitted, fitted.transform(rows).select(data.id_col, "split", m.LABEL, m.WEIGHT, "features")
+
+
+@query("m1_median_impute")
+def m1_median_impute(spark, sf):
+    df = bind(spark, sf, "b_telco").select("customerID", F.trim("TotalCharges").try_cast("double").alias("TotalCharges"))
+    fitted = m.preprocessor(["TotalCharges"], []).fit(df)
+    return fitted.transform(df).select("customerID", F.col("TotalCharges__filled").alias("TotalCharges"))
+
+
+@query("m2_standardise", rounded_sql("WITH " + cte("b_telco") + """
+--SELECT
+SELECT customerID, (MonthlyCharges - avg(MonthlyCharges) OVER ()) / stddev_samp(MonthlyCharges) OVER () AS charge, (tenure - avg(tenure) OVER ()) / stddev_samp(tenure) OVER () AS months FROM b_telco""", ["charge", "months"]))
+def m2_standardise(spark, sf):
+    df = bind(spark, sf, "b_telco").select("customerID", "MonthlyCharges", F.col("tenure").cast("double").alias("tenure"))
+    out = m.preprocessor(["MonthlyCharges", "tenure"], []).fit(df).transform(df).withColumn("x", vector_to_array("features"))
+    return rounded(out.select("customerID", F.col("x")[0].alias("charge"), F.col("x")[1].alias("months")), ["charge", "months"])
+
+
+@query("m3_one_hot", "WITH " + cte("b_telco") + "\nSELECT customerID, 'cat__Contract_' || Contract AS slot FROM b_telco UNION ALL SELECT customerID, 'cat__PaymentMethod_' || coalesce(PaymentMethod, '__missing__') FROM b_telco")
+def m3_one_hot(spark, sf):
+    df = sub.fill_categories(bind(spark, sf, "b_telco"), ["Contract", "PaymentMethod"])
+    fitted = m.preprocessor([], ["Contract", "PaymentMethod"]).fit(df)
+    names = F.array(*map(F.lit, m.feature_names(fitted)))
+    out = fitted.transform(df).select("customerID", F.posexplode(vector_to_array("features")).alias("i", "hot"))
+    return out.filter("hot > 0").select("customerID", F.get(names, F.col("i")).alias("slot"))
+
+
+@query("m4_preprocessor")
+def m4_preprocessor(spark, sf):
+    _, _, ready = _fitted(spark, sf)
+    return ready.select("customerID", "split", vector_to_array("features").alias("features"))
+
+
+@query("m5_logistic")
+def m5_logistic(spark, sf):
+    _, _, ready = _fitted(spark, sf)
+    train = ready.filter("split = 'train'")
+    model = m.logistic(train.count(), 30).fit(train)
+    return m.scored(model, ready).select("customerID", m.LABEL, m.SCORE)
+
+
+@query("m6_boosted_trees")
+def m6_boosted_trees(spark, sf):
+    _, _, ready = _fitted(spark, sf)
+    model = m.boosted_trees({**_TREES, "max_depth": 4}).fit(ready.filter("split = 'train'"))
+    return m.scored(model, ready).select("customerID", m.LABEL, m.SCORE)
+
+
+@query("m7_train_champion")
+def m7_train_champion(spark, sf):
+    result = train_champion(spark, dataset(spark, sf), CONFIG)
+    return result["test_metrics"].withColumn("champion", F.lit(result["champion"]))
+
+
+@query("m8_random_search")
+def m8_random_search(spark, sf):
+    split = m.prepare_split(dataset(spark, sf))
+    try:
+        space = {"n_estimators": ("int", 3, 6), "max_depth": ("int", 2, 4)}
+        trials, _ = m.random_search(split, "boosted_shallow", n_trials=3, space=space)
+    finally:
+        split.release()
+    return trials.withColumn("params", F.to_json("params"))
+
+
+@query("m9_tuned_champion")
+def m9_tuned_champion(spark, sf):
+    """Tune, then train with the tuned parameters merged into the config."""
+    directory = fresh_path(spark, "tuned")
+    cfg = {**CONFIG, "tuning": {"algorithm": "boosted_shallow", "n_trials": 2}, "candidates": ["logistic_regression", "boosted_shallow"]}
+    data = dataset(spark, sf)
+    tune(spark, data, cfg, directory, {"n_estimators": ("int", 3, 6), "max_depth": ("int", 2, 4)})
+    return train_champion(spark, data, cfg, directory)["candidates"]
+
+
+@query("m10_two_model_uplift")
+def m10_two_model_uplift(spark, sf):
+    scored, _, _ = m.two_model_uplift(bind(spark, sf, "b_experiment"), ["propensity", "score"])
+    return scored.select("id", "uplift_score")
+
+
+@query("j6_uplift_alignment", "WITH " + cte("b_experiment") + "\nSELECT id, treatment, outcome, true AS bounded FROM b_experiment")
+def j6_uplift_alignment(spark, sf):
+    """Both arms' models score the same row: every row keeps its own columns."""
+    scored, _, _ = m.two_model_uplift(bind(spark, sf, "b_experiment"), ["propensity", "score"])
+    return scored.select("id", "treatment", "outcome", F.col("uplift_score").between(-1, 1).alias("bounded"))
+
+
+def _explained(spark, sf):
+    _, fitted, ready = _fitted(spark, sf)
+    model = m.boosted_trees({**_TREES, "n_estimators": 5, "max_depth": 3}).fit(ready.filter("split = 'train'"))
+    attributed, _ = tree_attributions(ready, model)
+    return attributed, m.feature_names(fitted), model
+
+
+@query("m11_attributions")
+def m11_attributions(spark, sf):
+    attributed, names, _ = _explained(spark, sf)
+    return driver_columns(attributed, names).select("customerID", "attributions", "top_driver_1", "top_driver_2", "top_driver_3", "primary_driver_theme")
+
+
+@query("a21_mean_attribution")
+def a21_mean_attribution(spark, sf):
+    attributed, names, _ = _explained(spark, sf)
+    return mean_absolute(attributed, names)
+
+
+@query("a22_importance")
+def a22_importance(spark, sf):
+    _, names, model = _explained(spark, sf)
+    return m.importance_table(spark, model, names)
+
+
+@query("m12_dataset", "WITH " + cte("b_telco") + "\nSELECT customerID, tenure, Contract, CAST(Churn = 'Yes' AS INT) AS ChurnFlag FROM b_telco")
+def m12_dataset(spark, sf):
+    return dataset(spark, sf).frame.select("customerID", "tenure", "Contract", "ChurnFlag")
+
+
+def _saved_run(spark, sf):
+    directory = fresh_path(spark, "run")
+    train_champion(spark, dataset(spark, sf), {**CONFIG, "candidates": ["logistic_regression"]}, directory)
+    return directory
+
+
+@query("m13_saved_model")
+def m13_saved_model(spark, sf):
+    model, metadata = load_run(spark, _saved_run(spark, sf))
+    return score_batch(bind(spark, sf, "b_telco"), model, metadata).select("customerID", "churn_probability")
+
+
+@query("m14_batch_score")
+def m14_batch_score(spark, sf):
+    directory = fresh_path(spark, "run")
+    result = train_champion(spark, dataset(spark, sf), {**CONFIG, "candidates": ["boosted_shallow"]}, directory)
+    _, metadata = load_run(spark, directory)
+    return score_batch(bind(spark, sf, "b_telco"), result["model"], metadata)
+
+
+@query("n10_kmeans")
+def n10_kmeans(spark, sf):
+    logs = sub.add_daily_metrics(sub.clean_logs(bind(spark, sf, "b_logs")))
+    return m.cluster_listeners(user_profile(logs).persist())
+
+
+@query("n11_isotonic")
+def n11_isotonic(spark, sf):
+    _, _, ready = _fitted(spark, sf)
+    train = ready.filter("split = 'train'").persist()
+    folds = m.fit_isotonic_folds(train, m.logistic(train.count(), 30), "customerID")
+    return m.calibrated(ready.filter("split = 'dev'"), folds).select("customerID", m.LABEL, "calibrated_probability")
+
+
+@query("st1_stream")
+def st1_stream(spark, sf):
+    """The customer table read as a stream of requests, scored and appended to a table."""
+    model, metadata = load_run(spark, _saved_run(spark, sf))
+    source = table(spark, sf, "customer").schema
+    stream = read_requests(spark, sf, source, "customer.parquet")
+    requests = bind(spark, sf, "b_telco", customer=stream)
+    output = fresh_path(spark, "responses")
+    start_scoring(requests, model, metadata, output, fresh_path(spark, "stream-state")).awaitTermination()
+    return spark.read.parquet(output)
