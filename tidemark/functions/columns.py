@@ -32,8 +32,12 @@ def zero_or_one(c: Column) -> Column:
 
 
 def compact_date(c: Column) -> Column:
-    """``yyyyMMdd`` text to DATE; anything malformed becomes NULL."""
-    return F.try_to_date(c, "yyyyMMdd")
+    """``yyyyMMdd`` text to DATE; anything malformed becomes NULL.
+
+    Cast from ISO text: several times faster than a pattern parser, which is built per row.
+    """
+    iso = F.concat_ws("-", F.substring(c, 1, 4), F.substring(c, 5, 2), F.substring(c, 7, 2))
+    return F.when(F.length(F.trim(c)) == 8, F.when(F.length(c) == 8, iso.try_cast("date")))
 
 
 def ratio_or_zero(numerator: Column, denominator: Column) -> Column:

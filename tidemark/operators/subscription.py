@@ -99,35 +99,29 @@ def add_daily_metrics(logs: DataFrame, guarded: bool = True) -> DataFrame:
 # ---------------------------------------------------------------- transactions
 
 
-def _transaction_order() -> Column:
-    """A total order inside a day as one number: expiry, list price, amount paid, then row hash.
-
-    A DECIMAL keeps ``max_by`` in the hash aggregate; a struct would force a sort. NULL is lowest.
-    """
-    def digits(c: Column, width: int) -> Column:
-        return c.cast(f"decimal({width},0)").cast("decimal(38,0)")
-
-    expiry = F.coalesce(F.unix_date("membership_expire_date") + 1_000_000, F.lit(0))
-    listed = F.coalesce(F.round(F.col("plan_list_price") * 10_000) + 1, F.lit(0.0))
-    paid = F.coalesce(F.round(F.col("actual_amount_paid") * 10_000) + 1, F.lit(0.0))
-    row_hash = F.pmod(
-        F.xxhash64("payment_method_id", "payment_plan_days", "plan_list_price", "actual_amount_paid",
-                   "is_auto_renew", "is_cancel"),
-        F.lit(1_000_000_000),
-    )
-    big = F.lit(10**10).cast("decimal(11,0)")
-    key = digits(expiry, 8)
-    for part, base in ((listed, big), (paid, big), (row_hash, F.lit(10**9).cast("decimal(10,0)"))):
-        key = (key * base + digits(part, 11)).cast("decimal(38,0)")
-    return key
-
-
 _DAY_VALUES = [
     "payment_method_id", "payment_plan_days", "plan_list_price", "actual_amount_paid",
     "is_auto_renew", "is_cancel", "membership_expire_date",
 ]
 
 
+def _transaction_order() -> Column:
+    """A total order inside a day as one number: expiry, list price, amount paid, then row hash.
+
+    Two BIGINT halves joined in one DECIMAL keep ``max_by`` in the hash aggregate; a struct would
+    force a sort. Prices count to four decimals; NULL is lowest.
+    """
+    def cents(name: str) -> Column:  # below 2^31 for prices in range
+        return F.coalesce((F.col(name) * 10_000).cast("bigint") + 1, F.lit(0).cast("bigint"))
+
+    expiry = F.coalesce(F.unix_date("membership_expire_date") + 1_000_000, F.lit(0)).cast("bigint")
+    row_hash = F.shiftrightunsigned(F.xxhash64(*_DAY_VALUES[:-1]), 34)  # 30 bits
+    high = F.shiftleft(expiry, 31) + cents("plan_list_price")
+    low = F.shiftleft(cents("actual_amount_paid"), 30) + row_hash
+    ten_to_19 = F.lit("10000000000000000000").cast("decimal(20,0)")
+    return (high.cast("decimal(18,0)") * ten_to_19 + low.cast("decimal(20,0)")).cast("decimal(38,0)")
+
+
 def fold_transaction_days(transactions: DataFrame) -> DataFrame:
     """One row per user and day: sums that add up across days, plus the day's last row.
 
