@@ -1,8 +1,10 @@
 """Exact order statistics without collecting a column in one task.
 
 ``percentile`` keeps every distinct value in its final task. Here one pass brackets each wanted
-rank with ``percentile_approx`` (its rank error has a proven bound); a second folds everything
-below a bracket into one count per task and shuffles only the few values inside it.
+rank with a quantile sketch, merged in two levels so that no task merges one sketch per input
+split; a second pass folds everything below a bracket into one count per task and shuffles only
+the few values inside it. The sketch only chooses the bracket: the result is exact, and a rank
+that falls outside its bracket fails the job instead of passing unnoticed.
 """
 
 from __future__ import annotations
@@ -11,9 +13,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..fixed_values import CAP_PROBABILITIES, CAPPED_COLUMNS
 
-# Rank error of percentile_approx is at most 1/ACCURACY of the rows; brackets reach four times that.
-ACCURACY = 1000
-SLACK = 4.0 / ACCURACY
+# A sketch of this size errs by about 0.1 % of the rows; brackets reach several times that.
+SKETCH_SIZE = 4_000
+SLACK = 0.005
+# Sketches of one series are first merged in this many groups.
+MERGE_GROUPS = 256
 # Up to this many values the bracket is the whole column.
 SMALL_COUNT = 10_000
 
@@ -29,9 +33,12 @@ def _order_statistics(df: DataFrame, series: dict[str, Column], wanted: list[tup
     values = df.select(F.explode(F.array(*pairs)).alias("v")).select("v.series", "v.value").filter(F.col("value").isNotNull())
 
     ends = sorted({e for _, p, _ in wanted for e in (max(p - SLACK, 0.0), min(p + SLACK, 1.0))})
-    fitted = values.groupBy("series").agg(
-        F.count("*").alias("n"),
-        F.percentile_approx("value", F.array(*map(F.lit, ends)), F.lit(ACCURACY)).alias("ends"),
+    fitted = (
+        values.groupBy("series", F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("part"))
+        .agg(F.count("*").alias("n"), F.kll_sketch_agg_double(F.col("value").cast("double"), SKETCH_SIZE).alias("sketch"))
+        .groupBy("series")
+        .agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch"))
+        .select("series", "n", F.kll_sketch_get_quantile_double("sketch", F.array(*map(F.lit, ends))).alias("ends"))
     )
     targets = F.array(*[
         F.struct(
@@ -72,7 +79,6 @@ def _order_statistics(df: DataFrame, series: dict[str, Column], wanted: list[tup
         at(F.ceil("rank")).alias("high_value"),
         F.max(F.col("rank") - F.floor("rank")).alias("fraction"),
     )
-    # A rank outside its bracket would break the sketch's guarantee: fail rather than guess.
     complete = F.col("low_value").isNotNull() & F.col("high_value").isNotNull()
     return found.withColumn(
         "low_value",

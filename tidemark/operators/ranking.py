@@ -58,6 +58,26 @@ def with_running_totals(df: DataFrame, order: list[Column], sums: dict[str, Colu
     )
 
 
+def with_previous(df: DataFrame, keys: list[str], order: list[Column], previous: dict[str, str]) -> DataFrame:
+    """``lag`` by key in ``order``, whatever the size of a key: {output name: source column}.
+
+    Sorted ranges may cut through a key. Inside a range the predecessor is the row before; the
+    first row of a range takes the last row of the range before it.
+    """
+    stored = _sorted_with_position(df, [*map(F.col, keys), *order])
+    needed = F.struct(*keys, *[c for c in previous.values() if c not in keys])
+    ends = stored.groupBy("_range").agg(F.max_by(needed, "_position").alias("_end"))
+    carried = ends.select("_range", F.lag("_end").over(Window.orderBy("_range")).alias("_carried"))
+    in_range = Window.partitionBy("_range").orderBy("_position")
+    rows = stored.withColumn("_before", F.lag(needed).over(in_range))
+    # Broadcast size: one row per sorted range.
+    linked = rows.join(F.broadcast(carried), "_range").withColumn("_before", F.coalesce("_before", "_carried"))
+    same_key = F.lit(True)
+    for k in keys:
+        same_key = same_key & F.col(f"_before.{k}").eqNullSafe(F.col(k))
+    return linked.select(*df.columns, *[F.when(same_key, F.col(f"_before.{c}")).alias(name) for name, c in previous.items()])
+
+
 def quantile_bin(rank: str, total: str, bins: int) -> Column:
     """Right-closed quantile bin of a 0-based rank column, in exact integer arithmetic.
 

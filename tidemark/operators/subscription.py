@@ -16,6 +16,7 @@ from ..fixed_values import (
 from ..functions.columns import (
     compact_date, days_between, flag, number, ratio_or_zero, whole_number, within, zero_or_one,
 )
+from .ranking import with_previous
 
 # ---------------------------------------------------------------- cleaning
 
@@ -222,24 +223,12 @@ def latest_transactions(transactions: DataFrame) -> DataFrame:
 
 
 def with_previous_transaction(transactions: DataFrame) -> DataFrame:
-    """Each transaction with the date and expiry of the one before it for the same user.
-
-    Windows run inside a user's day; the first row of a day takes its predecessor from the
-    day-level table, joined on (user, day).
-    """
-    in_day = Window.partitionBy("msno", "transaction_date").orderBy("_order")
-    rows = transactions.withColumn("_order", _transaction_order()).withColumns({
-        "_first": F.row_number().over(in_day) == 1,
-        "_expiry_in_day": F.lag("membership_expire_date").over(in_day),
-    })
-    days = _with_previous_day(fold_transaction_days(transactions)).select(
-        "msno", "transaction_date", "previous_day", "previous_expiry"
-    )
-    return rows.join(days, ["msno", "transaction_date"]).select(
-        *transactions.columns,
-        F.when(F.col("_first"), F.col("previous_day")).otherwise(F.col("transaction_date")).alias("prev_transaction_date"),
-        F.when(F.col("_first"), F.col("previous_expiry")).otherwise(F.col("_expiry_in_day")).alias("prev_expire_date"),
-    )
+    """Each transaction with the date and expiry of the one before it for the same user."""
+    ordered = transactions.withColumn("_order", _transaction_order())
+    return with_previous(
+        ordered, ["msno"], [F.col("transaction_date").asc(), F.col("_order").asc()],
+        {"prev_transaction_date": "transaction_date", "prev_expire_date": "membership_expire_date"},
+    ).drop("_order")
 
 
 # ---------------------------------------------------------------- logs
