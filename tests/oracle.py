@@ -40,7 +40,7 @@ def as_rows(table):
 
 
 def compare(spark, con, sf_dir: str, fn, sql: str) -> list[str]:
-    ours, theirs = as_rows(fn(spark, sf_dir).toArrow()), as_rows(con.execute(sql).to_arrow_table() if hasattr(con.execute("SELECT 1"), "to_arrow_table") else con.execute(sql).arrow())
+    ours, theirs = as_rows(fn(spark, sf_dir).toArrow()), as_rows(con.sql(sql).to_arrow_table())
     problems = []
     if ours[0] != theirs[0]:
         return [f"columns differ: {sorted(set(ours[0]) ^ set(theirs[0]))}"]

@@ -165,7 +165,7 @@ def k3_top_contributions(spark, sf):
 
 _DRIVERS = _TOP + f""",
 themed AS (SELECT *, {theme_sql('feature')} AS theme FROM top3),
-totals AS (SELECT id, theme, sum(CAST(round(abs(value) * 100) AS BIGINT)) AS total, min(k) AS first_k FROM themed GROUP BY id, theme),
+totals AS (SELECT id, theme, sum(abs(value) ORDER BY k) AS total, min(k) AS first_k FROM themed GROUP BY id, theme),
 primary_theme AS (SELECT id, theme AS primary_driver_theme FROM totals QUALIFY row_number() OVER (PARTITION BY id ORDER BY total DESC, first_k) = 1),
 sentences AS (SELECT id, {', '.join(f"max(CASE WHEN k = {k} THEN feature || ' (' || CASE WHEN value > 0 THEN 'increases' ELSE 'decreases' END || ' risk)' END) AS top_driver_{k}" for k in (1, 2, 3))} FROM top3 GROUP BY id),
 explained AS (SELECT * FROM sentences JOIN primary_theme USING (id))"""

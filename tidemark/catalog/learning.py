@@ -71,15 +71,18 @@ def m4_preprocessor(spark, sf):
 @query("m5_logistic")
 def m5_logistic(spark, sf):
     _, _, ready = _fitted(spark, sf)
-    train = ready.filter("split = 'train'")
+    train = ready.filter("split = 'train'").persist()
     model = m.logistic(train.count(), 30).fit(train)
+    train.unpersist()
     return m.scored(model, ready).select("customerID", m.LABEL, m.SCORE)
 
 
 @query("m6_boosted_trees")
 def m6_boosted_trees(spark, sf):
     _, _, ready = _fitted(spark, sf)
-    model = m.boosted_trees({**_TREES, "max_depth": 4}).fit(ready.filter("split = 'train'"))
+    train = ready.filter("split = 'train'").persist()
+    model = m.boosted_trees({**_TREES, "max_depth": 4}).fit(train)
+    train.unpersist()
     return m.scored(model, ready).select("customerID", m.LABEL, m.SCORE)
 
 
@@ -125,7 +128,9 @@ def j6_uplift_alignment(spark, sf):
 
 def _explained(spark, sf):
     _, fitted, ready = _fitted(spark, sf)
-    model = m.boosted_trees({**_TREES, "n_estimators": 5, "max_depth": 3}).fit(ready.filter("split = 'train'"))
+    train = ready.filter("split = 'train'").persist()
+    model = m.boosted_trees({**_TREES, "n_estimators": 5, "max_depth": 3}).fit(train)
+    train.unpersist()
     attributed, _ = tree_attributions(ready, model)
     return attributed, m.feature_names(fitted), model
 

@@ -40,18 +40,20 @@ def oracle_sql() -> dict[str, str]:
 
 
 # Sums of doubles depend on their order in the last digits; both sides round what they compare.
+# Engines break ties of decimal fractions differently, so values are first moved off the tie.
 DIGITS = 6
+NUDGE = 1e-9
 
 
 def rounded(df: DataFrame, columns: list[str]) -> DataFrame:
     def fixed(c: str) -> Column:
-        return F.round(F.col(c).cast("double"), DIGITS) + F.lit(0.0)
+        return F.round(F.col(c).cast("double") + NUDGE, DIGITS) + F.lit(0.0)
 
     return df.withColumns({c: fixed(c) for c in columns})
 
 
 def rounded_sql(sql: str, columns: list[str]) -> str:
-    fixed = ", ".join(f"round(CAST({c} AS DOUBLE), {DIGITS}) + 0.0 AS {c}" for c in columns)
+    fixed = ", ".join(f"round(CAST({c} AS DOUBLE) + CAST({NUDGE} AS DOUBLE), {DIGITS}) + 0.0 AS {c}" for c in columns)
     head, body = _split_with(sql)
     return f"{head}SELECT * REPLACE ({fixed}) FROM ({body}) rounded_rows"
 

@@ -36,10 +36,12 @@ def cumulative_counts(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def _auc() -> Column:
-    # Each negative beats nothing, loses to the positives above it, and halves its ties.
-    wins = F.col("neg") * (F.col("tp") - F.col("pos")) * 2 + F.col("neg") * F.col("pos")
-    pairs = F.first("total_tp").cast("double") * F.first("total_fp") * 2
-    return F.try_divide(F.sum(wins.cast("double")), pairs)
+    # Each negative loses to the positives above it and shares its ties. Products of counts are
+    # taken as doubles: at billions of rows they leave BIGINT.
+    neg = F.col("neg").cast("double")
+    wins = neg * (F.col("tp") - F.col("pos")) + neg * F.col("pos") / 2
+    pairs = F.max("total_tp").cast("double") * F.max("total_fp")
+    return F.try_divide(F.sum(wins), pairs)
 
 
 def _average_precision() -> Column:

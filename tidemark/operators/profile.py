@@ -37,7 +37,8 @@ def column_profile(df: DataFrame) -> DataFrame:
     as_number = F.when(F.col("column").isin(*numeric), F.col("value").try_cast("double")) if numeric else F.lit(None).cast("double")
     highest = counts.groupBy("column").agg(F.max("n").alias("top_freq"), F.count("*").alias("unique_values"))
     tops = (
-        counts.join(highest, "column").filter(F.col("n") == F.col("top_freq"))
+        counts.join(F.broadcast(highest), "column")  # one row per column
+        .filter(F.col("n") == F.col("top_freq"))
         .withColumn("number", as_number)
         .groupBy("column")
         .agg(

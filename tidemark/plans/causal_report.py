@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..operators import causal as c
+from ..session import materialise
 
 
 def causal_report(df: DataFrame, id_col: str, treatment: str = "treatment", outcome: str = "outcome", segment: str | None = "segment",
@@ -13,7 +14,8 @@ def causal_report(df: DataFrame, id_col: str, treatment: str = "treatment", outc
     rows = c.standardize_experiment(df, c.ExperimentSchema(treatment, outcome, segment=segment))
     ate = c.estimate_ate(rows, treatment, outcome)
     scored = rows.withColumn("_score", c.score_column(rows.columns, score))
-    table = c.uplift_table(scored, "_score", id_col, treatment, outcome)
+    # At most ten rows with three consumers: stored once.
+    table = materialise(c.uplift_table(scored, "_score", id_col, treatment, outcome), "uplift")
     return {
         "summary": c.causal_summary(ate, table, budget),
         "cate": c.estimate_cate(rows, segment, treatment, outcome) if segment else None,
