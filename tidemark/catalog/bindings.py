@@ -1,4 +1,4 @@
-"""The reference-shaped inputs derived from the test tables.
+"""Subscription, telco, experiment and scored inputs derived from the test tables.
 
 Each text runs unchanged in Spark (with ``{table}`` bound to a DataFrame) and in DuckDB (with
 the braces removed).

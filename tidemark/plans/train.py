@@ -14,6 +14,7 @@ from ..operators import models as m
 from ..operators.metrics import evaluate_scores
 from ..operators.splits import split_data
 from ..operators.subscription import column_roles, fill_categories, model_frame
+from ..session import materialise
 from ..sources.sinks import write_metadata, write_report_csv, write_test_artifacts
 from ..sources.tables import path_exists, read_table
 
@@ -40,7 +41,7 @@ def assemble_dataset(df: DataFrame, cfg: dict, source: str = "") -> m.Dataset:
     """Sample, split, engineer and assign roles. The split comes before dates are dropped.
 
     Telco bill cut-offs are fitted on the training rows (``cfg['data']['fit_on'] = 'all'`` fits
-    them on every row).
+    them on every row). The frame is stored once: every fit and every evaluation reads it.
     """
     data = cfg["data"]
     dataset = data.get("dataset_type", "telco").lower()
@@ -66,7 +67,8 @@ def assemble_dataset(df: DataFrame, cfg: dict, source: str = "") -> m.Dataset:
         frame = engineer_telco(parts, (cut["p75"], cut["median"])).drop("Churn")
         extra = {"p75": cut["p75"], "median": cut["median"]}
     numeric, categorical = column_roles(frame, exclude=(label, id_col, "split"))
-    return m.Dataset(fill_categories(frame, categorical), numeric, categorical, label, id_col, source, extra)
+    stored = materialise(fill_categories(frame, categorical), "dataset")
+    return m.Dataset(stored, numeric, categorical, label, id_col, source, extra)
 
 
 def load_dataset(spark: SparkSession, cfg: dict) -> m.Dataset:
