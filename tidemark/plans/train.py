@@ -19,10 +19,10 @@ from ..sources.sinks import write_metadata, write_report_csv, write_test_artifac
 from ..sources.tables import path_exists, read_table
 
 
-def sample_rows(df: DataFrame, id_col: str, fraction: float | None = None, max_rows: int | None = None) -> DataFrame:
+def sample_rows(df: DataFrame, id_col: str, fraction: float | None = None, max_rows: int | None = None, method: str = "xxhash64") -> DataFrame:
     """Repeatable fraction by id hash, then the first ``max_rows`` by id."""
     if fraction:
-        df = df.filter(in_hash_sample(F.col(id_col), float(fraction)))
+        df = df.filter(in_hash_sample(F.col(id_col), float(fraction), method))
     return df.orderBy(id_col).limit(int(max_rows)) if max_rows else df
 
 
