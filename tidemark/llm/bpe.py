@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import PieceEncoder, id_and_text
+from .common import PieceEncoder, byte_characters, id_and_text
 
 #: Sentencepiece wants an unknown piece; ranks follow it.
 _FIRST = 1
@@ -25,13 +25,6 @@ _UNKNOWN, _NORMAL, _BPE = 2, 1, 2
 _CUT = 0x2047
 
 
-def byte_characters() -> list[str]:
-    """A printable character for each byte: itself where printable, else from U+0100 on."""
-    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = iter(range(0x100, 0x200))
-    return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
-
-
 def read_ranks(path: str) -> list[bytes]:
     """Tokens of a rank file, by rank."""
     with open(path, "rb") as f:

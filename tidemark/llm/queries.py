@@ -10,13 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import fresh_path, ship_package
 from .bpe import round_trip_digests
 from .exact_dedup import exact_duplicates
+from .jaccard import jaccard_components
 from .packing import pack_documents
+from .rules import judge
+from .secrets import ALLOWED, CANDIDATE, KINDS, LEAST_BITS, MOST, SHORTEST_VALUE, WINDOW, _TERMS, secret_digests
 from .token_files import read_token_files, write_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def query(name: str, sql: str | None = None):
     def register(fn):
         QUERIES[name] = fn
@@ -60,3 +67,78 @@ def token_files(spark, sf_dir):
     folder = fresh_path(spark, "tokens")
     write_token_files(documents(spark, sf_dir), folder, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return read_token_files(spark, folder, with_ids=False)
+
+
+def _places(matches: str, pattern: str) -> str:
+    """SQL for [{m, s, e}]: each match with its place."""
+    gaps = f"string_split_regex(text, '{pattern}')"
+    return (f"list_transform(range(1, len({matches}) + 1), lambda i: {{'m': {matches}[i], "
+            f"'s': CAST(list_sum(list_transform({gaps}[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform({matches}[1:i - 1], lambda g: length(g))), 0) AS BIGINT)}})")
+
+
+def _either_case(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+_SQL_PATTERNS = {k: p.replace("'", "''") for k, p in KINDS.items()}
+_WORDS = ["password", "passwd", "secret", "token", "api_?key"]
+_SQL_PATTERNS["assign"] = _SQL_PATTERNS["assign"].replace("(?i)(" + "|".join(_WORDS) + ")", "(" + "|".join(map(_either_case, _WORDS)) + ")")
+_NAMED = "list_transform({}, lambda x: ['assign', 'access', 'hex', 'entropy'][x.k + 1] || ':' || x.s || ':' || x.e)"
+_TERM_LIST = "[" + ", ".join(f"CAST({t} AS BIGINT)" for t in _TERMS) + "]"
+
+
+@query("op7_secrets", f"""
+    WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+    matched AS (SELECT *, {", ".join(f"regexp_extract_all(text, '{p}') AS m_{k}" for k, p in _SQL_PATTERNS.items())},
+        regexp_extract_all(text, '{CANDIDATE}') AS m_candidate FROM texts),
+    placed AS (SELECT r, doc_id, {", ".join(f"{_places(f'm_{k}', p)} AS p_{k}" for k, p in [*_SQL_PATTERNS.items(), ("candidate", CANDIDATE)])} FROM matched),
+    based AS (SELECT r, doc_id, p_candidate, list_sort(list_concat(
+        list_transform(list_filter(p_assign, lambda x: length(regexp_extract(x.m, '{_SQL_PATTERNS["assign"]}', 2)) >= {SHORTEST_VALUE}), lambda x: {{'s': x.s, 'k': 0, 'e': x.s + length(x.m)}}),
+        list_transform(p_access, lambda x: {{'s': x.s, 'k': 1, 'e': x.s + length(x.m)}}),
+        list_transform(p_hex, lambda x: {{'s': x.s, 'k': 2, 'e': x.s + length(x.m)}}))) AS base FROM placed),
+    candidates AS (SELECT r, base, unnest(p_candidate) AS c FROM based),
+    likely AS (SELECT r, base, c.s AS s, c.m AS m FROM candidates
+        WHERE regexp_matches(c.m, '[0-9]') AND regexp_matches(c.m, '[A-Za-z]') AND NOT regexp_matches(c.m, '{"|".join(ALLOWED)}')),
+    windows AS (SELECT r, base, s, m, unnest(range(0, length(m) - {WINDOW} + 1)) AS w FROM likely),
+    counted AS (SELECT *, substr(m, w + 1, {WINDOW}) AS t, list_transform(list_distinct(string_split(substr(m, w + 1, {WINDOW}), '')),
+        lambda c: {WINDOW} - length(replace(substr(m, w + 1, {WINDOW}), c, ''))) AS n FROM windows),
+    summed AS (SELECT *, list_sum(list_transform(n, lambda c: {_TERM_LIST}[c + 1])) AS total,
+        {WINDOW} - length(regexp_replace(t, '[0-9]', '', 'g')) AS digits, {WINDOW} - length(regexp_replace(t, '[A-Z]', '', 'g')) AS uppers,
+        {WINDOW} - length(regexp_replace(t, '[a-z]', '', 'g')) AS lowers FROM counted),
+    passing AS (SELECT r, base, s, min(w) AS first, max(w) AS last FROM summed
+        WHERE (regexp_full_match(t, '[0-9a-f]+') AND digits > 0 AND lowers > 0 AND total <= {MOST["hex"]})
+           OR (uppers > 0 AND lowers > 0 AND digits > 0 AND total <= {MOST["mixed"]})
+           OR ((uppers = 0 OR lowers = 0) AND digits >= 4 AND uppers + lowers >= 4 AND total <= {MOST["single"]})
+        GROUP BY r, base, s),
+    random AS (SELECT r, list({{'s': s + first, 'k': 3, 'e': s + last + {WINDOW}}}) AS more FROM passing
+        WHERE len(list_filter(base, lambda b: b.s < s + last + {WINDOW} AND s + first < b.e)) = 0 GROUP BY r)
+    SELECT doc_id, CAST(len(list_filter(base, lambda x: x.k = 0)) AS BIGINT) AS n_assign, CAST(len(list_filter(base, lambda x: x.k = 1)) AS BIGINT) AS n_access,
+        CAST(len(list_filter(base, lambda x: x.k = 2)) AS BIGINT) AS n_hex,
+        sha256(coalesce(array_to_string({_NAMED.format("base")}, ','), '')) AS base_sha256,
+        coalesce(array_to_string({_NAMED.format("list_sort(list_concat(base, coalesce(more, [])))")}, ','), '') AS spans
+    FROM based LEFT JOIN random USING (r)
+""")
+def secrets(spark, sf_dir):
+    return secret_digests(documents(spark, sf_dir))
+
+
+_SPACE = "[\\x20\\x09-\\x0D]+"
+
+
+@query("op9_jaccard_join", f"""
+    WITH RECURSIVE worded AS (SELECT doc_id, list_filter(string_split_regex({_LOWER}, '{_SPACE}'), lambda x: x <> '') AS w FROM documents),
+    shingled AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM worded),
+    single AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM shingled),
+    links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM single a JOIN single b ON a.x = b.x AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+    reached AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a)
+    SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, (SELECT min(b) FROM reached WHERE a = doc_id) AS component_id FROM shingled
+""")
+def jaccard_join(spark, sf_dir):
+    return jaccard_components(documents(spark, sf_dir))
+
+
+@query("op8_quality_rules")
+def quality_rules(spark, sf_dir):
+    return judge(documents(spark, sf_dir), labels(spark, sf_dir))

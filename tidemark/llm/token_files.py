@@ -3,8 +3,8 @@
 A token folder is a Parquet table of blocks, so that Spark's committer makes each file appear whole or
 not at all wherever the folder is, and readers prune columns and blocks. A block holds whole documents
 in order, at least ``block_ids`` ids unless it is the last of its file: columns ``shard`` and ``block``
-(the order of blocks), ``doc_ids``, ``sizes`` (ids of each document), ``n_ids``, ``words`` (Simple-8b,
-little-endian) and ``before`` (see ``simple8b``).
+(the order of blocks), ``start`` (ids of the shard before the block), ``doc_ids``, ``sizes`` (ids of each document),
+``n_ids``, ``words`` (Simple-8b, little-endian) and ``before`` (see ``simple8b``).
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from . import simple8b
 from .common import id_and_text, library_encoder
 
-BLOCKS = "shard int, block int, doc_ids array<bigint>, sizes array<bigint>, n_ids bigint, words binary, before binary"
+BLOCKS = "shard int, block int, start bigint, doc_ids array<bigint>, sizes array<bigint>, n_ids bigint, words binary, before binary"
 #: Rows handed on at a time, so that a batch of long documents stays small.
 _ROWS = 256
 
@@ -41,26 +41,26 @@ def encode_blocks(docs: DataFrame, path: str, end_id: int, block_ids: int = 1 <<
     def write(batches):
         encode, shard, block = library_encoder(path, spaces=False), TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u4").tobytes()
-        doc_ids, parts, n = [], [], 0
+        doc_ids, parts, n, start = [], [], 0, 0
 
         def closed():
             sizes = [len(p) // 4 for p in parts]
             words, before = simple8b.encode(np.frombuffer(b"".join(parts), "<u4"))
-            row = {"shard": shard, "block": block, "doc_ids": doc_ids, "sizes": sizes, "n_ids": n, "words": words, "before": before}
+            row = {"shard": shard, "block": block, "start": start, "doc_ids": doc_ids, "sizes": sizes, "n_ids": n, "words": words, "before": before}
             return pa.RecordBatch.from_pylist([row], schema)
 
-        schema = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())),
+        schema = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("start", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())),
                             ("n_ids", pa.int64()), ("words", pa.binary()), ("before", pa.binary())])
         for b in batches:
-            for start in range(0, b.num_rows, _ROWS):
-                some = b.slice(start, _ROWS)
+            for row in range(0, b.num_rows, _ROWS):
+                some = b.slice(row, _ROWS)
                 for doc_id, ids in zip(some["doc_id"].to_pylist(), encode(some["text"].to_pylist())):
                     doc_ids.append(doc_id)
                     parts.append(ids + end)
                     n += len(ids) // 4 + 1
                     if n >= block_ids:
                         yield closed()
-                        doc_ids, parts, n, block = [], [], 0, block + 1
+                        doc_ids, parts, n, block, start = [], [], 0, block + 1, start + n
         if parts:
             yield closed()
 
@@ -74,15 +74,12 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int, **op
 def read_token_files(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
     """Rows per document: doc_id, start (ids of all documents before it), n_tokens, ids_crc32 (and ids).
 
-    Only the counts of blocks are added up over files: a row per block.
+    Shards follow each other, so a shard's place is the sum of the ids of those before: a row per file.
     """
     stored = spark.read.schema(BLOCKS).parquet(folder)
     per_shard = stored.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     earlier = per_shard.select("shard", F.coalesce(F.sum("n").over(
-        Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_shard"))  # a row per file
-    inside = stored.select("shard", "block", F.coalesce(F.sum("n_ids").over(
-        Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_block"))
-    starts = inside.join(F.broadcast(earlier), "shard").select("shard", "block", (F.col("_shard") + F.col("_block")).alias("start"))
+        Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("earlier"))
 
     def read(batches):
         for b in batches:
@@ -98,5 +95,5 @@ def read_token_files(spark: SparkSession, folder: str, with_ids: bool = True) ->
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32", "ids"][:len(columns)])
 
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + (", ids array<int>" if with_ids else "")
-    return stored.drop("before").join(starts, ["shard", "block"]).select(
-        "doc_ids", "sizes", "n_ids", "words", "start").mapInArrow(read, schema)
+    placed = stored.join(F.broadcast(earlier), "shard")  # a row per file
+    return placed.select("doc_ids", "sizes", "n_ids", "words", (F.col("earlier") + F.col("start")).alias("start")).mapInArrow(read, schema)
