@@ -12,6 +12,7 @@ from .bpe import round_trip_digests
 from .exact_dedup import exact_duplicates
 from .jaccard import jaccard_components
 from .packing import pack_documents
+from . import quality, toxicity
 from .rules import judge
 from .secrets import ALLOWED, CANDIDATE, KINDS, LEAST_BITS, MOST, SHORTEST_VALUE, WINDOW, _TERMS, secret_digests
 from .token_files import read_token_files, write_token_files
@@ -142,3 +143,14 @@ def jaccard_join(spark, sf_dir):
 @query("op8_quality_rules")
 def quality_rules(spark, sf_dir):
     return judge(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+@query("op5_quality")
+def graded_quality(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return quality.score(docs, quality.fit(docs, quality.grades_of(labels(spark, sf_dir))))
+
+
+@query("op6_toxicity")
+def toxic_categories(spark, sf_dir):
+    return toxicity.toxic_documents(documents(spark, sf_dir), labels(spark, sf_dir))
