@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from . import quality, toxicity
 from ..session import fresh_path, ship_package
 from .bpe import round_trip_digests
 from .exact_dedup import exact_duplicates
 from .jaccard import jaccard_components
+from .licenses import license_notices
 from .packing import pack_documents
-from . import quality, toxicity
 from .rules import judge
 from .secrets import ALLOWED, CANDIDATE, KINDS, LEAST_BITS, MOST, SHORTEST_VALUE, WINDOW, _TERMS, secret_digests
 from .token_files import read_token_files, write_token_files
@@ -154,3 +155,10 @@ def graded_quality(spark, sf_dir):
 @query("op6_toxicity")
 def toxic_categories(spark, sf_dir):
     return toxicity.toxic_documents(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+@query("op10_licenses")
+def licenses(spark, sf_dir):
+    found = license_notices(documents(spark, sf_dir))
+    return found.select("doc_id", F.array_join("families", ",").alias("families"), "unknown_lines",
+                        F.array_join(F.transform("notices", lambda x: F.concat_ws(":", x["line"], x["family"])), ",").alias("notices"))
