@@ -30,7 +30,8 @@ from .components import components
 from .rtree import candidate_pairs, needs
 
 WORDS = 5
-#: Coordinates of a point.
+#: Coordinates of a point in the tree. A stored point has a power of two more, so that a long text too has about four
+#: to eight shingles in a group; taken modulo fewer groups it folds to a point of those.
 GROUPS = 128
 #: A shingle that more than one in MOST_FREQUENT documents of a batch hold, and BATCH_LEAST at least, counts as frequent.
 MOST_FREQUENT = 400
@@ -41,6 +42,8 @@ BLOCK_SETS = 100_000
 BUCKET_ENTRIES = 1_000_000
 #: Bits of the filter that says which sets are to be compared: 16 per set, and no more than these.
 FILTER_BITS = 1 << 27
+#: Documents that a task works on at a time, and words it remembers.
+SLICE, KNOWN_WORDS = 4_000, 300_000
 #: Shingles are kept as 48-bit hashes: within a pair of sets of 1,000 one in 10**9 is confused.
 _BYTES = 6
 
@@ -77,11 +80,11 @@ def _stored_sets(docs: DataFrame) -> str:
     def read(batches):
         known: dict[bytes, int] = {}
         carried: set[int] = set()
-        for b in batches:
+        for b in (whole.slice(at, SLICE) for whole in batches for at in range(0, whole.num_rows, SLICE)):
             n, keys, points, packed, fresh = [], [], [], [], []
             for text in b["text"].to_pylist():
                 words = text.encode().lower().split()
-                if len(known) > 2_000_000:
+                if len(known) > KNOWN_WORDS:
                     known.clear()
                 for w in set(words).difference(known):
                     known[w] = xxhash.xxh3_64_intdigest(w)
@@ -100,7 +103,7 @@ def _stored_sets(docs: DataFrame) -> str:
                     continue
                 carried.add(key)
                 kept = np.unique(exact >> np.uint64(16))
-                points.append(np.bincount((kept % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype("<u2" if len(kept) < 1 << 16 else "<u4").tobytes())
+                points.append(_point(kept))
                 packed.append(_packed(kept))
                 fresh.append(kept)
             yield _batch(0, doc_id=b["doc_id"], n_shingles=n, key=keys, point=points, shingles=packed)
@@ -124,8 +127,23 @@ def _batch(kind: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, ["kind", *types])
 
 
-def _as_point(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, "<u2" if len(data) == 2 * GROUPS else "<u4")
+def _point(shingles: np.ndarray) -> bytes:
+    groups = GROUPS
+    while 8 * groups <= len(shingles):
+        groups *= 2
+    return np.bincount((shingles % np.uint64(groups)).astype(np.int64), minlength=groups).astype("<u4").tobytes()
+
+
+def _as_point(data: bytes, groups: int | None = None) -> np.ndarray:
+    point = np.frombuffer(data, "<u4")
+    return point if groups in (None, len(point)) else point.reshape(-1, groups).sum(axis=0, dtype=np.uint32)
+
+
+def _may_link(x: bytes, y: bytes) -> bool:
+    """Whether two points, in the groups both have, allow the overlap that their sizes need."""
+    groups = min(len(x), len(y)) // 4
+    a, b = _as_point(x, groups), _as_point(y, groups)
+    return bool(7 * np.minimum(a, b).sum(dtype=np.int64) >= needs(a.sum(dtype=np.int64), b.sum(dtype=np.int64)))
 
 
 def _entries(sets: DataFrame, frequent: Broadcast, buckets: int, block_sets: int) -> DataFrame:
@@ -135,7 +153,7 @@ def _entries(sets: DataFrame, frequent: Broadcast, buckets: int, block_sets: int
     """
     def first(batches):
         often, seen = frequent.value
-        for b in batches:
+        for b in (whole.slice(at, SLICE) for whole in batches for at in range(0, whole.num_rows, SLICE)):
             keys, chosen = [], []
             for key, data in zip(b["key"].to_pylist(), b["shingles"].to_pylist()):
                 values = _unpacked(data)
@@ -214,9 +232,8 @@ def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
     """The pairs (a, b) whose points allow the overlap they need."""
     def bound(batches):
         for b in batches:
-            pass_ = [7 * int(np.minimum(x, y).sum(dtype=np.int64)) >= needs(int(x.sum(dtype=np.int64)), int(y.sum(dtype=np.int64)))
-                     for x, y in zip(map(_as_point, b["x"].to_pylist()), map(_as_point, b["y"].to_pylist()))]
-            yield b.select(["a", "b"]).filter(pa.array(pass_, pa.bool_()))
+            good = list(map(_may_link, b["x"].to_pylist(), b["y"].to_pylist()))
+            yield b.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     left = pairs.join(points.select(F.col("key").alias("a"), F.col("point").alias("x")), "a")
     return left.join(points.select(F.col("key").alias("b"), F.col("point").alias("y")), "b").mapInArrow(bound, "a bigint, b bigint")
@@ -306,8 +323,11 @@ def _tree_pairs(lists: DataFrame, points: DataFrame) -> DataFrame:
         def pairs():
             key = np.concatenate([t["key"].to_numpy() for t in held])
             part = np.concatenate([t["part"].to_numpy() for t in held])
-            point = np.stack([_as_point(x) for t in held for x in t["point"].to_pylist()])
+            stored = [x for t in held for x in t["point"].to_pylist()]
+            point = np.stack([_as_point(x, GROUPS) for x in stored])
             i, j = candidate_pairs(point, point.sum(axis=1, dtype=np.int64), part)
+            finer = np.fromiter((_may_link(stored[x], stored[y]) for x, y in zip(i, j)), bool, len(i))
+            i, j = i[finer], j[finer]
             return pa.RecordBatch.from_arrays([pa.array(np.minimum(key[i], key[j])), pa.array(np.maximum(key[i], key[j]))], ["a", "b"])
 
         for b in batches:
