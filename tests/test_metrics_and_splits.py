@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,56 +58,72 @@ def counts(df, *keys):
 
 def test_random_split_counts_and_determinism(spark):
     df = spark.createDataFrame([(i, i % 2) for i in range(10)], "id int, y int")
-    out = sp.stratified_split(df, "y", "id", 0.2, 0.2, seed=123)
+    spec = sp.SplitSpec(0.2, 0.2, seed=123)
+    out = sp.assign(df, spec, "y", "id")
     assert counts(out, "split") == {("train",): 6, ("dev",): 2, ("test",): 2}
     assert counts(out, "split", "y")[("train", 1)] == 3
-    again = sp.stratified_split(df.repartition(5), "y", "id", 0.2, 0.2, seed=123)
+    again = sp.assign(df.repartition(5), spec, "y", "id")
     assert sorted(out.collect()) == sorted(again.collect())
-    assert sorted(out.collect()) != sorted(sp.stratified_split(df, "y", "id", 0.2, 0.2, seed=1).collect())
+    assert sorted(out.collect()) != sorted(sp.assign(df, sp.SplitSpec(0.2, 0.2, seed=1), "y", "id").collect())
 
 
 def test_held_out_rows_are_the_test_rows(spark):
     df = spark.range(500).select("id", (F.col("id") % 5 == 0).cast("int").alias("y"))
-    full = sp.split_data(df, "y", "id")
+    full = sp.assign(df, sp.SplitSpec.configured({}), "y", "id")
     test = sorted(r.id for r in full.filter("split = 'test'").collect())
-    assert sorted(r.id for r in sp.held_out_split(df, "y", "id").collect()) == test
-    two = sp.two_way_split(df, {"train_size": 0.7, "dev_size": 0.15}, "y", "id")
+    assert sorted(r.id for r in sp.test_rows(df, sp.SplitSpec(), "y", "id").collect()) == test
+    two = sp.assign(df, sp.SplitSpec.configured({"train_size": 0.7, "dev_size": 0.15}, parts=2), "y", "id")
     assert sorted(r.id for r in two.filter("split = 'test'").collect()) == test
 
 
+def test_many_classes(spark, monkeypatch):
+    """Counts per class are exact with thousands of classes, nulls among them, whether cut-offs are broadcast or joined."""
+    df = spark.range(30_000).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 5_000).alias("y"))
+    spec = sp.SplitSpec(0.25, None)
+    out = sp.assign(df, spec, "y", "id")
+    assert counts(out, "split") == {("train",): 22_500, ("test",): 7_500}
+    assert counts(out.filter("y IS NULL"), "split") == {("train",): 7_500, ("test",): 2_500}
+    each = out.filter("split = 'test'").groupBy("y").count().filter("y IS NOT NULL").agg(F.min("count"), F.max("count")).first()
+    assert each[0] >= 1 and each[1] <= 2
+    monkeypatch.setattr(sp, "BROADCAST_CLASSES", 10)
+    assert sorted(sp.assign(df, spec, "y", "id").collect()) == sorted(out.collect())
+
+
 def test_time_split(spark):
     rows = [("2024-01-01", 1), ("2024-02-01", 2), ("2024-03-01", 3), ("2024-04-01", 4), (None, 5)]
     df = spark.createDataFrame(rows, "day string, f int")
-    out = {r.f: r.split for r in sp.time_split(df, "day", "2024-03-15", "2024-02-15").collect()}
+    spec = sp.SplitSpec(date_col="day", test_after="2024-03-15", dev_after="2024-02-15")
+    out = {r.f: r.split for r in sp.assign(df, spec, "f", "f").collect()}
     assert out == {1: "train", 2: "train", 3: "dev", 4: "test"}
+    assert [r.f for r in sp.test_rows(df, spec, "f", "f").collect()] == [4]
+    with pytest.raises(sp.EmptySplitError):
+        sp.assign(df, replace(spec, test_after="2030-01-01"), "f", "f")
     with pytest.raises(ValueError):
-        sp.time_split(df, "day", "2030-01-01", "2024-02-15")
-    with pytest.raises(ValueError):
-        sp.time_split(df, "absent", "2024-03-15")
+        sp.assign(df, replace(spec, date_col="absent"), "f", "f")
 
 
 def test_fallbacks_and_bad_sizes(spark):
     df = spark.createDataFrame([(i, i % 2, "2024-01-01") for i in range(40)], "id int, y int, day string")
     cfg = {"strategy": "time", "dev_end": "2025-01-01", "date_col": "day"}
     with pytest.warns(UserWarning):
-        assert set(counts(sp.two_way_split(df, cfg, "y", "id"), "split")) == {("train",), ("test",)}
-    with pytest.raises(ValueError):
-        sp.two_way_split(df, {**cfg, "fallback": "none"}, "y", "id")
-    with pytest.raises(ValueError):
-        sp.resolve_split_sizes(0.9, 0.2)
+        assert set(counts(sp.assign(df, sp.SplitSpec.configured(cfg, parts=2), "y", "id"), "split")) == {("train",), ("test",)}
     with pytest.raises(ValueError):
-        sp.two_way_split(df, {"strategy": "other"}, "y", "id")
+        sp.assign(df, sp.SplitSpec.configured({**cfg, "fallback": "none"}, parts=2), "y", "id")
+    for bad in ({"train_size": 0.9, "dev_size": 0.2}, {"strategy": "other"}, {"strategy": "time"}, {"dev_size": 0.0}):
+        with pytest.raises(ValueError):
+            sp.SplitSpec.configured(bad)
+    assert sp.SplitSpec.configured({"strategy": "time", "fallback": "random"}) == sp.SplitSpec()
 
 
 def test_saved_ids(spark):
     df = spark.createDataFrame([("a", 1, 0), ("b", 2, 1), ("c", 3, 0)], "customerID string, f int, y int")
-    saved = spark.createDataFrame([("a", "test"), ("c", "TEST"), ("b", "train")], "row_id string, split string")
-    got = sp.rows_from_saved_split(df, ["f"], saved, "customerID", "y", "y")
+    saved = sp.SavedSplit(spark.createDataFrame([("a", "test"), ("c", "TEST"), ("b", "train")], "row_id string, split string"))
+    got = saved.select(df, ["f"], "customerID", "y", "y")
     assert sorted((r.customerID, r.f) for r in got.collect()) == [("a", 1), ("c", 3)]
     with pytest.raises(ValueError):
-        sp.rows_from_saved_split(df, ["f"], spark.createDataFrame([("x",)], "row_id string"), "customerID", "y", "y")
-    whole = spark.createDataFrame([(9, 1)], "f int, target int")
-    assert [tuple(r) for r in sp.rows_from_saved_split(df, ["f"], whole, "customerID", "label", "y").collect()] == [(9, 1)]
+        sp.SavedSplit(spark.createDataFrame([("x",)], "row_id string")).select(df, ["f"], "customerID", "y", "y")
+    whole = sp.SavedSplit(spark.createDataFrame([(9, 1)], "f int, target int"))
+    assert [tuple(r) for r in whole.select(df, ["f"], "customerID", "label", "y").collect()] == [(9, 1)]
 
 
 def test_feature_contract():

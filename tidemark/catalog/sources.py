@@ -9,7 +9,7 @@ from ..operators import causal as c
 from ..operators import metrics as mt
 from ..operators import subscription as sub
 from ..operators.models import METRIC_SCHEMA, candidate_table
-from ..operators.splits import two_way_split
+from ..operators.splits import SplitSpec, assign
 from ..plans.causal_report import causal_report
 from ..plans.feature_table import build_feature_table, recap
 from ..session import fresh_path
@@ -94,13 +94,13 @@ def s10_recap(spark, sf):
     return rounded(recap(spark, base, fresh_path(spark, "recapped")).select("msno", *CAPPED_DOUBLES), CAPPED_DOUBLES)
 
 
-_CONFIG = {"train_size": 0.7, "dev_size": 0.15}
+_SPEC = SplitSpec(dev=None)
 
 
 @query("s11_split_tables", _S + stratified_sql(dev=False))
 def s11_split_tables(spark, sf):
     train, test = sinks.split_paths(fresh_path(spark, "table") + ".parquet")
-    sinks.write_split(two_way_split(bind(spark, sf, "b_scored"), _CONFIG, "y", "id"), train, test)
+    sinks.write_split(assign(bind(spark, sf, "b_scored"), _SPEC, "y", "id"), train, test)
     parts = [spark.read.parquet(p).select("id", "y", F.lit(name).alias("split")) for name, p in (("train", train), ("test", test))]
     return parts[0].unionByName(parts[1])
 
@@ -110,13 +110,13 @@ def s12_split_existing(spark, sf):
     path = fresh_path(spark, "existing") + ".parquet"
     bind(spark, sf, "b_scored").write.parquet(path)
     for _ in range(2):  # the second call finds the parts and does nothing
-        assert sinks.split_existing(spark, path, _CONFIG, "y", "id")
+        assert sinks.ensure_split(spark, path, _SPEC, "y", "id")
     return spark.read.parquet(sinks.split_paths(path)[1]).select("id", "y")
 
 
 def _test_artifacts(spark, sf):
     directory = fresh_path(spark, "artifacts")
-    parts = two_way_split(bind(spark, sf, "b_scored"), _CONFIG, "y", "id")
+    parts = assign(bind(spark, sf, "b_scored"), _SPEC, "y", "id")
     sinks.write_test_artifacts(parts.filter("split = 'test'").drop("split"), "id", directory)
     return directory
 

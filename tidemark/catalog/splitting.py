@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import subscription as sub
-from ..operators.splits import (
-    filter_saved_split, held_out_split, rows_from_saved_split, split_data, stratified_split, time_split, two_way_split,
-)
+from ..operators.splits import SavedSplit, SplitSpec, assign, test_rows
 from .bindings import bind, cte
 from .registry import query
 from .subscription import TXN_LATEST, TXN_LINKED, transactions_cte
@@ -40,7 +38,8 @@ SELECT id, y, CASE WHEN r <= k_test THEN 'test' WHEN r <= k_dev THEN 'dev' ELSE
 
 @query("sp1_two_way", _SCORED + stratified_sql(dev=False))
 def sp1_two_way(spark, sf):
-    return two_way_split(bind(spark, sf, "b_scored"), {"train_size": 0.7, "dev_size": 0.15}, "y", "id").select("id", "y", "split")
+    spec = SplitSpec.configured({"train_size": 0.7, "dev_size": 0.15}, parts=2)
+    return assign(bind(spark, sf, "b_scored"), spec, "y", "id").select("id", "y", "split")
 
 
 _DATED = "WITH " + cte("b_transactions") + ",\n" + ",\n".join([transactions_cte(), TXN_LINKED, TXN_LATEST])
@@ -54,35 +53,37 @@ def _latest(spark, sf):
 @query("sp2_time_two_way", _DATED + "\nSELECT msno, CASE WHEN latest_transaction_date > DATE '2001-06-01' THEN 'test' ELSE 'train' END AS split FROM t_latest WHERE latest_transaction_date IS NOT NULL")
 def sp2_time_two_way(spark, sf):
     config = {"strategy": "time", "dev_end": "2001-06-01", "date_col": "latest_transaction_date"}
-    return two_way_split(_latest(spark, sf), config, "y", "msno").select("msno", "split")
+    return assign(_latest(spark, sf), SplitSpec.configured(config, parts=2), "y", "msno").select("msno", "split")
 
 
 @query("sp3_time_three_way", _DATED + "\nSELECT msno, CASE WHEN latest_transaction_date > DATE '2001-06-01' THEN 'test' WHEN latest_transaction_date > DATE '2001-03-01' THEN 'dev' ELSE 'train' END AS split FROM t_latest")
 def sp3_time_three_way(spark, sf):
-    return time_split(_latest(spark, sf), "latest_transaction_date", dev_end="2001-06-01", train_end="2001-03-01").select("msno", "split")
+    spec = SplitSpec(date_col="latest_transaction_date", test_after="2001-06-01", dev_after="2001-03-01")
+    return assign(_latest(spark, sf), spec, "y", "msno").select("msno", "split")
 
 
 @query("sp4_stratified", _SCORED + stratified_sql(dev=True))
 def sp4_stratified(spark, sf):
-    return stratified_split(bind(spark, sf, "b_scored"), "y", "id", 0.15, 1.0 - 0.7 - 0.15).select("id", "y", "split")
+    return assign(bind(spark, sf, "b_scored"), SplitSpec(), "y", "id").select("id", "y", "split")
 
 
 @query("sp5_fallback", _SCORED + stratified_sql(dev=True))
 def sp5_fallback(spark, sf):
     """A time split whose test part is empty falls back to the stratified one."""
     df = bind(spark, sf, "b_scored").withColumn("day", F.lit("2001-01-01"))
-    out = split_data(df, "y", "id", "subscription", fallback="random", date_col="day", train_end="2002-01-01", dev_end="2003-01-01")
+    config = {"fallback": "random", "date_col": "day", "train_end": "2002-01-01", "dev_end": "2003-01-01"}
+    out = assign(df, SplitSpec.configured(config, "subscription"), "y", "id")
     return out.select("id", "y", "split")
 
 
 @query("sp6_test_only", "WITH all_parts AS (" + _SCORED + stratified_sql(dev=False) + ")\nSELECT id, y FROM all_parts WHERE split = 'test'")
 def sp6_test_only(spark, sf):
-    return held_out_split(bind(spark, sf, "b_scored"), "y", "id").select("id", "y")
+    return test_rows(bind(spark, sf, "b_scored"), SplitSpec(), "y", "id").select("id", "y")
 
 
 @query("u1_train_and_dev", "WITH all_parts AS (" + _SCORED + stratified_sql(dev=True) + ")\nSELECT split, y, count(*) AS n FROM all_parts WHERE split IN ('train', 'dev') GROUP BY split, y")
 def u1_train_and_dev(spark, sf):
-    parts = stratified_split(bind(spark, sf, "b_scored"), "y", "id", 0.15, 1.0 - 0.7 - 0.15)
+    parts = assign(bind(spark, sf, "b_scored"), SplitSpec(), "y", "id")
     return parts.filter("split in ('train', 'dev')").groupBy("split", "y").agg(F.count("*").alias("n"))
 
 
@@ -98,15 +99,15 @@ def _saved(spark, sf):
 
 @query("p20_split_filter", _SAVED + "\nSELECT row_id, partition FROM saved WHERE lower(partition) LIKE '%test%'")
 def p20_split_filter(spark, sf):
-    return filter_saved_split(_saved(spark, sf)).select("row_id", "partition")
+    return SavedSplit(_saved(spark, sf)).test.select("row_id", "partition")
 
 
 @query("p20_flag_filter", _SAVED + "\nSELECT row_id, is_test FROM saved WHERE is_test")
 def p20_flag_filter(spark, sf):
-    return filter_saved_split(_saved(spark, sf).drop("partition"))
+    return SavedSplit(_saved(spark, sf).drop("partition")).test
 
 
 @query("j3_saved_ids", _SAVED + "\nSELECT id, y, p FROM b_scored WHERE CAST(id AS STRING) IN (SELECT row_id FROM saved WHERE is_test)")
 def j3_saved_ids(spark, sf):
     df = bind(spark, sf, "b_scored")
-    return rows_from_saved_split(df, ["p", "absent_feature"], _saved(spark, sf), "id", "y", "y").select("id", "y", "p")
+    return SavedSplit(_saved(spark, sf)).select(df, ["p", "absent_feature"], "id", "y", "y").select("id", "y", "p")

@@ -2,119 +2,121 @@
 
 ``percentile`` keeps every distinct value in its final task. Here one pass brackets each wanted
 rank with a quantile sketch, merged in two levels so that no task merges one sketch per input
-split; a second pass folds everything below a bracket into one count per task and shuffles only
-the few values inside it. The sketch only chooses the bracket: the result is exact, and a rank
-that falls outside its bracket fails the job instead of passing unnoticed.
+split; a second pass counts what lies below each bracket and shuffles only the few values inside it, ordered by range
+over all targets. The sketch only chooses the bracket: a rank outside it has its bracket widened and is read again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import math
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed_values import CAP_PROBABILITIES, CAPPED_COLUMNS
+from .ranking import with_running_totals
 
 # A sketch of this size errs by about 0.1 % of the rows; brackets reach several times that.
 SKETCH_SIZE = 4_000
 SLACK = 0.005
 # Sketches of one series are first merged in this many groups.
 MERGE_GROUPS = 256
-# Up to this many values the bracket is the whole column.
-SMALL_COUNT = 10_000
-
 
-def _order_statistics(df: DataFrame, series: dict[str, Column], wanted: list[tuple], dtype: str) -> DataFrame:
-    """Rows (target, low_value, high_value, fraction): target i is the i-th entry of ``wanted``.
 
-    ``wanted`` lists (series name, probability, rank): the 0-based rank as given, or, when None,
-    rank (n-1)*probability, which may fall between two values.
-    """
-    names = list(series)
-    pairs = [F.struct(F.lit(i).alias("series"), series[n].cast(dtype).alias("value")) for i, n in enumerate(names)]
-    values = df.select(F.explode(F.array(*pairs)).alias("v")).select("v.series", "v.value").filter(F.col("value").isNotNull())
-
-    ends = sorted({e for _, p, _ in wanted for e in (max(p - SLACK, 0.0), min(p + SLACK, 1.0))})
-    fitted = (
-        values.groupBy("series", F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("part"))
-        .agg(F.count("*").alias("n"), F.kll_sketch_agg_double(F.col("value").cast("double"), SKETCH_SIZE).alias("sketch"))
-        .groupBy("series")
-        .agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch"))
-        .select("series", "n", F.kll_sketch_get_quantile_double("sketch", F.array(*map(F.lit, ends))).alias("ends"))
-    )
-    targets = F.array(*[
-        F.struct(
-            F.lit(i).alias("target"), F.lit(names.index(name)).alias("series"),
-            F.lit(float(p)).alias("p"), F.lit(rank).cast("double").alias("rank"),
-            F.lit(ends.index(max(p - SLACK, 0.0)) if p > SLACK else None).cast("int").alias("lo"),
-            F.lit(ends.index(min(p + SLACK, 1.0)) if p < 1 - SLACK else None).cast("int").alias("hi"),
-        )
-        for i, (name, p, rank) in enumerate(wanted)
-    ])
-    whole = F.col("n") <= SMALL_COUNT
-    brackets = (
-        fitted.withColumn("t", F.explode(targets)).filter(F.col("series") == F.col("t.series"))
-        .select(
-            "series", "t.target",
-            F.coalesce("t.rank", (F.col("n") - 1) * F.col("t.p")).alias("rank"),
-            F.when(~whole, F.get("ends", F.col("t.lo"))).alias("lo"),
-            F.when(~whole, F.get("ends", F.col("t.hi"))).alias("hi"),
-        )
+def _sketches(df: DataFrame, names: list[str]) -> DataFrame:
+    """One row: the count of each series, then its merged sketch. No row is copied per series."""
+    parts = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("part")).agg(
+        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(names)],
+        *[F.kll_sketch_agg_double(F.col(c).cast("double"), SKETCH_SIZE).alias(f"s_{i}") for i, c in enumerate(names)],
     )
+    return parts.agg(*[F.sum(f"n_{i}").alias(f"n_{i}") for i in range(len(names))],
+                     *[F.kll_merge_agg_double(f"s_{i}").alias(f"s_{i}") for i in range(len(names))])
 
-    value, lo, hi = F.col("value"), F.col("lo"), F.col("hi")
-    counted = (
-        values.join(F.broadcast(brackets), "series")  # one row per target
-        .filter(hi.isNull() | (value <= hi))
-        .groupBy("target", "rank", F.when(lo.isNull() | (value >= lo), value).alias("value"))
-        .agg(F.count("*").alias("rows"))
-    )
-    # Per target: one row for all below its bracket, and the distinct values inside it.
-    upward = Window.partitionBy("target").orderBy(F.col("value").asc_nulls_first())
-    placed = counted.withColumn("last", F.sum("rows").over(upward) - 1).withColumn("first", F.col("last") - F.col("rows") + 1)
 
-    def at(position: Column) -> Column:
-        return F.max(F.when(position.between(F.col("first"), F.col("last")), value))
+def _order_statistics(df: DataFrame, names: list[str], wanted: list[tuple[str, float]]) -> list[tuple]:
+    """Per (series, probability) its (low value, high value, fraction) around rank (n - 1) * probability, or None.
 
-    found = placed.groupBy("target").agg(
-        at(F.floor("rank")).alias("low_value"),
-        at(F.ceil("rank")).alias("high_value"),
-        F.max(F.col("rank") - F.floor("rank")).alias("fraction"),
-    )
-    complete = F.col("low_value").isNotNull() & F.col("high_value").isNotNull()
-    return found.withColumn(
-        "low_value",
-        F.when(complete, F.col("low_value")).otherwise(F.raise_error(F.lit("quantile bracket missed its rank")).cast(dtype)),
-    )
+    Only counts, brackets and results, a few numbers per target, come to the driver.
+    """
+    row = _sketches(df, names).first()
+    counts, sketches = [n or 0 for n in row[:len(names)]], row[len(names):]
+    held = df.sparkSession.createDataFrame([sketches], ", ".join(f"s_{i} binary" for i in range(len(names))))
+
+    def brackets(targets: list[int], slack: float) -> dict[int, tuple]:
+        """(n, low end, high end) around the ranks next to each target's; an end beyond the column is None."""
+        asked = {}
+        for t in targets:
+            i = names.index(wanted[t][0])
+            rank = (counts[i] - 1) * wanted[t][1]
+            for side, place in enumerate(((math.floor(rank) - 1) / counts[i] - slack, (math.ceil(rank) + 2) / counts[i] + slack)):
+                if 0 < place < 1:
+                    asked[t, side] = F.kll_sketch_get_quantile_double(F.col(f"s_{i}"), F.lit(place))
+        ends = dict(zip(asked, held.select(*[c.alias(f"e_{k}") for k, c in enumerate(asked.values())]).first())) if asked else {}
+        return {t: (counts[names.index(wanted[t][0])], ends.get((t, 0)), ends.get((t, 1))) for t in targets}
+
+    found: list[tuple | None] = [None] * len(wanted)
+    slack, left = SLACK, [t for t, (name, _) in enumerate(wanted) if counts[names.index(name)]]
+    while left:
+        for t, value in _ranked(df, wanted, brackets(left, slack)).items():
+            found[t] = value
+        left, slack = [t for t in left if found[t] is None], slack * 8
+    return found
+
+
+def _ranked(df: DataFrame, wanted: list[tuple[str, float]], brackets: dict[int, tuple]) -> dict[int, tuple]:
+    """The targets whose ranks lie inside their brackets (n, low end, high end; None is open)."""
+    def bound(t: int) -> tuple[Column, Column]:
+        value, (_, low, high) = F.col(wanted[t][0]), brackets[t]
+        below = F.lit(False) if low is None else value < F.lit(low)
+        return below, value.isNotNull() & ~below & (F.lit(True) if high is None else value <= F.lit(high))
+
+    under = df.agg(*[F.count_if(bound(t)[0]).alias(str(t)) for t in brackets]).first()
+    inside = F.array(*[F.when(bound(t)[1], F.struct(F.lit(t).alias("target"), F.col(wanted[t][0]).cast("double").alias("value"))) for t in brackets])
+    values = df.select(F.explode(F.filter(inside, lambda x: x.isNotNull())).alias("v")).groupBy("v.target", "v.value").agg(F.count("*").alias("rows"))
+    placed = with_running_totals(values, [F.col("target"), F.col("value")], {"upto": F.col("rows")})
+    first = placed.groupBy("target").agg(F.min(F.col("upto") - F.col("rows")).alias("before"))  # a row per target
+    ranks = F.create_map(*[x for t, (n, _, _) in brackets.items() for x in (F.lit(t), F.lit((n - 1) * wanted[t][1]))])
+    below = F.create_map(*[x for t in brackets for x in (F.lit(t), F.lit(under[str(t)]))])
+    last = F.col("upto") - F.col("before") + below[F.col("target")] - 1
+    numbered = placed.join(F.broadcast(first), "target").select("target", "value", last.alias("last"), (last - F.col("rows") + 1).alias("first"), ranks[F.col("target")].alias("rank"))
 
+    def at(position: Column) -> Column:
+        return F.max(F.when(position.between(F.col("first"), F.col("last")), F.col("value")))
 
-def _one_row(found: DataFrame, value: Column) -> DataFrame:
-    """All targets of ``found`` as a map in one row."""
-    return found.agg(F.map_from_entries(F.collect_list(F.struct("target", value))).alias("m"))
+    rows = numbered.groupBy("target").agg(at(F.floor("rank")).alias("low"), at(F.ceil("rank")).alias("high")).collect()
+    fraction = {t: (n - 1) * wanted[t][1] % 1 for t, (n, _, _) in brackets.items()}
+    return {r["target"]: (r["low"], r["high"], fraction[r["target"]]) for r in rows if r["low"] is not None and r["high"] is not None}
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
     """One row; per column an array of exact linearly interpolated quantiles, NULL/NaN ignored.
 
-    ``df`` is read twice with only ``columns``: materialise it first when it is costly.
+    ``df`` is read three times with only ``columns``, and more often where a bracket must be widened: materialise it
+    first when it is costly.
     """
     probabilities = [float(p) for p in probabilities]
-    series = {
-        name: F.when(~F.isnan(F.col(name).cast("double")), F.col(name).cast("double"))
-        for name in columns
-    }
-    wanted = [(name, p, None) for name in columns for p in probabilities]
-    low, high = F.col("low_value"), F.col("high_value")
-    row = _one_row(_order_statistics(df, series, wanted, "double"), low + (high - low) * F.col("fraction"))
+    number = {name: F.col(name).cast("double") for name in columns}
+    numeric = df.select(*[F.when(~F.isnan(c), c).alias(f"c{i}") for i, c in enumerate(number.values())])
+    names = [f"c{i}" for i in range(len(columns))]
+    found = _order_statistics(numeric, names, [(name, p) for name in names for p in probabilities])
+    values = [None if x is None else x[0] + (x[1] - x[0]) * x[2] for x in found]
     k = len(probabilities)
-    return row.select(*[
-        F.array(*[F.try_element_at("m", F.lit(i * k + j)) for j in range(k)]).alias(name) for i, name in enumerate(columns)
-    ])
+    row = tuple(values[i * k:(i + 1) * k] for i in range(len(columns)))
+    return df.sparkSession.createDataFrame([row], ", ".join(f"`{c}` array<double>" for c in columns))
+
 
+def grouped_ranks(df: DataFrame, group: str, wanted: DataFrame) -> DataFrame:
+    """Rows (group, part, value): of each group the value at the 0-based ``rank`` of ``wanted`` (group, part, rank).
 
-def exact_ranks(df: DataFrame, series: dict[str, Column], wanted: list[tuple[str, int, int]]) -> DataFrame:
-    """One row of BIGINTs, one per wanted (series, 0-based rank, series row count), as r0, r1, ..."""
-    targets = [(name, rank / max(n - 1, 1), rank) for name, rank, n in wanted]
-    row = _one_row(_order_statistics(df, series, targets, "bigint"), F.col("low_value"))
-    return row.select(*[F.try_element_at("m", F.lit(i)).alias(f"r{i}") for i in range(len(wanted))])
+    ``df`` has ``group`` and ``value``. Distinct values are numbered by a sort by range over group and value, so neither a large
+    group nor many groups meet in one task; negative ranks have no row.
+    """
+    values = df.groupBy(group, "value").agg(F.count("*").alias("rows"))
+    placed = with_running_totals(values, [F.col(group).asc_nulls_first(), F.col("value")], {"upto": F.col("rows")})
+    starts = placed.groupBy(F.col(group).alias("_of")).agg(F.min(F.col("upto") - F.col("rows")).alias("before"))
+    targets = wanted.join(starts, F.col(group).eqNullSafe(F.col("_of"))).select(
+        F.col(group).alias("_group"), "part", (F.col("rank") + F.col("before")).alias("at")).filter(F.col("rank") >= 0)
+    hit = placed[group].eqNullSafe(F.col("_group")) & (F.col("at") < F.col("upto")) & (F.col("at") >= F.col("upto") - F.col("rows"))
+    return placed.join(targets, hit).select(group, "part", "value")
 
 
 def fit_caps(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.columns import in_hash_sample
 from ..operators import subscription as sub
 from ..operators.quantiles import add_capped_columns
-from ..operators.splits import two_way_split
+from ..operators.splits import SplitSpec, assign
 from ..session import fresh_path
-from ..sources.sinks import split_existing, split_paths, stage, write_split
+from ..sources.sinks import ensure_split, split_paths, stage, write_split
 from ..sources.tables import path_exists, read_labels, read_logs, read_members, read_table, read_transactions
 
 
@@ -52,7 +52,8 @@ def build_feature_table(
     """
     if sample_fraction is not None and not 0 < float(sample_fraction) <= 1:
         raise ValueError("sample_fraction must be in (0, 1]")
-    if split_test and split_existing(spark, output, split_config, "is_churn", "msno", test_output, reuse):
+    spec = None if split_config is None else SplitSpec.configured(split_config, parts=2, date_col="latest_transaction_date")
+    if split_test and reuse and ensure_split(spark, output, spec, "is_churn", "msno", test_output):
         return spark.read.parquet(output)
     if recap_only:
         return recap(spark, base_output, output, add_capped)
@@ -77,7 +78,7 @@ def build_feature_table(
     final.write.mode("overwrite").parquet(output)
     table = spark.read.parquet(output)
     if split_test:
-        if split_config is None:
+        if spec is None:
             raise ValueError("split_test needs a split config")
-        write_split(two_way_split(table, split_config, "is_churn", "msno"), *split_paths(output, test_output))
+        write_split(assign(table, spec, "is_churn", "msno"), *split_paths(output, test_output))
     return table

@@ -12,7 +12,7 @@ from ..functions.columns import in_hash_sample
 from ..functions.telco import engineer_telco, fit_bill_cutoffs
 from ..operators import models as m
 from ..operators.metrics import evaluate_scores
-from ..operators.splits import split_data
+from ..operators.splits import SplitSpec, assign
 from ..operators.subscription import column_roles, fill_categories, model_frame
 from ..session import materialise
 from ..sources.sinks import write_metadata, write_report_csv, write_test_artifacts
@@ -27,14 +27,8 @@ def sample_rows(df: DataFrame, id_col: str, fraction: float | None = None, max_r
 
 
 def _split(df: DataFrame, cfg: dict, label: str, id_col: str, dataset: str) -> DataFrame:
-    s = cfg.get("split", {})
-    default_date = "latest_transaction_date" if dataset == "subscription" else "transaction_date"
-    return split_data(
-        df, label, id_col, dataset, strategy=s.get("strategy"), fallback=s.get("fallback"),
-        seed=s.get("random_state", 42), train_size=s.get("train_size"), dev_size=s.get("dev_size"),
-        test_size=s.get("test_size"), date_col=s.get("date_col", default_date),
-        train_end=s.get("train_end"), dev_end=s.get("dev_end"),
-    )
+    date_col = "latest_transaction_date" if dataset == "subscription" else "transaction_date"
+    return assign(df, SplitSpec.configured(cfg.get("split", {}), dataset, date_col=date_col), label, id_col)
 
 
 def assemble_dataset(df: DataFrame, cfg: dict, source: str = "") -> m.Dataset:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.splits import two_way_split
+from ..operators.splits import SplitSpec, assign
 from .tables import path_exists, read_table
 
 
@@ -30,16 +30,16 @@ def write_split(df: DataFrame, train_path: str, test_path: str) -> None:
         df.filter(F.col("split") == part).drop("split").write.mode("overwrite").parquet(path)
 
 
-def split_existing(spark: SparkSession, table_path: str, config: dict | None, label: str, id_col: str,
-                   test_path: str | None = None, reuse: bool = True) -> bool:
-    """Split an already built table when its parts are missing; True when the caller may stop."""
-    if not reuse or not path_exists(spark, table_path):
+def ensure_split(spark: SparkSession, table_path: str, spec: SplitSpec | None, label: str, id_col: str, test_path: str | None = None) -> bool:
+    """Whether the table at ``table_path`` exists; if it does, its two parts do too afterwards."""
+    parts = split_paths(table_path, test_path)
+    if not path_exists(spark, table_path):
         return False
-    if config is None:
-        raise ValueError("splitting an existing table needs a split config")
-    train_out, test_out = split_paths(table_path, test_path)
-    if not (path_exists(spark, train_out) and path_exists(spark, test_out)):
-        write_split(two_way_split(read_table(spark, table_path), config, label, id_col), train_out, test_out)
+    if all(path_exists(spark, p) for p in parts):
+        return True
+    if spec is None:
+        raise ValueError(f"{table_path} is to be split, but nothing says how")
+    write_split(assign(read_table(spark, table_path), spec, label, id_col), *parts)
     return True
 
 
