@@ -17,17 +17,27 @@ _COUNTS = np.array([n for n, _ in SELECTORS] + [1])
 _LIMIT = np.uint64(1) << np.uint64(60)
 
 
-def _widths(values: np.ndarray) -> np.ndarray:
-    """Bits of each value."""
+def _exact_widths(values: np.ndarray) -> np.ndarray:
     out = np.zeros(len(values), np.uint8)
-    for width in (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 60):
-        out[values >= np.uint64(1) << np.uint64(width - 1)] = width
-    for width, limit in zip((1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20), (2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 60)):
-        out[(out == width) & (values >= np.uint64(1) << np.uint64(width))] = limit
+    for narrower, width in zip((0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20), (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 60)):
+        out[values >= np.uint64(1) << np.uint64(narrower)] = width
     out[values >= _LIMIT] = 64
     return out
 
 
+_SMALL_WIDTHS = _exact_widths(np.arange(1 << 16, dtype=np.uint64))
+
+
+def _widths(values: np.ndarray) -> np.ndarray:
+    """The narrowest selector's bits that hold each value, 64 for an escape."""
+    small = values < len(_SMALL_WIDTHS)
+    if small.all():
+        return _SMALL_WIDTHS[values]
+    out = _SMALL_WIDTHS[np.where(small, values, 0)]
+    out[~small] = _exact_widths(values[~small])
+    return out
+
+
 def _selectors(widths: np.ndarray) -> np.ndarray:
     """The selector of most values that a word starting at each position can have."""
     n = len(widths)
