@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import causal as c
-from tidemark.operators.ranking import top_share
+from tidemark.operators.cuts import top_share
 from tidemark.plans.causal_report import causal_report
 
 ROWS = [
@@ -62,6 +62,18 @@ def test_quantile_bin_sizes(spark):
     assert [r.bin for r in one] == [0]
 
 
+def test_cuts_through_ties_and_nulls(spark):
+    """A constant score, nulls and a repeated score are cut by id, in the same places as a full sort."""
+    df = spark.range(997).selectExpr("id", "CASE WHEN id % 5 = 0 THEN NULL WHEN id % 3 = 0 THEN 0.5D ELSE (id * 37 % 211) / 211D END AS score").repartition(5)
+    pdf = df.toPandas().sort_values(["score", "id"], ascending=[False, True], na_position="last").reset_index(drop=True)
+    for share in (0.001, 0.3, 0.5, 0.79, 0.9, 1.0):
+        assert sorted(r.id for r in top_share(df, "score", "id", share).collect()) == sorted(pdf.id[: max(1, int(997 * share))])
+    got = {r.id: r.bin for r in c.score_bins(df, "score", "id", 7).collect()}
+    assert [got[i] for i in pdf.id] == [max((rank * 7 + 995) // 996 - 1, 0) for rank in range(997)]
+    constant = df.withColumn("score", F.lit(1.0))
+    assert sorted(r.id for r in top_share(constant, "score", "id", 0.1).collect()) == list(range(99))
+
+
 def test_top_share(toy):
     assert sorted(r.id for r in top_share(toy, "score", "id", 0.25).collect()) == [0, 1]
     assert top_share(toy, "score", "id", 0.01).count() == 1

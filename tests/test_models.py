@@ -3,6 +3,7 @@ from math import factorial
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ def data(telco):
 @pytest.fixture(scope="module")
 def ready(data):
     rows = m.prepared(data.frame, data)
-    fitted = m.preprocessor(data.numeric, data.categorical).fit(rows)
+    fitted = m.fit_preprocessor(rows, data.numeric, data.categorical)
     return fitted, fitted.transform(rows).select("customerID", "split", m.LABEL, m.WEIGHT, "features").persist()
 
 
@@ -44,7 +45,7 @@ def test_dataset_roles(data):
 
 def test_unknown_category_is_all_zero(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",)], "c string")
-    fitted = m.preprocessor([], ["c"]).fit(df)
+    fitted = m.fit_preprocessor(df, [], ["c"])
     assert m.feature_names(fitted) == ["cat__c_a", "cat__c_b"]
     got = fitted.transform(spark.createDataFrame([("a",), ("zzz",)], "c string")).select(vector_to_array("features")).collect()
     assert [r[0] for r in got] == [[1.0, 0.0], [0.0, 0.0]]
@@ -124,9 +125,8 @@ def test_evaluation_uses_the_saved_split(spark, telco, tmp_path):
 
 def test_linear_models_name_no_drivers(spark, telco, data):
     rows = m.prepared(data.frame, data)
-    from pyspark.ml import Pipeline
-
-    model = Pipeline(stages=[*m.preprocessor(data.numeric, data.categorical).getStages(), m.logistic(100, 10)]).fit(rows)
+    fitted = m.fit_preprocessor(rows, data.numeric, data.categorical)
+    model = PipelineModel([*fitted.stages, m.logistic(100, 10).fit(fitted.transform(rows))])
     out = sc.score_rows(telco, model, data.numeric, data.categorical, cutoffs=(data.extra["p75"], data.extra["median"]))
     assert not [c for c in out.columns if c.startswith("top_driver")]
     importance = m.global_importance(model.stages[-1], m.feature_names(model), 5)

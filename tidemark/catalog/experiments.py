@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import causal as c
-from ..operators.ranking import top_share
+from ..operators.cuts import top_share
 from ..operators.reporting import causal_insights, causal_view
 from ..plans.causal_report import causal_report
 from .bindings import bind, cte

@@ -33,30 +33,30 @@ def _fitted(spark, sf):
     """(dataset, preprocessor model, all rows with their feature vector)."""
     data = dataset(spark, sf)
     rows = m.prepared(data.frame, data)
-    fitted = m.preprocessor(data.numeric, data.categorical).fit(rows.filter("split = 'train'"))
+    fitted = m.fit_preprocessor(rows.filter("split = 'train'"), data.numeric, data.categorical)
     return data, fitted, fitted.transform(rows).select(data.id_col, "split", m.LABEL, m.WEIGHT, "features")
 
 
-@query("m1_median_impute")
+@query("m1_median_impute", "WITH " + cte("b_telco") + ", numbers AS (SELECT customerID, TRY_CAST(trim(TotalCharges) AS DOUBLE) AS x FROM b_telco)\nSELECT customerID, coalesce(x, (SELECT quantile_cont(x, 0.5) FROM numbers)) AS TotalCharges FROM numbers")
 def m1_median_impute(spark, sf):
     df = bind(spark, sf, "b_telco").select("customerID", F.trim("TotalCharges").try_cast("double").alias("TotalCharges"))
-    fitted = m.preprocessor(["TotalCharges"], []).fit(df)
+    fitted = m.fit_preprocessor(df, ["TotalCharges"], [])
     return fitted.transform(df).select("customerID", F.col("TotalCharges__filled").alias("TotalCharges"))
 
 
 @query("m2_standardise", rounded_sql("WITH " + cte("b_telco") + """
 --SELECT
-SELECT customerID, (MonthlyCharges - avg(MonthlyCharges) OVER ()) / stddev_samp(MonthlyCharges) OVER () AS charge, (tenure - avg(tenure) OVER ()) / stddev_samp(tenure) OVER () AS months FROM b_telco""", ["charge", "months"]))
+SELECT customerID, (MonthlyCharges - avg(MonthlyCharges) OVER ()) / stddev_pop(MonthlyCharges) OVER () AS charge, (tenure - avg(tenure) OVER ()) / stddev_pop(tenure) OVER () AS months FROM b_telco""", ["charge", "months"]))
 def m2_standardise(spark, sf):
     df = bind(spark, sf, "b_telco").select("customerID", "MonthlyCharges", F.col("tenure").cast("double").alias("tenure"))
-    out = m.preprocessor(["MonthlyCharges", "tenure"], []).fit(df).transform(df).withColumn("x", vector_to_array("features"))
+    out = m.fit_preprocessor(df, ["MonthlyCharges", "tenure"], []).transform(df).withColumn("x", vector_to_array("features"))
     return rounded(out.select("customerID", F.col("x")[0].alias("charge"), F.col("x")[1].alias("months")), ["charge", "months"])
 
 
 @query("m3_one_hot", "WITH " + cte("b_telco") + "\nSELECT customerID, 'cat__Contract_' || Contract AS slot FROM b_telco UNION ALL SELECT customerID, 'cat__PaymentMethod_' || coalesce(PaymentMethod, '__missing__') FROM b_telco")
 def m3_one_hot(spark, sf):
     df = sub.fill_categories(bind(spark, sf, "b_telco"), ["Contract", "PaymentMethod"])
-    fitted = m.preprocessor([], ["Contract", "PaymentMethod"]).fit(df)
+    fitted = m.fit_preprocessor(df, [], ["Contract", "PaymentMethod"])
     names = F.array(*map(F.lit, m.feature_names(fitted)))
     out = fitted.transform(df).select("customerID", F.posexplode(vector_to_array("features")).alias("i", "hot"))
     return out.filter("hot > 0").select("customerID", F.get(names, F.col("i")).alias("slot"))

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..fixed_values import SCORE_COLUMN_CANDIDATES
-from .ranking import quantile_bin, with_global_rank
+from .cuts import score_bins
 
 CLIP = (1e-3, 1 - 1e-3)
 
@@ -98,12 +98,6 @@ def score_column(columns: list[str], explicit: str | None = None) -> Column:
     return F.lit(1.0)
 
 
-def score_bins(df: DataFrame, score: str, tie_break: str, bins: int = 10) -> DataFrame:
-    """Add ``bin``: quantile bin of the row's position by score, highest first."""
-    ranked = with_global_rank(df, [F.col(score).desc_nulls_last(), F.col(tie_break).asc()], "_rank", "_total")
-    return ranked.withColumn("bin", quantile_bin("_rank", "_total", bins)).drop("_rank", "_total")
-
-
 def uplift_table(df: DataFrame, score: str = "score", tie_break: str = "id", treatment: str = "treatment", outcome: str = "outcome", bins: int = 10) -> DataFrame:
     """Per score bin: size, response rate per arm, uplift, running uplift, overall control rate."""
     binned = score_bins(df.select(score, tie_break, treatment, outcome), score, tie_break, bins)

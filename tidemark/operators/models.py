@@ -11,13 +11,14 @@ from multiprocessing.pool import ThreadPool
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, functions as F
 
 from .metrics import choose_threshold, evaluate_scores
 from .profile import LISTENER_METRICS
+from .quantiles import exact_quantiles
 
 LABEL, WEIGHT, SCORE = "label", "weight", "churn_probability"
 
@@ -42,16 +43,25 @@ class Dataset:
 # ---------------------------------------------------------------- preprocessing
 
 
-def preprocessor(numeric: list[str], categorical: list[str]) -> Pipeline:
-    """Median-impute and standardise numbers; one-hot categories (unknown ones become all zeros)."""
-    stages, parts = [], []
+def _computed(columns: dict[str, str]) -> SQLTransformer:
+    return SQLTransformer(statement="SELECT *, " + ", ".join(f"{sql} AS `{name}`" for name, sql in columns.items()) + " FROM __THIS__")
+
+
+def fit_preprocessor(df: DataFrame, numeric: list[str], categorical: list[str]) -> PipelineModel:
+    """Median-impute and standardise numbers; one-hot categories (unknown ones become all zeros).
+
+    Medians are exact and deviations those of the population; a constant column becomes 0. ``df`` is read several times.
+    """
+    fitted, stages, parts = [], [], []
     if numeric:
-        filled = [f"{c}__filled" for c in numeric]
-        stages += [
-            Imputer(strategy="median", inputCols=numeric, outputCols=filled, relativeError=0.0001),
-            VectorAssembler(inputCols=filled, outputCol="_numbers"),
-            StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True),
-        ]
+        medians = exact_quantiles(df, numeric, [0.5]).first()
+        fill = _computed({f"{c}__filled": f"coalesce(nanvl(`{c}`, NULL), {float((medians[c] or [0])[0] or 0)!r}D)" for c in numeric})
+        filled = fill.transform(df).agg(*[f(f"`{c}__filled`") for c in numeric for f in (F.avg, F.stddev_pop)]).first()
+        scale = {}
+        for i, c in enumerate(numeric):
+            mean, deviation = filled[2 * i] or 0.0, filled[2 * i + 1] or 0.0
+            scale[f"{c}__scaled"] = f"(`{c}__filled` - {mean!r}D) / {deviation!r}D" if deviation else f"`{c}__filled` * 0D"
+        fitted += [fill, _computed(scale), VectorAssembler(inputCols=list(scale), outputCol="_scaled")]
         parts.append("_scaled")
     if categorical:
         indexed, hot = [f"{c}__index" for c in categorical], [f"{c}__hot" for c in categorical]
@@ -60,15 +70,16 @@ def preprocessor(numeric: list[str], categorical: list[str]) -> Pipeline:
             OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True),
         ]
         parts += hot
-    return Pipeline(stages=[*stages, VectorAssembler(inputCols=parts, outputCol="features")])
+    stages.append(VectorAssembler(inputCols=parts, outputCol="features"))
+    return PipelineModel([*fitted, *Pipeline(stages=stages).fit(df if not fitted else PipelineModel(fitted).transform(df)).stages])
 
 
 def feature_names(fitted: PipelineModel) -> list[str]:
     """Names of the assembled vector slots: num__<column>, cat__<column>_<category>."""
     names: list[str] = []
     for stage in fitted.stages:
-        if stage.__class__.__name__ == "ImputerModel":
-            names += [f"num__{c}" for c in stage.getInputCols()]
+        if isinstance(stage, VectorAssembler) and stage.getOutputCol() == "_scaled":
+            names += [f"num__{c.removesuffix('__scaled')}" for c in stage.getInputCols()]
         elif stage.__class__.__name__ == "StringIndexerModel":
             for column, labels in zip(stage.getInputCols(), stage.labelsArray):
                 names += [f"cat__{column}_{value}" for value in labels]
@@ -165,7 +176,7 @@ def label_balance(df: DataFrame, label: str) -> tuple[int, float]:
 def prepare_split(data: Dataset) -> Split:
     n, ratio = label_balance(data.frame.filter("split = 'train'"), data.label)
     rows = prepared(data.frame, data, ratio)
-    fitted = preprocessor(data.numeric, data.categorical).fit(rows.filter("split = 'train'"))
+    fitted = fit_preprocessor(rows.filter("split = 'train'"), data.numeric, data.categorical)
     ready = fitted.transform(rows).select(data.id_col, "split", LABEL, WEIGHT, "features")
     return Split(fitted, ready.filter("split = 'train'").persist(), ready.filter("split = 'dev'").persist(), n, ratio)
 

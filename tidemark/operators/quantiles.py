@@ -32,8 +32,14 @@ def _sketches(df: DataFrame, names: list[str]) -> DataFrame:
                      *[F.kll_merge_agg_double(f"s_{i}").alias(f"s_{i}") for i in range(len(names))])
 
 
-def _order_statistics(df: DataFrame, names: list[str], wanted: list[tuple[str, float]]) -> list[tuple]:
-    """Per (series, probability) its (low value, high value, fraction) around rank (n - 1) * probability, or None.
+def _rank(n: int, place: float | int) -> float | int:
+    return place if isinstance(place, int) else (n - 1) * place
+
+
+def _order_statistics(df: DataFrame, names: list[str], wanted: list[tuple[str, float | int]]) -> list[tuple]:
+    """Per (series, place) its (low value, high value, fraction) around the rank, or None without values.
+
+    A place is a 0-based rank (int), or a probability (float) for rank (n - 1) * probability.
 
     Only counts, brackets and results, a few numbers per target, come to the driver.
     """
@@ -46,7 +52,7 @@ def _order_statistics(df: DataFrame, names: list[str], wanted: list[tuple[str, f
         asked = {}
         for t in targets:
             i = names.index(wanted[t][0])
-            rank = (counts[i] - 1) * wanted[t][1]
+            rank = _rank(counts[i], wanted[t][1])
             for side, place in enumerate(((math.floor(rank) - 1) / counts[i] - slack, (math.ceil(rank) + 2) / counts[i] + slack)):
                 if 0 < place < 1:
                     asked[t, side] = F.kll_sketch_get_quantile_double(F.col(f"s_{i}"), F.lit(place))
@@ -74,7 +80,7 @@ def _ranked(df: DataFrame, wanted: list[tuple[str, float]], brackets: dict[int,
     values = df.select(F.explode(F.filter(inside, lambda x: x.isNotNull())).alias("v")).groupBy("v.target", "v.value").agg(F.count("*").alias("rows"))
     placed = with_running_totals(values, [F.col("target"), F.col("value")], {"upto": F.col("rows")})
     first = placed.groupBy("target").agg(F.min(F.col("upto") - F.col("rows")).alias("before"))  # a row per target
-    ranks = F.create_map(*[x for t, (n, _, _) in brackets.items() for x in (F.lit(t), F.lit((n - 1) * wanted[t][1]))])
+    ranks = F.create_map(*[x for t, (n, _, _) in brackets.items() for x in (F.lit(t), F.lit(float(_rank(n, wanted[t][1]))))])
     below = F.create_map(*[x for t in brackets for x in (F.lit(t), F.lit(under[str(t)]))])
     last = F.col("upto") - F.col("before") + below[F.col("target")] - 1
     numbered = placed.join(F.broadcast(first), "target").select("target", "value", last.alias("last"), (last - F.col("rows") + 1).alias("first"), ranks[F.col("target")].alias("rank"))
@@ -83,7 +89,7 @@ def _ranked(df: DataFrame, wanted: list[tuple[str, float]], brackets: dict[int,
         return F.max(F.when(position.between(F.col("first"), F.col("last")), F.col("value")))
 
     rows = numbered.groupBy("target").agg(at(F.floor("rank")).alias("low"), at(F.ceil("rank")).alias("high")).collect()
-    fraction = {t: (n - 1) * wanted[t][1] % 1 for t, (n, _, _) in brackets.items()}
+    fraction = {t: _rank(n, wanted[t][1]) % 1 for t, (n, _, _) in brackets.items()}
     return {r["target"]: (r["low"], r["high"], fraction[r["target"]]) for r in rows if r["low"] is not None and r["high"] is not None}
 
 
@@ -104,6 +110,12 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
     return df.sparkSession.createDataFrame([row], ", ".join(f"`{c}` array<double>" for c in columns))
 
 
+def values_at_ranks(df: DataFrame, column: str, ranks: list[int]) -> list[float]:
+    """The values of a numeric column at 0-based ascending ``ranks`` among those that are not NULL."""
+    numeric = df.select(F.col(column).cast("double").alias("c0"))
+    return [low for low, _, _ in _order_statistics(numeric, ["c0"], [("c0", int(r)) for r in ranks])] if ranks else []
+
+
 def grouped_ranks(df: DataFrame, group: str, wanted: DataFrame) -> DataFrame:
     """Rows (group, part, value): of each group the value at the 0-based ``rank`` of ``wanted`` (group, part, rank).
 

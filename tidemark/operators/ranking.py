@@ -1,4 +1,4 @@
-"""Global ranks, running totals and rank-quantile bins without a one-task window.
+"""Global ranks and running totals without a one-task window.
 
 Rows are sorted globally (a range shuffle over the whole sort key, so ties on the score alone do
 not pile up in one task), stored with their position, and then numbered by adding up the row
@@ -76,21 +76,3 @@ def with_previous(df: DataFrame, keys: list[str], order: list[Column], previous:
     for k in keys:
         same_key = same_key & F.col(f"_before.{k}").eqNullSafe(F.col(k))
     return linked.select(*df.columns, *[F.when(same_key, F.col(f"_before.{c}")).alias(name) for name, c in previous.items()])
-
-
-def quantile_bin(rank: str, total: str, bins: int) -> Column:
-    """Right-closed quantile bin of a 0-based rank column, in exact integer arithmetic.
-
-    Cuts fall at (total-1)*j/bins, so bin sizes differ from ``ntile``. A single row is bin 0.
-    """
-    return F.expr(
-        f"CAST(CASE WHEN {total} = 1 THEN 0 "
-        f"ELSE greatest(({rank} * {int(bins)} + {total} - 2) div ({total} - 1) - 1, 0) END AS INT)"
-    )
-
-
-def top_share(df: DataFrame, score: str, tie_break: str, budget: float) -> DataFrame:
-    """The highest ``max(1, floor(n * budget))`` rows by score; any size, no driver-side sort."""
-    ranked = with_global_rank(df, [F.col(score).desc_nulls_last(), F.col(tie_break).asc()])
-    keep = F.greatest(F.lit(1), F.floor(F.col("total") * F.lit(float(budget))))
-    return ranked.filter(F.col("rank") < keep).drop("rank", "total")

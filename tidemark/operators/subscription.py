@@ -158,7 +158,6 @@ def _with_previous_day(days: DataFrame) -> DataFrame:
     # At most one row per calendar day and user in this window.
     by_day = Window.partitionBy("msno").orderBy("transaction_date")
     return days.withColumns({
-        "previous_day": F.lag("transaction_date").over(by_day),
         "previous_expiry": F.lag("last_membership_expire_date").over(by_day),
     })
 
@@ -367,15 +366,11 @@ def assemble_features(labels: DataFrame, members: DataFrame, transactions: DataF
 
 def base_features(raw_labels: DataFrame, raw_members: DataFrame, raw_transactions: DataFrame, raw_logs: DataFrame) -> DataFrame:
     """Raw text tables to the 91-column base feature table, as one lazy plan."""
-    transactions = clean_transactions(raw_transactions)
-    logs = clean_logs(raw_logs)
-    return assemble_features(
-        clean_labels(raw_labels),
-        clean_members(raw_members),
-        transaction_features(transactions),
-        log_features(add_daily_metrics(logs)),
-        feature_anchor(transactions, logs),
-    )
+    transactions = transaction_features(clean_transactions(raw_transactions))
+    logs = log_features(add_daily_metrics(clean_logs(raw_logs)))
+    # The anchor comes from the per-user frames, whose exchanges Spark reuses: each fact table is read once.
+    anchor = feature_anchor(transactions, logs, "last_transaction_date", "last_log_date")
+    return assemble_features(clean_labels(raw_labels), clean_members(raw_members), transactions, logs, anchor)
 
 
 # ---------------------------------------------------------------- model frame

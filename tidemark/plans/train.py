@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import copy
-import json
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.columns import in_hash_sample
@@ -137,14 +136,16 @@ def train_champion(spark: SparkSession, data: m.Dataset, cfg: dict, directory: s
     champion = min(rows, key=lambda r: (-r["roc_auc"], r["model_name"]))
 
     seen = m.prepared(data.frame.filter("split in ('train', 'dev')"), data, split.ratio)
-    stages = m.preprocessor(data.numeric, data.categorical).getStages() + [estimators[champion["model_name"]]]
-    model = Pipeline(stages=stages).fit(seen)
+    fitted = m.fit_preprocessor(seen, data.numeric, data.categorical)
+    # The linear penalty belongs to the rows of this fit, not to those of the candidates'.
+    final = m.candidate_models(cfg.get("models", {}), seen.count(), seed)[champion["model_name"]]
+    model = PipelineModel([*fitted.stages, final.fit(fitted.transform(seen))])
     test = data.frame.filter("split = 'test'")
     test_scored = m.scored(model, m.prepared(test, data)).select(m.LABEL, m.SCORE)
     test_metrics = evaluate_scores(test_scored, m.LABEL, m.SCORE, champion["threshold"])
     result = {
         "champion": champion["model_name"], "threshold": champion["threshold"], "model": model,
-        "candidates": candidates, "test_metrics": test_metrics,
+        "candidates": candidates, "test_metrics": test_metrics, "dev_metrics": {k: v for k, v in champion.items() if k != "model_name"},
     }
     if directory:
         save_run(spark, data, cfg, result, test, directory)
@@ -164,7 +165,9 @@ def save_run(spark: SparkSession, data: m.Dataset, cfg: dict, result: dict, test
     }
     write_metadata(spark.createDataFrame([metadata], METADATA_SCHEMA), f"{directory}/model_metadata.json")
     write_report_csv(result["candidates"], f"{directory}/candidate_model_results.csv")
-    write_metadata(result["test_metrics"], f"{directory}/metrics.json")
+    both = result["test_metrics"].select(F.lit(result["champion"]).alias("champion"), F.struct(*result["test_metrics"].columns).alias("test"))
+    dev = F.struct(*[F.lit(v).alias(k) for k, v in result["dev_metrics"].items()])
+    write_metadata(both.withColumn("dev", dev), f"{directory}/metrics.json")
     write_test_artifacts(test, data.id_col, directory)
     result["model"].write().overwrite().save(f"{directory}/model")
 
@@ -175,7 +178,3 @@ def load_run(spark: SparkSession, directory: str) -> tuple[PipelineModel, dict]:
         raise FileNotFoundError(f"no model metadata at {path}; train first")
     row = spark.read.schema(METADATA_SCHEMA).json(path).first()
     return PipelineModel.load(f"{directory}/model"), row.asDict(recursive=True)
-
-
-def describe_run(metadata: dict) -> str:
-    return json.dumps(metadata, indent=2, default=str)
