@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import re
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 #: Pieces a worker remembers before it starts afresh; about 200 bytes each.
 REMEMBERED_PIECES = 1_000_000
 
 
+def trimmed(batches):
+    """Passes on ``batches`` and gives freed memory back to the system, as a worker lives on after its task."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # the C library of other systems has no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Columns doc_id (BIGINT) and text (never null), and no other."""
     return docs.select(

@@ -25,13 +25,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import fresh_path, materialise
-from .common import id_and_text
+from .common import id_and_text, trimmed
 from .components import components
 from .rtree import candidate_pairs, needs
 
 WORDS = 5
-#: Coordinates of a point in the tree. A stored point has a power of two more, so that a long text too has about four
-#: to eight shingles in a group; taken modulo fewer groups it folds to a point of those.
+#: Coordinates of a point in the tree. A stored point has a power of two more, so that a text has one or two shingles
+#: in a group, however long it is; taken modulo fewer groups it folds to a point of those.
 GROUPS = 128
 #: A shingle that more than one in MOST_FREQUENT documents of a batch hold, and BATCH_LEAST at least, counts as frequent.
 MOST_FREQUENT = 400
@@ -114,7 +114,7 @@ def _stored_sets(docs: DataFrame) -> str:
                     yield _batch(1, shingle=shingle[often].astype(np.int64), seen=seen[often])
 
     path = fresh_path(docs.sparkSession, "shingles")
-    docs.mapInArrow(read, _SETS).write.partitionBy("kind").parquet(path)
+    docs.mapInArrow(lambda batches: trimmed(read(batches)), _SETS).write.partitionBy("kind").parquet(path)
     return path
 
 
@@ -129,19 +129,21 @@ def _batch(kind: int, **columns) -> pa.RecordBatch:
 
 def _point(shingles: np.ndarray) -> bytes:
     groups = GROUPS
-    while 8 * groups <= len(shingles):
+    while True:
+        counts = np.bincount((shingles % np.uint64(groups)).astype(np.int64), minlength=groups)
+        if 2 * groups > len(shingles) and counts.max() < 256:
+            return counts.astype(np.uint8).tobytes()
         groups *= 2
-    return np.bincount((shingles % np.uint64(groups)).astype(np.int64), minlength=groups).astype("<u4").tobytes()
 
 
 def _as_point(data: bytes, groups: int | None = None) -> np.ndarray:
-    point = np.frombuffer(data, "<u4")
-    return point if groups in (None, len(point)) else point.reshape(-1, groups).sum(axis=0, dtype=np.uint32)
+    point = np.frombuffer(data, np.uint8)
+    return point if groups in (None, len(point)) else point.reshape(-1, groups).sum(axis=0, dtype=np.uint16)
 
 
 def _may_link(x: bytes, y: bytes) -> bool:
     """Whether two points, in the groups both have, allow the overlap that their sizes need."""
-    groups = min(len(x), len(y)) // 4
+    groups = min(len(x), len(y))
     a, b = _as_point(x, groups), _as_point(y, groups)
     return bool(7 * np.minimum(a, b).sum(dtype=np.int64) >= needs(a.sum(dtype=np.int64), b.sum(dtype=np.int64)))
 
@@ -186,7 +188,7 @@ def _entries(sets: DataFrame, frequent: Broadcast, buckets: int, block_sets: int
             columns = list(zip(*rows))
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], ["bucket", "keys", "counts", "shingles"])
 
-    return sets.select("key", "shingles").mapInArrow(first, "bucket int, keys binary, counts binary, shingles binary")
+    return sets.select("key", "shingles").mapInArrow(lambda batches: trimmed(first(batches)), "bucket int, keys binary, counts binary, shingles binary")
 
 
 def _part_blocks(shingle: int, parts: int, key: int) -> np.ndarray:
@@ -236,7 +238,7 @@ def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
             yield b.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     left = pairs.join(points.select(F.col("key").alias("a"), F.col("point").alias("x")), "a")
-    return left.join(points.select(F.col("key").alias("b"), F.col("point").alias("y")), "b").mapInArrow(bound, "a bigint, b bigint")
+    return left.join(points.select(F.col("key").alias("b"), F.col("point").alias("y")), "b").mapInArrow(lambda batches: trimmed(bound(batches)), "a bigint, b bigint")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -260,7 +262,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             hit = shared.value[at >> 5] >> (at & 31) & 1 == 1
             yield b.select(["key", "shingles"]).filter(pa.array(hit))
 
-    compared = sets.select("key", "shingles", place.alias("place")).mapInArrow(chosen, "key bigint, shingles binary").dropDuplicates(["key"])
+    compared = sets.select("key", "shingles", place.alias("place")).mapInArrow(lambda batches: trimmed(chosen(batches)), "key bigint, shingles binary").dropDuplicates(["key"])
 
     def verify(batches):
         for b in batches:
@@ -274,7 +276,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     left = pairs.join(compared.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a")
     both = left.join(compared.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
-    return both.mapInArrow(verify, "a bigint, b bigint")
+    return both.mapInArrow(lambda batches: trimmed(verify(batches)), "a bigint, b bigint")
 
 
 def _open_lists(blocks: DataFrame, parts: DataFrame) -> DataFrame:
@@ -285,7 +287,7 @@ def _open_lists(blocks: DataFrame, parts: DataFrame) -> DataFrame:
                 key = np.unique(np.frombuffer(keys, np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), bucket, np.int32)), pa.array(key)], ["bucket", "key"])
 
-    named = blocks.select("bucket", "keys").mapInArrow(members, "bucket int, key bigint").join(
+    named = blocks.select("bucket", "keys").mapInArrow(lambda batches: trimmed(members(batches)), "bucket int, key bigint").join(
         parts.select(F.col("node").alias("key"), F.col("component").alias("part")), "key").select("bucket", "key", "part")
 
     def lists(_, stored, labels):
@@ -345,7 +347,7 @@ def _tree_pairs(lists: DataFrame, points: DataFrame) -> DataFrame:
             yield pairs()
 
     located = lists.join(points, "key").select("list", "key", "part", "point")
-    return located.repartition("list").sortWithinPartitions("list").mapInArrow(join, "a bigint, b bigint").distinct()
+    return located.repartition("list").sortWithinPartitions("list").mapInArrow(lambda batches: trimmed(join(batches)), "a bigint, b bigint").distinct()
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_sets: int = BLOCK_SETS) -> DataFrame:
