@@ -64,9 +64,14 @@ def con(sf):
     return duck(sf)
 
 
+#: Queries whose condition no row of the smallest tables meets.
+MAY_BE_EMPTY: set[str] = set()
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, con, sf, name):
-    assert compare(spark, con, sf, QUERIES[name], ORACLES[name]) in ([], ["no rows"])
+    allowed = [["no rows"]] if name in MAY_BE_EMPTY else []
+    assert compare(spark, con, sf, QUERIES[name], ORACLES[name]) in [[], *allowed]
 
 
 def test_entry_runs(spark):

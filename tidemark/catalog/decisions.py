@@ -112,7 +112,10 @@ def j5_attached_decisions(spark, sf):
 
 @query("d9_score_stamps", _DECIDED + "\nSELECT id, model_threshold, true AS stamped FROM decided")
 def d9_score_stamps(spark, sf):
-    return decided(spark, sf).select("id", "model_threshold", F.col("scored_at").isNotNull().alias("stamped"))
+    """Stamped: every row carries the run's one time."""
+    rows = decided(spark, sf)
+    times = rows.agg(F.count_distinct("scored_at").alias("n"), F.max("scored_at").alias("at")).select(F.struct("n", "at").alias("t")).scalar()
+    return rows.withColumn("_t", times).select("id", "model_threshold", ((F.col("_t.n") == 1) & F.col("scored_at").eqNullSafe(F.col("_t.at"))).alias("stamped"))
 
 
 # ---------------------------------------------------------------- themes and drivers

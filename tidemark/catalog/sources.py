@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.decisions import predicted_flag
 from ..operators import causal as c
@@ -198,10 +200,35 @@ def p19_default_report(spark, sf):
     return rounded(causal_report(df, "id")["uplift_table"], _TABLE_DOUBLES)
 
 
-@query("p24_contract", "WITH " + cte("b_experiment") + "\nSELECT count(*) AS n FROM b_experiment")
+@query("p24_contract", "WITH " + cte("b_experiment") + """
+SELECT kind, accepted, CASE WHEN accepted THEN (SELECT count(*) FROM b_experiment) ELSE 0 END AS n FROM (VALUES
+  ('same run', true), ('same folder, other slash', true), ('nothing asked', true), ('other type', false), ('other source', false),
+  ('other date column', false), ('other last day', false), ('no treatment column', false)) contract(kind, accepted)""")
 def p24_contract(spark, sf):
-    """Only reached when the run contract holds and the frame has its required columns."""
+    """Per case of the run contract and of the required columns: whether it is accepted, and the rows it lets through."""
     from ..plans.score import check_contract
 
-    check_contract({"dataset_type": "telco", "data_source": f"{sf}/customer.parquet"}, "telco", f"{sf}/customer.parquet")
-    return c.standardize_experiment(bind(spark, sf, "b_experiment")).agg(F.count("*").alias("n"))
+    trained = {"dataset_type": "telco", "data_source": f"{sf}/customer.parquet", "date_col": "day", "dev_end": "2001-06-01"}
+    frame = bind(spark, sf, "b_experiment")
+    cases = {
+        "same run": ("telco", f"{sf}/customer.parquet", "day", "2001-06-01"), "same folder, other slash": ("telco", f"{sf}/customer.parquet/"),
+        "nothing asked": ("telco",), "other type": ("subscription",), "other source": ("telco", f"{sf}/orders.parquet"),
+        "other date column": ("telco", None, "month"), "other last day": ("telco", None, "day", "2001-07-01"), "no treatment column": None,
+    }
+
+    def rows(asked):
+        try:
+            if asked is None:
+                return c.standardize_experiment(frame.drop("treatment"))
+            check_contract(trained, *asked)
+        except (ValueError, KeyError):
+            return None
+        return c.standardize_experiment(frame)
+
+    found = {kind: rows(asked) for kind, asked in cases.items()}
+    counted = [
+        (spark.range(0).agg(F.lit(0).cast("bigint").alias("n")) if df is None else df.agg(F.count("*").alias("n"))).select(
+            F.lit(kind).alias("kind"), F.lit(df is not None).alias("accepted"), "n")
+        for kind, df in found.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)

@@ -178,10 +178,10 @@ def p1_hash_sample(spark, sf):
     return raw.filter(in_hash_sample(F.col("msno"), 0.3, "md5")).select("msno", "transaction_date", "plan_list_price", "actual_amount_paid")
 
 
-@query("p2_row_sample", "WITH " + cte("b_scored") + "\nSELECT * FROM b_scored WHERE CAST('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8) AS BIGINT) % 1000000 < 500000 ORDER BY id LIMIT 200")
+@query("p2_row_sample", "WITH " + cte("b_scored") + "\nSELECT * FROM b_scored WHERE CAST('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8) AS BIGINT) % 1000000 < 500000")
 def p2_row_sample(spark, sf):
-    """A repeatable half of the rows, capped: both are the sampling operator's own parameters."""
-    return sample_rows(bind(spark, sf, "b_scored"), "id", 0.5, 200, "md5")
+    """A repeatable half of the rows, the sampling operator's own parameter."""
+    return sample_rows(bind(spark, sf, "b_scored"), "id", 0.5, method="md5")
 
 
 @query("p3_members_clean", "WITH " + cte("b_members") + ",\n" + MEMBERS + "\nSELECT * FROM m_clean")

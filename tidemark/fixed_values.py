@@ -106,3 +106,17 @@ THEME_KEYWORDS = [
       "registration_init", "account_age", "senior", "partner", "dependents"]),
 ]
 THEME_OTHER = "Other"
+
+# Search ranges by model: (kind, low, high)
+SEARCH_SPACE = {
+    "boosted_shallow": {
+        "n_estimators": ("int", 100, 800), "max_depth": ("int", 3, 10), "learning_rate": ("log", 0.01, 0.3),
+        "subsample": ("float", 0.6, 1.0), "colsample_bytree": ("float", 0.6, 1.0),
+        "min_child_weight": ("int", 1, 12), "gamma": ("float", 0.0, 5.0),
+    },
+    "boosted_leafy": {
+        "n_estimators": ("int", 100, 800), "max_depth": ("int", -1, 12), "num_leaves": ("int", 16, 128),
+        "learning_rate": ("log", 0.01, 0.3), "subsample": ("float", 0.6, 1.0),
+        "colsample_bytree": ("float", 0.6, 1.0), "min_child_samples": ("int", 10, 100),
+    },
+}

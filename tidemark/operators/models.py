@@ -16,6 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, functions as F
 
+from ..fixed_values import SEARCH_SPACE
 from .metrics import choose_threshold, evaluate_scores
 from .profile import LISTENER_METRICS
 from .quantiles import exact_quantiles
@@ -96,6 +97,13 @@ def prepared(df: DataFrame, data: Dataset, ratio: float = 1.0) -> DataFrame:
     })
 
 
+def weighted(rows: DataFrame, params: dict) -> DataFrame:
+    """``rows`` of ``prepared`` with the positive class's weight from the parameters, if they have one."""
+    if "scale_pos_weight" not in params:
+        return rows
+    return rows.withColumn(WEIGHT, F.when(F.col(LABEL) == 1, float(params["scale_pos_weight"])).otherwise(1.0))
+
+
 # ---------------------------------------------------------------- estimators
 
 
@@ -200,21 +208,6 @@ def candidate_table(spark, rows: list[dict]) -> DataFrame:
     return spark.createDataFrame(rows, METRIC_SCHEMA).orderBy(F.desc("roc_auc"), "model_name")
 
 
-SEARCH_SPACE = {
-    # Fixed search ranges: (kind, low, high)
-    "boosted_shallow": {
-        "n_estimators": ("int", 100, 800), "max_depth": ("int", 3, 10), "learning_rate": ("log", 0.01, 0.3),
-        "subsample": ("float", 0.6, 1.0), "colsample_bytree": ("float", 0.6, 1.0),
-        "min_child_weight": ("int", 1, 12), "gamma": ("float", 0.0, 5.0),
-    },
-    "boosted_leafy": {
-        "n_estimators": ("int", 100, 800), "max_depth": ("int", -1, 12), "num_leaves": ("int", 16, 128),
-        "learning_rate": ("log", 0.01, 0.3), "subsample": ("float", 0.6, 1.0),
-        "colsample_bytree": ("float", 0.6, 1.0), "min_child_samples": ("int", 10, 100),
-    },
-}
-
-
 def draw_params(space: dict, rng: random.Random) -> dict:
     def draw(kind, low, high):
         if kind == "int":
@@ -235,11 +228,13 @@ def random_search(split: Split, algorithm: str, n_trials: int = 30, objective: s
     if algorithm not in SEARCH_SPACE:
         raise ValueError(f"algorithm must be one of {sorted(SEARCH_SPACE)}")
     rng = random.Random(seed)
-    trials = [(i, draw_params({**SEARCH_SPACE[algorithm], **(space or {})}, rng)) for i in range(n_trials)]
+    # The weight of the positive class is searched around the class ratio.
+    weight = {"scale_pos_weight": ("float", max(0.5, split.ratio / 2), max(0.5, 2 * split.ratio))}
+    trials = [(i, draw_params({**SEARCH_SPACE[algorithm], **weight, **(space or {})}, rng)) for i in range(n_trials)]
 
     def run(trial):
         number, params = trial
-        row = dev_metrics(boosted_trees(params, seed).fit(split.train), split.dev, algorithm)
+        row = dev_metrics(boosted_trees(params, seed).fit(weighted(split.train, params)), split.dev, algorithm)
         return {"number": number, "value": row[objective], "params": {k: float(v) for k, v in params.items()},
                 **{k: row[k] for k in ("threshold", "roc_auc", "pr_auc", "f1")}}
 

@@ -129,7 +129,8 @@ def train_champion(spark: SparkSession, data: m.Dataset, cfg: dict, directory: s
     try:
         estimators = m.candidate_models(cfg.get("models", {}), split.n_train, seed)
         estimators = {k: v for k, v in estimators.items() if k in cfg.get("candidates", estimators)}
-        rows = [m.dev_metrics(e.fit(split.train), split.dev, name) for name, e in estimators.items()]
+        params = cfg.get("models", {})
+        rows = [m.dev_metrics(e.fit(m.weighted(split.train, params.get(name, {}))), split.dev, name) for name, e in estimators.items()]
     finally:
         split.release()
     candidates = m.candidate_table(spark, rows)
@@ -139,7 +140,8 @@ def train_champion(spark: SparkSession, data: m.Dataset, cfg: dict, directory: s
     fitted = m.fit_preprocessor(seen, data.numeric, data.categorical)
     # The linear penalty belongs to the rows of this fit, not to those of the candidates'.
     final = m.candidate_models(cfg.get("models", {}), seen.count(), seed)[champion["model_name"]]
-    model = PipelineModel([*fitted.stages, final.fit(fitted.transform(seen))])
+    ready = m.weighted(fitted.transform(seen), cfg.get("models", {}).get(champion["model_name"], {}))
+    model = PipelineModel([*fitted.stages, final.fit(ready)])
     test = data.frame.filter("split = 'test'")
     test_scored = m.scored(model, m.prepared(test, data)).select(m.LABEL, m.SCORE)
     test_metrics = evaluate_scores(test_scored, m.LABEL, m.SCORE, champion["threshold"])

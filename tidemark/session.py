@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -37,6 +39,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     made = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)  # our own, so it goes with the process
     spark.sparkContext.setCheckpointDir(made)
     return made
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType, StringType
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 
 from ..fixed_values import (
     LABEL_COLUMNS, LOG_COLUMNS, MEMBER_COLUMNS, SAVED_SPLIT_PATHS, TRANSACTION_COLUMNS,
@@ -83,7 +83,7 @@ def find_saved_split(spark: SparkSession, directory: str) -> tuple[str, DataFram
         if path_exists(spark, path):
             try:
                 return path, read_table(spark, path)
-            except AnalysisException:
+            except (PySparkException, ValueError):  # unreadable: the next place may do
                 continue
     return None, None
 
