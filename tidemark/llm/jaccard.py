@@ -9,7 +9,7 @@ so sets meet in blocks, one per such shingle, and a tree is built for each block
    frequent in a batch are counted on the way; their list is bounded by the mean set size times MOST_FREQUENT.
 2. First shingles are exchanged as packed arrays by hash bucket and sorted there into blocks.
 3. Star links inside each block (each set to the smallest key) are verified: they join copies, so
-   that a block of thousands of near copies becomes one component without all its pairs.
+   that a block of thousands of near copies becomes one component without all its pairs. Further turns take other sets as hubs.
 4. Blocks that still hold several components go through the tree, which bounds the overlap of pairs of different
    components by summed coordinate minima; what it lets pass is verified on the sets.
 
@@ -40,6 +40,8 @@ BATCH_LEAST = 16
 BLOCK_SETS = 100_000
 #: First shingles per bucket.
 BUCKET_ENTRIES = 1_000_000
+#: Turns of links from one set of a block to the others before the trees; they only spare the trees work.
+HUB_TURNS = 3
 #: Bits of the filter that says which sets are to be compared: 16 per set, and no more than these.
 FILTER_BITS = 1 << 27
 #: Documents that a task works on at a time, and words it remembers.
@@ -279,8 +281,11 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(lambda batches: trimmed(verify(batches)), "a bigint, b bigint")
 
 
-def _open_lists(blocks: DataFrame, parts: DataFrame) -> DataFrame:
-    """Distinct lists of sets of a block that lie in several components: rows (list, key, part), a row per member."""
+def _by_bucket(blocks: DataFrame, parts: DataFrame, make, schema: str) -> DataFrame:
+    """Cogroups each bucket's blocks with the components of its sets: rows of ``make`` (keys, parts, starts, sizes) of its open blocks.
+
+    A block is open while its sets lie in several components; a set without a link is its own.
+    """
     def members(batches):
         for b in batches:
             for bucket, keys in zip(b["bucket"].to_pylist(), b["keys"].to_pylist()):
@@ -290,9 +295,10 @@ def _open_lists(blocks: DataFrame, parts: DataFrame) -> DataFrame:
     named = blocks.select("bucket", "keys").mapInArrow(lambda batches: trimmed(members(batches)), "bucket int, key bigint").join(
         parts.select(F.col("node").alias("key"), F.col("component").alias("part")), "key").select("bucket", "key", "part")
 
-    def lists(_, stored, labels):
+    def open_blocks(_, stored, labels):
+        empty = np.zeros(0, np.int64)
         if not stored.num_rows:
-            return pa.table({"list": pa.array([], pa.int64()), "keys": pa.array([], pa.list_(pa.int64())), "parts": pa.array([], pa.list_(pa.int64()))})
+            return make(empty, empty, empty, empty)
         row = stored.to_pylist()[0]
         key, sizes = np.frombuffer(row["keys"], np.int64), np.frombuffer(row["sizes"], "<u4").astype(np.int64)
         part = key.copy()
@@ -305,14 +311,41 @@ def _open_lists(blocks: DataFrame, parts: DataFrame) -> DataFrame:
         ends = np.cumsum(sizes)
         starts = ends - sizes
         several = np.minimum.reduceat(part, starts) != np.maximum.reduceat(part, starts) if len(starts) else np.zeros(0, bool)
+        return make(key, part, starts[several], sizes[several])
+
+    return blocks.select("bucket", "keys", "sizes").groupBy("bucket").cogroup(named.groupBy("bucket")).applyInArrow(open_blocks, schema)
+
+
+def _hub_links(blocks: DataFrame, parts: DataFrame, turn: int) -> DataFrame:
+    """Distinct links, in each open block, from one set to those of other components. All blocks rank sets alike, and each turn anew."""
+    def stars(key, part, starts, sizes):
+        inside = np.repeat(starts - np.append(0, np.cumsum(sizes)[:-1]) if len(starts) else starts, sizes) + np.arange(sizes.sum())
+        key, part = key[inside], part[inside]
+        if not len(key):
+            return pa.table({"a": pa.array([], pa.list_(pa.int64())), "b": pa.array([], pa.list_(pa.int64()))})
+        rank = (key.view(np.uint64) ^ np.uint64(turn * 0x5851F42D4C957F2D & (1 << 64) - 1)) * _MIX
+        rank ^= rank >> np.uint64(31)
+        heads = np.append(0, np.cumsum(sizes)[:-1])
+        hub = rank == np.repeat(np.minimum.reduceat(rank, heads), sizes)
+        hubs, of = np.repeat(key[hub], sizes), np.repeat(part[hub], sizes)
+        a, b = hubs[of != part], key[of != part]
+        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+        return pa.table({"a": pa.array([pairs[:, 0]], pa.list_(pa.int64())), "b": pa.array([pairs[:, 1]], pa.list_(pa.int64()))})
+
+    found = _by_bucket(blocks, parts, stars, "a array<bigint>, b array<bigint>")
+    return found.select(F.explode(F.arrays_zip("a", "b")).alias("p")).select("p.a", "p.b").distinct()
+
+
+def _open_lists(blocks: DataFrame, parts: DataFrame) -> DataFrame:
+    """Distinct lists of the sets of open blocks: rows (list, key, part), a row per member."""
+    def lists(key, part, starts, sizes):
         found = {}
-        for s, e in zip(starts[several], ends[several]):
+        for s, e in zip(starts, starts + sizes):
             found[xxhash.xxh3_64_intdigest(key[s:e].tobytes()) - (1 << 63)] = (key[s:e], part[s:e])
         return pa.table({"list": pa.array(list(found), pa.int64()), "keys": pa.array([k for k, _ in found.values()], pa.list_(pa.int64())),
                          "parts": pa.array([p for _, p in found.values()], pa.list_(pa.int64()))})
 
-    kept = blocks.select("bucket", "keys", "sizes").groupBy("bucket").cogroup(named.groupBy("bucket")).applyInArrow(
-        lists, "list bigint, keys array<bigint>, parts array<bigint>")
+    kept = _by_bucket(blocks, parts, lists, "list bigint, keys array<bigint>, parts array<bigint>")
     return kept.dropDuplicates(["list"]).select("list", F.explode(F.arrays_zip("keys", "parts")).alias("m")).select(
         "list", F.col("m.keys").alias("key"), F.col("m.parts").alias("part"))
 
@@ -377,6 +410,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     stars = blocks.select(F.explode(F.arrays_zip("a", "b")).alias("p")).select("p.a", "p.b").distinct()
     links = materialise(_verified(materialise(_bounded(stars, points), "pairs"), carriers), "verified")
     parts = materialise(components(links), "parts")
+    for turn in range(1, HUB_TURNS + 1):
+        hubs = materialise(_bounded(_hub_links(blocks, parts, turn), points), "pairs")
+        links = materialise(links.union(_verified(hubs, carriers)), "verified")
+        parts = materialise(components(links), "parts")
     lists = materialise(_open_lists(blocks, parts), "lists")
     further = materialise(_tree_pairs(lists, points), "pairs")
     links = links.union(_verified(further, carriers))
