@@ -74,8 +74,10 @@ def encode(values: np.ndarray) -> tuple[bytes, bytes]:
     for s, (count, bits) in enumerate(SELECTORS):
         mine = np.flatnonzero(used == s)
         if bits and len(mine):
+            first, packed = starts[mine], np.zeros(len(mine), np.uint64)
             for k in range(count):
-                words[place[mine]] |= values[starts[mine] + k] << np.uint64(bits * k)
+                packed |= values[first + k] << np.uint64(bits * k)
+            words[place[mine]] |= packed
     marks = np.searchsorted(place, np.arange(0, len(words), STRIDE))
     before = np.append(starts, len(values))[marks]
     return words.astype("<u8").tobytes(), before.astype("<u4").tobytes()
@@ -96,9 +98,9 @@ def decode(data: bytes, n: int) -> np.ndarray:
     for s, (count, bits) in enumerate(SELECTORS):
         mine = np.flatnonzero(used == s)
         if bits and len(mine):
-            mask = np.uint64((1 << bits) - 1)
+            first, packed, mask = starts[mine], words[heads[mine]], np.uint64((1 << bits) - 1)
             for k in range(count):
-                out[starts[mine] + k] = words[heads[mine]] >> np.uint64(bits * k) & mask
+                out[first + k] = packed >> np.uint64(bits * k) & mask
     mine = np.flatnonzero(used == ESCAPE)
     out[starts[mine]] = words[heads[mine] + 1]
     return out
