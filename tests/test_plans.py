@@ -5,13 +5,13 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.oracle import compare, duck
+from tidemark import catalog
 from tidemark.catalog.bindings import bind, table
 from tidemark.operators import subscription as sub
 from tidemark.operators.ranking import with_global_rank
 from tidemark.sources.tables import read_logs
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-ML = [n for n in QUERIES if n not in ORACLES]
+QUERIES, ORACLES = catalog.queries(), catalog.oracle_sql()
 
 
 def plan(df):
@@ -21,6 +21,7 @@ def plan(df):
 LARGE = [
     "p3_transactions_clean", "p9_daily_metrics", "a1_txn_features", "a2_log_features", "a3_latest_log", "w1_latest_txn", "j1_base_features",
     "f1_f23_telco_features", "sp4_stratified", "a17_calibration", "a7_cate", "d4_action", "d11_drivers", "a24_kpis", "n4_histogram",
+    "k1_top_share", "w3_quantile_bins", "a10_quantiles", "p14_winsorise", "n15_box_stats",
 ]
 
 
