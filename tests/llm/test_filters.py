@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import hashed_text, quality, toxicity
 from tidemark.llm.licenses import TEMPLATES, UNKNOWN, license_notices, train_families
-from tidemark.llm.rules import MEASURES, IsolationForest, calibrated, judge, measures
+from tidemark.llm.rules import MEASURES, IsolationForest, calibrated, judge, measures, thresholds
 from tidemark.llm.secrets import ALLOWED, CANDIDATE, LEAST_BITS, WINDOW, find_secrets, mask_secrets, secret_digests
 
 
@@ -133,6 +133,23 @@ def test_forest_finds_outliers():
     assert calibrated(paths, np.ones(505, bool)) == 0.0 and calibrated(paths, np.zeros(505, bool)) == 0.0
 
 
+def test_bad_rows_alone_in_their_group_go():
+    paths, cause = np.array([5.0, 6.0, 7.0, 4.0, 8.0]), np.array([0, 0, 1, 1, 1])
+    good = np.array([True, True, False, False, False])
+    cuts = thresholds(paths, cause, good, 3)
+    assert (paths[2:] < cuts[1]).all() and cuts[0] == 0.0 and cuts[2] == 0.0
+    assert (thresholds(paths, cause, np.zeros(5, bool), 3) == 0.0).all()  # no good row anywhere: nothing is known
+
+
+def test_symbol_junk_goes(spark):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["lake", "stone", "morning", "window", "river", "paper", "green", "seven"], 80)) for _ in range(300)]
+    frame = spark.createDataFrame([(i, t.replace("stone", "st#$ne") if i < 20 else t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    quality_of = spark.createDataFrame([(i, int(i >= 20)) for i in range(200)], "doc_id bigint, quality int")
+    got = {r["doc_id"]: r["kept"] for r in judge(frame, quality_of).filter("NOT base_failed").collect()}
+    assert not any(k for i, k in got.items() if i < 20) and np.mean([k for i, k in got.items() if i >= 20]) > 0.97
+
+
 BASE = {
     "assign": re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
     "access": re.compile("AKIA[A-Z0-9]+"),
