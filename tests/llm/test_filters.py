@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import hashed_text, quality, toxicity
-from tidemark.llm.licenses import TEMPLATES, UNKNOWN, license_notices, train_families
+from tidemark.llm.licenses import CONFIRMED, GATE, TEMPLATES, UNKNOWN, WINDOW_WORDS, license_notices, notices_of, train_families, words_of
 from tidemark.llm.rules import MEASURES, IsolationForest, calibrated, judge, measures, thresholds
 from tidemark.llm.secrets import ALLOWED, CANDIDATE, LEAST_BITS, WINDOW, find_secrets, mask_secrets, secret_digests
 
@@ -243,3 +243,37 @@ def test_licences(spark, docs):
     for r in docs.collect():
         for family, phrase in (("MIT", "under the MIT License."), ("Apache-2.0", "Apache License, Version 2.0."), ("GPL-3.0", "General Public License, version 3."), ("CC-BY-NC-4.0", "CC BY-NC 4.0.")):
             assert (phrase in r["text"]) == (family in got[r["doc_id"]])
+
+
+WRAPPED = {
+    "MIT": "/*\n * Permission is hereby granted, free of charge, to any person obtaining a\n * copy of this software and associated documentation files (the \"Software\"),\n * to deal in the Software without restriction\n */",
+    "BSD": "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions are\n# met:",
+    "GPL-3.0": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.",
+    "GPL-2.0": "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either version 2 of the License, or\n(at your option) any later version.",
+    "AGPL-3.0": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU Affero General Public License as published\nby the Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.",
+    "LGPL": "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "CC-BY-NC-4.0": "This work is licensed under a Creative Commons Attribution-\nNonCommercial 4.0 International License.",
+}
+
+
+def test_wrapped_licences(spark):
+    around = " ".join(["lake stone morning window river"] * 100)
+    texts = [t for w in WRAPPED.values() for t in (w, f"{around}\n{w}\n{around}", f"{around} {w.replace(chr(10), ' ')} {around}")]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *[around[k:k + 60] for k in range(90)]])], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["families"] for r in license_notices(frame).collect()}
+    assert [got[i] for i in range(len(texts))] == [[f] for f in WRAPPED for _ in range(3)]
+    assert not any(got[i] for i in range(len(texts), len(texts) + 90))
+
+
+def test_licences_of_one_paragraph():
+    model = train_families(["Some ordinary words of a line.", "Nothing here names anything.", "Lorem ipsum dolor sit amet."] * 30)
+    found = notices_of("Title\nLicensed under the Apache License,\nVersion 2.0. Released under\nthe MIT License.\nAll rights reserved.", model)
+    assert [x[:2] for x in found] == [(1, "Apache-2.0"), (2, "MIT"), (4, UNKNOWN)]
+
+
+def test_gate_holds_all_that_can_be_confirmed():
+    for words in (words_of(t) for texts in TEMPLATES.values() for t in texts):
+        may_be_absent = len(words) - math.ceil(CONFIRMED * len(words) - 1e-9)
+        assert sum(w in GATE for w in words) > may_be_absent and 2 * len(words) <= WINDOW_WORDS
