@@ -7,7 +7,8 @@ Entropy: a candidate is a maximal run of letters, digits and ``+/_=-`` of WINDOW
 keeps the count of each character in the window, and the sum of c * log2(c) over the counts c, in whole millionths; a character that
 enters or leaves changes one count and two terms. The window's entropy is log2(WINDOW) less the sum over WINDOW, so each
 character class has a largest sum up to which a window passes. A candidate with a passing window is reported from
-the first such window to the last, unless an allow-listed shape explains it or a pattern has found it already.
+the first such window to the last, without what a pattern has found already, unless an allow-listed shape explains it. Base64 can have
+the shape of a path, so a path is only allowed where each segment is made of words and numbers.
 """
 
 from __future__ import annotations
@@ -40,6 +41,10 @@ ALLOWED = [
     r"^([A-Za-z]+|[0-9]+)([_-]([A-Za-z]+|[0-9]+))*$",
     r"^[A-Z]+[0-9]*EXAMPLE[A-Z0-9]*$",
 ]
+#: Which of ALLOWED is the shape of a path, and what its segments must be: words in either case, also joined, numbers behind them; dates and sizes; or three characters at most.
+PATH = ALLOWED[2]
+_PART = r"(?:(?:[A-Z][a-z]{2,}+|[a-z]{2,}+|[A-Z]{2,}+)++[0-9]{0,4}|[0-9]{1,8}[a-z]{0,2}|[A-Za-z0-9]{1,3})(?![A-Za-z0-9])"
+WORDED = rf"^[_-]*(?:{_PART}(?:[_-]++{_PART})*+)?+[_-]*$"
 _SCALE = 1_000_000
 _TERMS = [0] + [round(c * math.log2(c) * _SCALE) for c in range(1, WINDOW + 1)]
 #: Largest sum of terms of a passing window, by class.
@@ -110,16 +115,35 @@ def _passing(candidate: Column) -> Column:
     return F.aggregate(steps, start, step, lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last")))
 
 
+def _allowed(candidate: Column) -> Column:
+    others = "|".join(p for p in ALLOWED if p != PATH)
+    return candidate.rlike(others) | (candidate.rlike(PATH) & F.forall(F.split(candidate, "/", -1), lambda part: part.rlike(WORDED)))
+
+
+def _without(span: Column, base: Column, text: Column) -> Column:
+    """The parts of an entropy span outside all spans of ``base``, which are in order; parts of marks alone are none."""
+    kind = F.lit(len(KINDS))
+    touching = F.filter(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+
+    def step(acc: Column, b: Column) -> Column:
+        gap = F.when(acc["at"] < b["start"], F.array(_span(acc["at"], kind, b["start"]))).otherwise(F.array().cast(_SPANS))
+        return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), F.concat(acc["out"], gap).alias("out"))
+
+    parts = F.aggregate(touching, F.struct(span["start"].alias("at"), F.array().cast(_SPANS).alias("out")), step, lambda acc: F.concat(
+        acc["out"], F.when(acc["at"] < span["end"], F.array(_span(acc["at"], kind, span["end"]))).otherwise(F.array().cast(_SPANS))))
+    return F.filter(parts, lambda s: text.substr((s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")).rlike("[A-Za-z0-9]"))
+
+
 def _random_spans(text: Column, candidates: Column, base: Column) -> Column:
-    """Spans of passing windows of ``candidates`` that are neither allow-listed nor touch a span of ``base``."""
+    """Spans of passing windows of ``candidates`` that are not allow-listed, less the spans of ``base``."""
     kind = len(KINDS)
     lengths = F.zip_with(F.slice(F.split(text, CANDIDATE, -1), 1, F.size(candidates)), candidates, lambda gap, m: (F.length(gap) + F.length(m)).cast("bigint"))
     placed = F.zip_with(_running_sums(lengths), candidates, lambda end, m: F.struct((end - F.length(m)).alias("start"), m.alias("m")))
-    likely = F.filter(placed, lambda c: c["m"].rlike("[0-9]") & c["m"].rlike("[A-Za-z]") & ~c["m"].rlike("|".join(ALLOWED)))
+    likely = F.filter(placed, lambda c: c["m"].rlike("[0-9]") & c["m"].rlike("[A-Za-z]") & ~_allowed(c["m"]))
     found = F.transform(likely, lambda c: F.struct(c["start"].alias("start"), _passing(c["m"]).alias("w")))
     spans = F.transform(F.filter(found, lambda f: f["w"]["first"] > 0), lambda f: _span(
         f["start"] + f["w"]["first"] - WINDOW, F.lit(kind), f["start"] + f["w"]["last"]))
-    spans = F.filter(spans, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    spans = F.flatten(F.transform(spans, lambda s: _without(s, base, text)))
     return F.when(F.exists(candidates, lambda m: m.rlike("[0-9]")), spans).otherwise(F.array().cast(_SPANS))
 
 
