@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tidemark.catalog.bindings import bind
+from tidemark.catalog import learning
 from tidemark.catalog.learning import CONFIG
 from tidemark.operators import explain as ex
 from tidemark.operators import models as m
@@ -185,3 +186,11 @@ def test_logistic_beats_chance(data):
     finally:
         split.release()
     assert row["roc_auc"] > 0.5 and 0 <= row["f1"] <= 1 and row["f1"] == pytest.approx(row["dev_best_f1_scan"])
+
+
+@pytest.mark.parametrize("name", ["m5_logistic", "n11_isotonic"])
+def test_logistic_queries_train_with_the_declared_iterations(spark, sf, monkeypatch, name):
+    seen, logistic = [], m.logistic
+    monkeypatch.setattr(m, "logistic", lambda *a, **k: seen.append(logistic(*a, **k)) or seen[-1])
+    assert getattr(learning, name)(spark, sf).count() > 0
+    assert [x.getMaxIter() for x in seen] == [2000]

@@ -72,7 +72,7 @@ def m4_preprocessor(spark, sf):
 def m5_logistic(spark, sf):
     _, _, ready = _fitted(spark, sf)
     train = ready.filter("split = 'train'").persist()
-    model = m.logistic(train.count(), 30).fit(train)
+    model = m.logistic(train.count()).fit(train)
     train.unpersist()
     return m.scored(model, ready).select("customerID", m.LABEL, m.SCORE)
 
@@ -197,7 +197,7 @@ def n10_kmeans(spark, sf):
 def n11_isotonic(spark, sf):
     _, _, ready = _fitted(spark, sf)
     train = ready.filter("split = 'train'").persist()
-    folds = m.fit_isotonic_folds(train, m.logistic(train.count(), 30), "customerID")
+    folds = m.fit_isotonic_folds(train, m.logistic(train.count()), "customerID")
     return m.calibrated(ready.filter("split = 'dev'"), folds).select("customerID", m.LABEL, "calibrated_probability")
 
 
