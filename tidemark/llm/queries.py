@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import quality, toxicity
 from ..session import fresh_path, ship_package
+from .alignment import align_tokenizers
 from .bpe import round_trip_digests
+from .centroids import CLUSTERS, DIMENSIONS, ROUNDS, SCALE, SEED, centroid_digests
 from .exact_dedup import exact_duplicates
 from .jaccard import jaccard_components
 from .licenses import license_notices
@@ -17,6 +19,7 @@ from .packing import pack_documents
 from .rules import judge
 from .secrets import ALLOWED, CANDIDATE, KINDS, LEAST_BITS, MOST, SHORTEST_VALUE, WINDOW, _TERMS, secret_digests
 from .token_files import read_token_files, write_token_files
+from .winnowing import WINDOW, contaminated_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -162,3 +165,60 @@ def licenses(spark, sf_dir):
     found = license_notices(documents(spark, sf_dir))
     return found.select("doc_id", F.array_join("families", ",").alias("families"), "unknown_lines",
                         F.array_join(F.transform("notices", lambda x: F.concat_ws(":", x["line"], x["family"])), ",").alias("notices"))
+
+
+_PLACES = f"range(1, {DIMENSIONS + 1})"
+_KEPT = f"len(embedding) = {DIMENSIONS} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0"
+
+
+def _round_sql(number: int) -> str:
+    """Assignment to the centroids of round ``number``, and those of the next."""
+    apart = f"list_sum(list_transform({_PLACES}, lambda i: (v.v[i] - c.c[i]) * (v.v[i] - c.c[i])))"
+    return f""",
+    d{number} AS MATERIALIZED (SELECT v.r, c.k, CAST({apart} AS BIGINT) AS d FROM v, c{number} c),
+    a{number} AS MATERIALIZED (SELECT r, arg_min(k, d * {CLUSTERS} + k) AS k, min(d) AS d FROM d{number} GROUP BY r),
+    e{number} AS (SELECT a.k, i, CAST(floor_div AS BIGINT) AS x FROM (SELECT a.k, i, sum(v.v[i]) AS s, count(*) AS n,
+        (sum(v.v[i]) - ((sum(v.v[i]) % count(*)) + count(*)) % count(*)) // count(*) AS floor_div
+        FROM a{number} a JOIN v USING (r), (SELECT unnest({_PLACES}) AS i) GROUP BY a.k, i) a),
+    c{number + 1} AS MATERIALIZED (SELECT c.k, coalesce(m.c, c.c) AS c FROM c{number} c LEFT JOIN (SELECT k, list(x ORDER BY i) AS c FROM e{number} GROUP BY k) m ON m.k = c.k)"""
+
+
+@query("op11_centroid_clustering", f"""
+    WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings WHERE {_KEPT}),
+    c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h NULLS LAST, v) - 1 AS k, v AS c FROM (SELECT sha256('{SEED}:' || vec_id) AS h, v FROM v ORDER BY h NULLS LAST, v LIMIT {CLUSTERS}))
+    {"".join(map(_round_sql, range(ROUNDS + 1)))},
+    final AS (SELECT vec_id, a.k, d FROM a{ROUNDS} a JOIN v USING (r))
+    SELECT vec_id, CAST(f.k AS INT) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY f.k) AS BIGINT) AS cluster_inertia,
+        CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.c, ',')) AS centroid_sha256
+    FROM final f JOIN c{ROUNDS} c ON c.k = f.k
+""")
+def centroid_clustering(spark, sf_dir):
+    ship_package(spark)
+    return centroid_digests(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op12_token_alignment")
+def token_alignment(spark, sf_dir):
+    return align_tokenizers(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+_WORD_LIST = f"list_filter(string_split_regex({_LOWER}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+
+
+@query("op13_decontamination", f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORD_LIST} AS w FROM documents),
+    i AS (SELECT item_id, {_WORD_LIST} AS w FROM benchmark),
+    windows AS (SELECT DISTINCT item_id, m, unnest(list_transform(range(1, len(w) - m + 2), lambda p: array_to_string(w[p:p + m - 1], ' '))) AS t
+        FROM (SELECT *, least(len(w), {WINDOW}) AS m FROM i) WHERE m > 0),
+    spans AS (SELECT r, m, unnest(range(1, len(w) - m + 2)) AS p, unnest(list_transform(range(1, len(w) - m + 2), lambda p: array_to_string(w[p:p + m - 1], ' '))) AS t
+        FROM d, (SELECT DISTINCT m FROM windows) WHERE len(w) >= m),
+    hits AS (SELECT DISTINCT r, m, p FROM spans SEMI JOIN windows USING (m, t)),
+    hit_words AS (SELECT r, count(*) AS n FROM (SELECT DISTINCT r, unnest(range(p, p + m)) AS p FROM hits) GROUP BY r),
+    found AS (SELECT r, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS names
+        FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item_id FROM spans JOIN windows USING (m, t) WHERE item_id IS NOT NULL) GROUP BY r)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(f.n, 0) AS BIGINT) AS n_items,
+        sha256(coalesce(names, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hit_words h USING (r) LEFT JOIN found f USING (r)
+""")
+def decontamination(spark, sf_dir):
+    return contaminated_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
