@@ -6,8 +6,9 @@ the tokens behind the last common end (open suffix). Joining two neighbours clos
 prefix of the right; fragments without a common end are all open. Joining is associative, so very long documents are
 cut into byte ranges, whose fragments are made in tasks of their own and joined in a tree of rounds.
 
-Short documents take the same path inside one task, but their ranges are the space-separated pieces, where both tokenizers
-begin afresh: such a piece is one closed fragment, made once and remembered.
+Short documents are closed fragments already, and described many at a time: the end of each is a common end.
+
+Both tokenizers begin afresh at most spaces, so texts are encoded by the pieces between, each distinct one once as long as it is remembered.
 
 Inside a group, links (an A and a B token that share bytes) are the stretches between neighbouring ends of either kind.
 """
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -23,8 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialise
-from .common import byte_characters, id_and_text, trimmed
-from .winnowing import slices
+from .common import byte_characters, id_and_text, slices, trimmed
 
 #: Bytes of a range; longer documents are cut.
 CHUNK_BYTES = 1 << 16
@@ -33,7 +34,7 @@ FAN = 16
 #: Distinct id pairs up to which their corpus-wide counts are broadcast (about 100 bytes each); more are joined by exchange.
 BROADCAST_PAIRS = 2_000_000
 #: Distinct pieces that a task remembers.
-KNOWN_PIECES = 200_000
+KNOWN_PIECES = 400_000
 
 #: A space at which both tokenizers begin afresh: after something that is no white space, and not the last character.
 _CUT = re.compile("(?<=[^\\s᠎]) (?=.)", re.DOTALL)
@@ -65,16 +66,41 @@ class Tokens:
 NO_TOKENS = Tokens(*(np.zeros(0, np.int64) for _ in range(4)))
 
 
-def links_of(tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
-    """(A id, B id) of all links; tokens of both kinds begin and end together."""
-    ends = np.union1d(tokens.a_ends, tokens.b_ends)
-    return tokens.a[np.searchsorted(tokens.a_ends, ends)], tokens.b[np.searchsorted(tokens.b_ends, ends)]
+def _merged(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Distinct values of two ascending arrays; a stable sort merges the two runs."""
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")
+    return both[np.append(True, both[1:] != both[:-1])] if len(both) else both
+
+
+def common_ends(tokens: Tokens) -> np.ndarray:
+    both = np.concatenate([tokens.a_ends, tokens.b_ends])
+    both.sort(kind="stable")
+    return both[1:][both[1:] == both[:-1]]
+
+
+#: Ids in decimals with the mark that follows, filled as far as needed.
+_NAMES: dict[str, np.ndarray] = {}
 
 
-def _joined(ids: np.ndarray, common: np.ndarray) -> list[str]:
-    """The ids of each group in decimals; ``common`` are the numbers of tokens up to the end of each."""
-    names = list(map(str, ids.tolist()))
-    return [",".join(names[i:j]) for i, j in zip([0, *common[:-1].tolist()], common.tolist())]
+def _named(ids: np.ndarray, mark: str) -> np.ndarray:
+    known, most = _NAMES.get(mark, np.zeros(0, object)), int(ids.max(initial=-1)) + 1
+    if len(known) < most:
+        known = _NAMES[mark] = np.array([f"{i}{mark}" for i in range(most)], object)
+    return known[ids]
+
+
+def _texts(tokens: Tokens, common: np.ndarray, bounds: np.ndarray) -> list[str]:
+    """The groups of each document as text; ``bounds`` are the numbers of groups up to the end of each document."""
+    a_upto, b_upto = (np.searchsorted(e, common, "right") for e in (tokens.a_ends, tokens.b_ends))
+    a_n, b_n = np.diff(a_upto, prepend=0), np.diff(b_upto, prepend=0)
+    parts = np.empty(len(tokens.a) + len(tokens.b), object)
+    for ids, upto, sizes, before, mark in ((tokens.a, a_upto, a_n, b_upto - b_n, "|"), (tokens.b, b_upto, b_n, a_upto, ";")):
+        place = np.arange(len(ids)) + np.repeat(before, sizes)
+        parts[place] = _named(ids, ",")
+        parts[place[upto - 1]] = _named(ids[upto - 1], mark)
+    ends = np.append(0, a_upto + b_upto)[np.append(0, bounds)].tolist()
+    return ["".join(parts[i:j])[:-1] for i, j in zip(ends, ends[1:])]
 
 
 @dataclass
@@ -92,13 +118,25 @@ class Closed:
     @classmethod
     def of(cls, tokens: Tokens) -> Closed:
         """Groups of ``tokens``, whose last ends are common."""
-        common = np.intersect1d(tokens.a_ends, tokens.b_ends)
-        if not len(common):
-            return cls()
-        a, b = links_of(tokens)
-        pairs, counts = np.unique(a << 32 | b, return_counts=True)
-        left, right = (_joined(i, np.searchsorted(e, common, "right")) for i, e in ((tokens.a, tokens.a_ends), (tokens.b, tokens.b_ends)))
-        return cls(";".join(map("|".join, zip(left, right))), len(tokens.a), len(tokens.b), len(common), len(a), pairs, counts)
+        return cls.of_each(tokens, tokens.a_ends[-1:])[0] if len(tokens.a) else cls()
+
+    @classmethod
+    def of_each(cls, tokens: Tokens, ends: np.ndarray) -> list[Closed]:
+        """Groups of each of the documents that end at ``ends``, which are ascending common ends."""
+        common, links = common_ends(tokens), _merged(tokens.a_ends, tokens.b_ends)
+        groups = np.searchsorted(common, ends, "right")
+        texts = _texts(tokens, common, groups)
+        a, b = tokens.a[np.searchsorted(tokens.a_ends, links)], tokens.b[np.searchsorted(tokens.b_ends, links)]
+        # One number per document and pair; below 2 ** 63 for vocabularies of a million and slices of a million documents.
+        wide_a, wide_b = int(a.max(initial=0)) + 1, int(b.max(initial=0)) + 1
+        key = (np.searchsorted(ends, links) * wide_a + a) * wide_b + b
+        key.sort()
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        times, key = np.diff(np.append(first, len(key))), key[first]
+        pairs, doc = (key // wide_b % wide_a) << 32 | key % wide_b, key // wide_b // wide_a
+        cuts = np.searchsorted(doc, np.arange(len(ends) + 1)).tolist()
+        counted = [np.diff(np.searchsorted(e, ends, "right"), prepend=0).tolist() for e in (tokens.a_ends, tokens.b_ends, common, links)]
+        return [cls(text, *n, pairs[i:j], times[i:j]) for text, *n, i, j in zip(texts, *counted, cuts, cuts[1:])]
 
     def __add__(self, other: Closed) -> Closed:
         pairs, at = np.unique(np.concatenate([self.pairs, other.pairs]), return_inverse=True)
@@ -117,7 +155,7 @@ class Fragment:
 
     @classmethod
     def of(cls, tokens: Tokens) -> Fragment:
-        common = np.intersect1d(tokens.a_ends, tokens.b_ends)
+        common = common_ends(tokens)
         if not len(common):
             return cls(tokens)
         first, last = int(common[0]), int(common[-1])
@@ -156,49 +194,43 @@ class BothTokenizers:
             raise ValueError(f"{path_b}: a piece goes over a space, so texts cannot be cut there")
         self._bytes_b = [bytes([int(p[3:5], 16)]) if self._b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self._size_a, self._size_b = (np.array(list(map(len, x)), np.int64) for x in (self._bytes_a, self._bytes_b))
-        self._number: dict[str, int] = {}
-        self._ids: list[tuple[bytes, bytes] | None] = []
-        self._closed: list[Closed | None] = []
-
-    def forget(self) -> None:
-        self._number, self._ids, self._closed = {}, [], []
-
-    @property
-    def known(self) -> int:
-        return len(self._number)
-
-    def numbers(self, text: str) -> list[int]:
-        """Numbers of the pieces of ``text``."""
-        pieces = text.split(" ")
-        if any(p == "" or p[-1].isspace() or p[-1] == "᠎" for p in pieces):
-            pieces = _CUT.split(text)
-        new = list(set(pieces).difference(self._number))
-        if new:
-            spaced = [f" {p}" for p in new]
-            found_b = self._b.encode(new, num_threads=1)
-            for piece, whole, a, b in zip(new, spaced, self._a.encode_batch_fast(spaced, add_special_tokens=False), found_b):
-                self._number[piece] = len(self._ids)
-                data, ids = whole.encode(), a.ids
+        self._ids_a: dict[str, bytes | None] = {}
+        self._ids_b: dict[str, bytes | None] = {}
+        self._odd: set[str] = set()
+
+    def pieces(self, texts: list[str]) -> list[list[str]]:
+        """The pieces of each text, whose tokens are known from then on."""
+        if len(self._ids_a) > KNOWN_PIECES:
+            self._ids_a, self._ids_b, self._odd = {}, {}, set()
+        cut = [t.split(" ") for t in texts]
+        new = set().union(*cut).difference(self._ids_a)
+        self._odd.update(p for p in new if not p or p[-1].isspace() or p[-1] == "᠎")  # no cut after these
+        if self._odd:
+            cut = [p if self._odd.isdisjoint(p) else _CUT.split(t) for p, t in zip(cut, texts)]
+            new = set().union(*cut).difference(self._ids_a)
+        self._learn(list(new))
+        return cut
+
+    def _learn(self, pieces: list[str]) -> None:
+        for start in range(0, len(pieces), 10_000):
+            some = pieces[start:start + 10_000]
+            spaced = [f" {p}" for p in some]
+            for piece, whole, a, b in zip(some, spaced, self._a.encode_batch_fast(spaced, add_special_tokens=False), self._b.encode(some, num_threads=1)):
+                ids, data = a.ids, whole.encode()
                 same = b"".join(map(self._bytes_a.__getitem__, ids)) == data == b"".join(map(self._bytes_b.__getitem__, b))
-                self._ids.append((np.array(ids, "<u4").tobytes(), np.array(b, "<u4").tobytes()) if same else None)
-                self._closed.append(None)
-        return list(map(self._number.__getitem__, pieces))
-
-    def tokens(self, numbers: list[int], start: int = 0) -> Tokens | None:
-        """Tokens of neighbouring pieces from byte ``start`` on; None where the tokens of one do not spell it."""
-        found = [self._ids[i] for i in numbers]
-        if None in found:
-            return None
-        a, b = (np.frombuffer(b"".join(x), "<u4").astype(np.int64) for x in zip(*found))
-        return Tokens(a, start + np.cumsum(self._size_a[a]), b, start + np.cumsum(self._size_b[b]))
+                self._ids_a[piece], self._ids_b[piece] = (array("I", ids).tobytes(), array("I", b).tobytes()) if same else (None, None)
 
-    def closed(self, number: int) -> Closed | None:
-        """The groups of one piece, a fragment of its own."""
-        if self._ids[number] is None:
+    def ids(self, pieces: list[str]) -> tuple[bytes, bytes] | None:
+        """A and B ids of neighbouring pieces, 4 bytes each; None where the tokens of one do not spell it."""
+        try:
+            return b"".join(map(self._ids_a.__getitem__, pieces)), b"".join(map(self._ids_b.__getitem__, pieces))
+        except TypeError:
             return None
-        if self._closed[number] is None:
-            self._closed[number] = Fragment.of(self.tokens([number])).whole()
-        return self._closed[number]
+
+    def tokens(self, ids: list[tuple[bytes, bytes]], start: int = 0) -> Tokens:
+        """Tokens of neighbouring ``ids`` from byte ``start`` on."""
+        a, b = (np.frombuffer(b"".join(x), np.uint32).astype(np.int64) for x in zip(*ids)) if ids else (NO_TOKENS.a, NO_TOKENS.b)
+        return Tokens(a, start + np.cumsum(self._size_a[a]), b, start + np.cumsum(self._size_b[b]))
 
 
 _LOADED: dict[tuple[str, str], BothTokenizers] = {}
@@ -227,25 +259,15 @@ def _aligned_batch(rows, ids, closed: list[Closed]) -> pa.RecordBatch:
 
 
 def _of_short(batches, path_a: str, path_b: str):
-    """Aligned rows of whole texts: the closed fragments of their pieces, joined."""
+    """Aligned rows of whole texts, each a closed fragment."""
     both = both_tokenizers(path_a, path_b)
     for b in (part for whole in batches for part in slices(whole)):
-        if both.known > KNOWN_PIECES:
-            both.forget()
-        out = []
-        for text in b["text"].to_pylist():
-            numbers = both.numbers(text) if text else []
-            several, times = np.unique(np.array(numbers, np.int64), return_counts=True)
-            parts = {i: both.closed(i) for i in several.tolist()}
-            if not numbers or None in parts.values():
-                out.append(Closed())
-                continue
-            used = list(parts.values())
-            pairs, at = np.unique(np.concatenate([c.pairs for c in used]), return_inverse=True)
-            counts = np.bincount(at, np.concatenate([c.counts * n for c, n in zip(used, times)]), len(pairs)).astype(np.int64)
-            sums = [int(np.dot(times, [getattr(c, n) for c in used])) for n in ("n_a", "n_b", "n_groups", "n_links")]
-            out.append(Closed(";".join([parts[i].text for i in numbers]), *sums, pairs, counts))
-        yield _aligned_batch(b["row"], b["doc_id"], out)
+        texts = b["text"].to_pylist()
+        ids = [both.ids(pieces) if text else None for text, pieces in zip(texts, both.pieces(texts))]
+        tokens = both.tokens([x for x in ids if x])
+        n_a = np.cumsum([len(x[0]) // 4 for x in ids if x], dtype=np.int64)
+        closed = iter(Closed.of_each(tokens, tokens.a_ends[n_a - 1]))
+        yield _aligned_batch(b["row"], b["doc_id"], [next(closed) if x else Closed() for x in ids])
 
 
 # ---------------------------------------------------------------- long documents
@@ -328,10 +350,8 @@ def _fragments(batches, path_a: str, path_b: str):
     both = both_tokenizers(path_a, path_b)
     for b in batches:
         for row in b.to_pylist():
-            if both.known > KNOWN_PIECES:
-                both.forget()
-            tokens = both.tokens(both.numbers(row["text"]), row["start"])
-            fragment = Fragment.of(tokens.between(row["low"], row["high"])) if tokens else None
+            ids = both.ids(both.pieces([row["text"]])[0])
+            fragment = Fragment.of(both.tokens([ids], row["start"]).between(row["low"], row["high"])) if ids else None
             yield from _fragment_table([(row["row"], row["doc_id"], row["chunk"])], [fragment]).to_batches()
 
 

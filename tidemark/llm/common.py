@@ -9,20 +9,39 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 #: Pieces a worker remembers before it starts afresh; about 200 bytes each.
 REMEMBERED_PIECES = 1_000_000
+#: Bytes of texts that a task works on at a time; one text may have more.
+SLICE_BYTES = 4 << 20
 
 
-def trimmed(batches):
-    """Passes on ``batches`` and gives freed memory back to the system, as a worker lives on after its task."""
-    yield from batches
+def give_back() -> None:
+    """Freed memory goes back to the system, as a process lives on after its task or fit."""
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # the C library of other systems has no such call
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+def trimmed(batches):
+    """Passes on ``batches`` and gives freed memory back."""
+    yield from batches
+    give_back()
+
+
+def slices(batch: pa.RecordBatch, column: str = "text"):
+    """``batch`` in slices of about SLICE_BYTES of text, so that memory follows bytes and not rows."""
+    ends = np.cumsum(pc.binary_length(batch[column]).fill_null(0).to_numpy().astype(np.int64))
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        end = max(int(np.searchsorted(ends, before + SLICE_BYTES, "right")), start + 1)
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Columns doc_id (BIGINT) and text (never null), and no other."""
     return docs.select(

@@ -20,19 +20,18 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import fresh_path, materialise
-from .common import id_and_text, trimmed
+from .common import id_and_text, slices, trimmed
 
 #: Words of a window, and of a k-gram inside it.
 WINDOW, GRAM = 10, 5
 #: Bits of the filter: 64 per fingerprint, but no more than these; a fuller filter lets more pass to the join and loses nothing.
 FILTER_BITS = 1 << 27
-#: Bytes of texts that are hashed together (one text may have more), and words that a task remembers.
-SLICE_BYTES, KNOWN_WORDS = 4 << 20, 500_000
+#: Words that a task remembers.
+KNOWN_WORDS = 500_000
 
 _WORDS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256)).lower()
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -95,17 +94,6 @@ def kept_grams(words: np.ndarray, k: int, width: int) -> tuple[np.ndarray, np.nd
     return least, place
 
 
-def slices(batch: pa.RecordBatch, column: str = "text"):
-    """``batch`` in slices of about SLICE_BYTES of text, so that memory follows bytes and not rows."""
-    ends = np.cumsum(pc.binary_length(batch[column]).to_numpy().astype(np.int64))
-    start = 0
-    while start < batch.num_rows:
-        before = ends[start - 1] if start else 0
-        end = max(int(np.searchsorted(ends, before + SLICE_BYTES, "right")), start + 1)
-        yield batch.slice(start, end - start)
-        start = end
-
-
 def _item_windows(items: DataFrame, item_col: str, text_col: str) -> DataFrame:
     """Distinct (width, gram, high, low, item): each window of each item with its fingerprint."""
     def read(batches):
