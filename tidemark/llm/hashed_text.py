@@ -11,7 +11,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import id_and_text
+from ..session import materialise
+from .common import id_and_text, trimmed
 
 #: Places a word can hash to.
 PLACES = 1 << 20
@@ -79,7 +80,7 @@ class Rows:
 
     @cached_property
     def row(self) -> np.ndarray:
-        return np.repeat(np.arange(self.n), np.diff(self.start))
+        return np.repeat(np.arange(self.n, dtype=np.int32), np.diff(self.start))
 
     def times(self, weights: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, weights[self.place], minlength=self.n)
@@ -89,7 +90,7 @@ class Rows:
 
     def only(self, columns: np.ndarray) -> Rows:
         """The same rows with ``columns`` alone."""
-        number = np.full(len(self.names), -1)
+        number = np.full(len(self.names), -1, np.int32)
         number[columns] = np.arange(len(columns))
         keep = number[self.place] >= 0
         return Rows(np.append(0, np.cumsum(np.bincount(self.row[keep], minlength=self.n))), number[self.place[keep]], self.names[columns])
@@ -111,32 +112,51 @@ def as_rows(lists: list[np.ndarray], least: float, most: float) -> Rows:
     return Rows(np.append(0, np.cumsum(np.bincount(row[chosen], minlength=len(lists)))), number[column[chosen]], names[keep])
 
 
-def labelled_places(docs: DataFrame, labels: DataFrame, columns: list[str], rows: int, id_col: str, text_col: str, **options) -> pa.Table:
-    """Table (doc_id, ``columns``, places, text hash order) of at most ``rows`` labelled documents, those of the smallest hashes of the id.
+def labelled_rows(docs: DataFrame, labels: DataFrame, columns: list[str], rows: int, least: float, most: float, id_col: str, text_col: str,
+                  groups: list[list[int]] = (), **options) -> tuple[pa.Table, Rows]:
+    """(table (doc_id, ``columns``, group), the same documents' Rows) of at most ``rows`` labelled documents, those of the smallest hashes of the id.
 
-    ``rows`` bounds what comes to the driver, in rows of distinct words. Rows with a null id or label are no labels; an id
-    with several labels has the smallest; a document that repeats counts once per text.
+    ``rows`` bounds what comes to the driver, in rows of the places that a share of ``least`` to ``most`` of the documents have, and 4 at least;
+    these are counted, and the others dropped, before. Bit i of ``group`` says whether the text has one of the places ``groups[i]``. Rows with a null id or label are no
+    labels; an id with several labels has the smallest; a text that repeats under one id counts once, and an id with several texts takes part with each of them, within ``rows``.
     """
+    spark = docs.sparkSession
     chosen = labels.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), *[F.col(f"`{c}`").cast("int").alias(c) for c in columns]).dropna()
     chosen = chosen.groupBy("doc_id").agg(*[F.min(c).alias(c) for c in columns]).orderBy(F.xxhash64("doc_id")).limit(rows)
     texts = id_and_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")  # at most `rows` rows
+    names, marks = ["doc_id", *columns], [np.array(sorted(g), np.int64) for g in groups]
 
     def place(batches):
         places = WordPlaces(**options)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*(b[c] for c in ["doc_id", *columns]), pa.array([places(t) for t in b["text"].to_pylist()], pa.list_(pa.int64()))], ["doc_id", *columns, "places"])
-
-    schema = "doc_id bigint, " + ", ".join(f"{c} int" for c in columns) + ", places array<bigint>"
-    table = texts.select("doc_id", *columns, "text").mapInArrow(place, schema).toArrow()
-    return table.sort_by([("doc_id", "ascending")])
-
-
-def list_column(table: pa.Table, name: str) -> list[np.ndarray]:
-    column = table[name].combine_chunks()
-    if not len(column):
-        return []
-    ends = column.offsets.to_numpy()
-    return np.split(column.values.to_numpy(), ends[1:-1])
+            found = [places(t) for t in b["text"].to_pylist()]
+            group = [sum(int(np.isin(g, p).any()) << i for i, g in enumerate(marks)) for p in found]
+            yield pa.RecordBatch.from_arrays([*(b[c] for c in [*names, "hash"]), pa.array(group, pa.int32()), pa.array([p.astype(np.int32) for p in found], pa.list_(pa.int32()))],
+                                             [*names, "hash", "group", "places"])
+
+    schema = ", ".join([f"{c} {'bigint' if c == 'doc_id' else 'int'}" for c in names])
+    placed = texts.select(*names, F.xxhash64("text").alias("hash"), "text").mapInArrow(lambda b: trimmed(place(b)), f"{schema}, hash bigint, group int, places array<int>")
+    stored = materialise(placed.dropDuplicates(["doc_id", "hash"]).orderBy(F.xxhash64("doc_id"), "hash").limit(rows), "labelled")
+
+    n = stored.count()
+    seen = stored.select(F.explode("places").alias("place")).groupBy("place").agg(F.count("*").alias("n"))
+    kept = seen.filter((F.col("n") >= max(4, least * n)) & (F.col("n") <= most * n)).select("place").toArrow()  # of PLACES at most
+    vocabulary = spark.sparkContext.broadcast(np.sort(kept["place"].to_numpy()))
+
+    def number(batches):
+        names = vocabulary.value
+        for b in batches:
+            flat, ends = b["places"].flatten().to_numpy(), b["places"].offsets.to_numpy() - b["places"].offsets[0].as_py()
+            at = np.searchsorted(names, flat)
+            hit = names[np.minimum(at, len(names) - 1)] == flat if len(names) else np.zeros(len(flat), bool)
+            cut = np.append(0, np.cumsum(hit))[ends].astype(np.int32)
+            yield b.drop_columns(["places"]).append_column("columns", pa.ListArray.from_arrays(pa.array(cut), pa.array(at[hit].astype(np.int32))))
+
+    table = stored.select(*names, "group", "hash", "places").mapInArrow(number, f"{schema}, group int, hash bigint, columns array<int>").toArrow()
+    table = table.sort_by([("doc_id", "ascending"), ("hash", "ascending")])
+    lists = table["columns"].combine_chunks()
+    sparse = Rows(lists.offsets.to_numpy(), lists.values.to_numpy(), vocabulary.value) if len(lists) else Rows(np.zeros(1, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32))
+    return table.select([*names, "group"]), sparse
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import id_and_text
-from .hashed_text import Rows, WordPlaces, as_rows, descend, labelled_places, list_column, sigmoid
+from .hashed_text import Rows, WordPlaces, descend, labelled_rows, sigmoid
 
 #: Labelled documents that are learned from.
 TRAIN_ROWS = 8_000
@@ -66,8 +66,7 @@ def fit_grades(rows: Rows, grade: np.ndarray, l2: float = 1e-3) -> tuple[np.ndar
 
 def fit(docs: DataFrame, graded: DataFrame, grade_col: str = "grade", id_col: str = "doc_id", text_col: str = "text", train_rows: int = TRAIN_ROWS) -> Grades:
     """Fit on at most ``train_rows`` rows of ``graded``, whose ``grade_col`` counts up from 0."""
-    table = labelled_places(docs, graded, [grade_col], train_rows, id_col, text_col, marks=True)
-    rows = as_rows(list_column(table, "places"), LEAST_SHARE, MOST_SHARE)
+    table, rows = labelled_rows(docs, graded, [grade_col], train_rows, LEAST_SHARE, MOST_SHARE, id_col, text_col, marks=True)
     return Grades(rows.names, *fit_grades(rows, table[grade_col].to_numpy().astype(np.int64)))
 
 

@@ -15,8 +15,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import id_and_text
-from .hashed_text import PLACES, Rows, WordPlaces, as_rows, labelled_places, list_column, logistic, sigmoid
+from .common import give_back, id_and_text
+from .hashed_text import PLACES, Rows, WordPlaces, as_rows, labelled_rows, logistic, sigmoid
 
 # Words that place a toxic text in a category, and the order of the chain.
 CATEGORIES = {
@@ -65,15 +65,23 @@ def _best_threshold(p: np.ndarray, y: np.ndarray) -> float:
     return float((p[order][best] + after) / 2)
 
 
+_PLACES_OF = {c: [xxhash.xxh3_64_intdigest(w.encode()) % PLACES for w in ws] for c, ws in CATEGORIES.items()}
+
+
 def train_chain(places: list[np.ndarray], toxic: np.ndarray, ids: np.ndarray, folds: int = FOLDS, least: float = LEAST_SHARE) -> Chain:
-    """Fit the chain; without both classes nothing is toxic (threshold above 1)."""
-    names, rows = [*CATEGORIES, LABEL], as_rows(places, least, MOST_SHARE)
-    words = {c: {xxhash.xxh3_64_intdigest(w.encode()) % PLACES for w in ws} for c, ws in CATEGORIES.items()}
+    """``chain_of`` the documents with these ``places``."""
+    has = np.array([[np.isin(w, p).any() for w in _PLACES_OF.values()] for p in places], bool).reshape(len(places), -1)
+    return chain_of(as_rows(places, least, MOST_SHARE), has, toxic, ids, folds)
+
+
+def chain_of(rows: Rows, has: np.ndarray, toxic: np.ndarray, ids: np.ndarray, folds: int = FOLDS) -> Chain:
+    """Fit the chain; ``has`` tells of each document and category whether it has a word of it. Without both classes nothing is toxic (threshold above 1)."""
+    names = [*CATEGORIES, LABEL]
     fold = np.array([xxhash.xxh3_64_intdigest(str(i)) % folds for i in ids], np.int64)
-    earlier = np.zeros((len(places), 0))
+    earlier = np.zeros((rows.n, 0))
     weights, dense = np.zeros((len(names), len(rows.names))), []
     for c, name in enumerate(names):
-        y = toxic if name == LABEL else np.array([t and not words[name].isdisjoint(p.tolist()) for t, p in zip(toxic, places)], float)
+        y = toxic if name == LABEL else toxic * has[:, c]
         if not y.any() or y.all():
             dense.append(None)
             earlier = np.column_stack([earlier, np.zeros(len(y))])
@@ -94,8 +102,12 @@ def train_chain(places: list[np.ndarray], toxic: np.ndarray, ids: np.ndarray, fo
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: int = TRAIN_ROWS) -> Chain:
-    table = labelled_places(docs, labels, [LABEL], train_rows, id_col, text_col, stems=True)
-    return train_chain(list_column(table, "places"), (table[LABEL].to_numpy() > 0).astype(float), table["doc_id"].to_numpy())
+    table, rows = labelled_rows(docs, labels, [LABEL], train_rows, LEAST_SHARE, MOST_SHARE, id_col, text_col, groups=list(_PLACES_OF.values()), stems=True)
+    has = table["group"].to_numpy()[:, None] >> np.arange(len(CATEGORIES)) & 1
+    chain = chain_of(rows, has, (table[LABEL].to_numpy() > 0).astype(float), table["doc_id"].to_numpy())
+    del rows, has
+    give_back()
+    return chain
 
 
 def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
