@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import fresh_path, materialise
-from .common import id_and_text, trimmed
+from .common import id_and_text, slices, trimmed
 from .components import components
 from .rtree import candidate_pairs, needs
 
@@ -44,8 +44,12 @@ BUCKET_ENTRIES = 1_000_000
 HUB_TURNS = 3
 #: Bits of the filter that says which sets are to be compared: 16 per set, and no more than these.
 FILTER_BITS = 1 << 27
-#: Documents that a task works on at a time, and words it remembers.
-SLICE, KNOWN_WORDS = 4_000, 300_000
+#: Sets that a task works on at a time, and words it remembers.
+SLICE, KNOWN_WORDS = 1_000, 300_000
+#: Sets whose shingles are counted together, fewer where they have more distinct shingles than these.
+COUNTED_SETS, COUNTED_SHINGLES = 4_000, 2_000_000
+#: Keys that a task remembers; a set whose key was forgotten is stored once more.
+CARRIED = 500_000
 #: Shingles are kept as 48-bit hashes: within a pair of sets of 1,000 one in 10**9 is confused.
 _BYTES = 6
 
@@ -82,8 +86,11 @@ def _stored_sets(docs: DataFrame) -> str:
     def read(batches):
         known: dict[bytes, int] = {}
         carried: set[int] = set()
-        for b in (whole.slice(at, SLICE) for whole in batches for at in range(0, whole.num_rows, SLICE)):
+        counter = _Counter()
+        for b in (part for whole in batches for part in slices(whole)):
             n, keys, points, packed, fresh = [], [], [], [], []
+            if len(carried) > CARRIED:
+                carried.clear()
             for text in b["text"].to_pylist():
                 words = text.encode().lower().split()
                 if len(known) > KNOWN_WORDS:
@@ -109,17 +116,44 @@ def _stored_sets(docs: DataFrame) -> str:
                 packed.append(_packed(kept))
                 fresh.append(kept)
             yield _batch(0, doc_id=b["doc_id"], n_shingles=n, key=keys, point=points, shingles=packed)
-            if fresh:
-                shingle, seen = np.unique(np.concatenate(fresh), return_counts=True)
-                often = seen >= max(BATCH_LEAST, len(fresh) / MOST_FREQUENT)
-                if often.any():
-                    yield _batch(1, shingle=shingle[often].astype(np.int64), seen=seen[often])
+            counter.add(fresh)
+            if counter.full:
+                yield from counter.frequent()
+        yield from counter.frequent()
 
     path = fresh_path(docs.sparkSession, "shingles")
     docs.mapInArrow(lambda batches: trimmed(read(batches)), _SETS).write.partitionBy("kind").parquet(path)
     return path
 
 
+class _Counter:
+    """Sets that hold each shingle, of up to COUNTED_SETS sets: a sorted run that each slice is merged into."""
+
+    def __init__(self):
+        self._shingle, self._seen, self._sets = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+
+    @property
+    def full(self) -> bool:
+        return self._sets >= COUNTED_SETS or len(self._shingle) > COUNTED_SHINGLES
+
+    def add(self, fresh: list[np.ndarray]) -> None:
+        if not fresh:
+            return
+        self._sets += len(fresh)
+        shingle, seen = np.unique(np.concatenate(fresh), return_counts=True)
+        at = np.searchsorted(self._shingle, shingle)
+        old = self._shingle[np.minimum(at, len(self._shingle) - 1)] == shingle if len(self._shingle) else np.zeros(len(shingle), bool)
+        self._seen[at[old]] += seen[old]
+        self._shingle, self._seen = np.insert(self._shingle, at[~old], shingle[~old]), np.insert(self._seen, at[~old], seen[~old])
+
+    def frequent(self):
+        """One batch of the frequent shingles, if there are any; counting begins afresh."""
+        often = self._seen >= max(BATCH_LEAST, self._sets / MOST_FREQUENT)
+        if often.any():
+            yield _batch(1, shingle=self._shingle[often].astype(np.int64), seen=self._seen[often])
+        self.__init__()
+
+
 def _batch(kind: int, **columns) -> pa.RecordBatch:
     types = {"doc_id": pa.int64(), "n_shingles": pa.int64(), "key": pa.int64(), "point": pa.binary(), "shingles": pa.binary(),
              "shingle": pa.int64(), "seen": pa.int64()}
