@@ -29,6 +29,8 @@ from .common import byte_characters, id_and_text, slices, trimmed
 
 #: Bytes of a range; longer documents are cut.
 CHUNK_BYTES = 1 << 16
+#: Bytes of short texts that are described together; each takes some 30 times as much memory meanwhile.
+ALIGNED_BYTES = 1 << 20
 #: Fragments that are joined in one round.
 FAN = 16
 #: Distinct id pairs up to which their corpus-wide counts are broadcast (about 100 bytes each); more are joined by exchange.
@@ -261,7 +263,7 @@ def _aligned_batch(rows, ids, closed: list[Closed]) -> pa.RecordBatch:
 def _of_short(batches, path_a: str, path_b: str):
     """Aligned rows of whole texts, each a closed fragment."""
     both = both_tokenizers(path_a, path_b)
-    for b in (part for whole in batches for part in slices(whole)):
+    for b in (part for whole in batches for part in slices(whole, size=ALIGNED_BYTES)):
         texts = b["text"].to_pylist()
         ids = [both.ids(pieces) if text else None for text, pieces in zip(texts, both.pieces(texts))]
         tokens = both.tokens([x for x in ids if x])

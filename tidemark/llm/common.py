@@ -31,13 +31,13 @@ def trimmed(batches):
     give_back()
 
 
-def slices(batch: pa.RecordBatch, column: str = "text"):
-    """``batch`` in slices of about SLICE_BYTES of text, so that memory follows bytes and not rows."""
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES):
+    """``batch`` in slices of about ``size`` bytes of text, so that memory follows bytes and not rows."""
     ends = np.cumsum(pc.binary_length(batch[column]).fill_null(0).to_numpy().astype(np.int64))
     start = 0
     while start < batch.num_rows:
         before = ends[start - 1] if start else 0
-        end = max(int(np.searchsorted(ends, before + SLICE_BYTES, "right")), start + 1)
+        end = max(int(np.searchsorted(ends, before + size, "right")), start + 1)
         yield batch.slice(start, end - start)
         start = end
 
