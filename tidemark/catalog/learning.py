@@ -2,33 +2,39 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, functions as F
 
+from ..fixed_values import CAPPED_COLUMNS
 from ..operators import models as m
 from ..operators import subscription as sub
+from ..operators.isotonic import fit_isotonic
 from ..operators.explain import driver_columns, mean_absolute, tree_attributions
 from ..operators.profile import user_profile
-from ..plans.score import score_batch
-from ..plans.train import assemble_dataset, load_run, train_champion, tune
-from ..session import fresh_path
+from ..operators.quantiles import add_capped_columns
+from ..plans.runs import StoredRun, stored_run
+from ..plans.score import features_for, score_batch
+from ..plans.train import assemble_dataset, train_champion, tune
+from ..session import fresh_path, materialise
 from ..streaming.scoring import read_requests, start_scoring
 from .bindings import bind, cte, table
 from .registry import query, rounded, rounded_sql
+from .subscription import BASE_SQL, CAPPED_DOUBLES, caps_cte, select
 
-# Fewer, faster-learning trees than the 400-tree default keep a run to seconds.
-_TREES = {"n_estimators": 10, "learning_rate": 0.3}
-CONFIG = {
-    "data": {"dataset_type": "telco"},
-    "split": {"train_size": 0.70, "dev_size": 0.15, "random_state": 42},
-    "models": {"logistic_regression": {"max_iter": 30}, "boosted_shallow": _TREES, "boosted_leafy": {**_TREES, "num_leaves": 16}},
-}
+#: All three candidates as declared: 2,000 iterations, 400 trees.
+CONFIG = {"data": {"dataset_type": "telco"}, "split": {"train_size": 0.70, "dev_size": 0.15, "random_state": 42}}
 
 
 def dataset(spark, sf) -> m.Dataset:
     return assemble_dataset(bind(spark, sf, "b_telco"), CONFIG, f"{sf}/customer.parquet")
 
 
+def run(spark, sf) -> StoredRun:
+    """The stored run of CONFIG, which all queries about trained models read."""
+    return stored_run(spark, [f"{sf}/customer.parquet"], lambda: dataset(spark, sf), CONFIG)
+
+
 def _fitted(spark, sf):
     """(dataset, preprocessor model, all rows with their feature vector)."""
     data = dataset(spark, sf)
@@ -37,6 +43,14 @@ def _fitted(spark, sf):
     return data, fitted, fitted.transform(rows).select(data.id_col, "split", m.LABEL, m.WEIGHT, "features")
 
 
+def _vectors(spark, sf, model):
+    """(customerID, label, features) of all customers under a stored pipeline."""
+    _, metadata = run(spark, sf).load(spark)
+    raw = bind(spark, sf, "b_telco").withColumn(m.LABEL, F.when(F.lower("Churn") == "yes", 1.0).otherwise(0.0))
+    rows = features_for(raw, metadata["numeric_cols"], metadata["categorical_cols"], "telco", (metadata["bill_p75"], metadata["bill_median"]))
+    return PipelineModel(model.stages[:-1]).transform(rows).select("customerID", m.LABEL, "features")
+
+
 @query("m1_median_impute", "WITH " + cte("b_telco") + ", numbers AS (SELECT customerID, TRY_CAST(trim(TotalCharges) AS DOUBLE) AS x FROM b_telco)\nSELECT customerID, coalesce(x, (SELECT quantile_cont(x, 0.5) FROM numbers)) AS TotalCharges FROM numbers")
 def m1_median_impute(spark, sf):
     df = bind(spark, sf, "b_telco").select("customerID", F.trim("TotalCharges").try_cast("double").alias("TotalCharges"))
@@ -79,17 +93,14 @@ def m5_logistic(spark, sf):
 
 @query("m6_boosted_trees")
 def m6_boosted_trees(spark, sf):
-    _, _, ready = _fitted(spark, sf)
-    train = ready.filter("split = 'train'").persist()
-    model = m.boosted_trees({**_TREES, "max_depth": 4}).fit(train)
-    train.unpersist()
-    return m.scored(model, ready).select("customerID", m.LABEL, m.SCORE)
+    """The run's shallow candidate, 400 trees of depth 4, over all customers."""
+    model = run(spark, sf).candidate("boosted_shallow")
+    return m.scored(model.stages[-1], _vectors(spark, sf, model)).select("customerID", m.LABEL, m.SCORE)
 
 
 @query("m7_train_champion")
 def m7_train_champion(spark, sf):
-    result = train_champion(spark, dataset(spark, sf), CONFIG)
-    return result["test_metrics"].withColumn("champion", F.lit(result["champion"]))
+    return run(spark, sf).test_metrics(spark)
 
 
 @query("m8_random_search")
@@ -136,12 +147,12 @@ def j6_uplift_alignment(spark, sf):
 
 
 def _explained(spark, sf):
-    _, fitted, ready = _fitted(spark, sf)
-    train = ready.filter("split = 'train'").persist()
-    model = m.boosted_trees({**_TREES, "n_estimators": 5, "max_depth": 3}).fit(train)
-    train.unpersist()
-    attributed, _ = tree_attributions(ready, model)
-    return attributed, m.feature_names(fitted), model
+    """All customers under the better of the run's boosted candidates."""
+    stored = run(spark, sf)
+    name = stored.candidates(spark).filter("model_name <> 'logistic_regression'").first()["model_name"]
+    model = stored.candidate(name)
+    attributed, _ = tree_attributions(_vectors(spark, sf, model), model.stages[-1])
+    return attributed, m.feature_names(model), model.stages[-1]
 
 
 @query("m11_attributions")
@@ -167,44 +178,84 @@ def m12_dataset(spark, sf):
     return dataset(spark, sf).frame.select("customerID", "tenure", "Contract", "ChurnFlag")
 
 
-def _saved_run(spark, sf):
-    directory = fresh_path(spark, "run")
-    train_champion(spark, dataset(spark, sf), {**CONFIG, "candidates": ["logistic_regression"]}, directory)
-    return directory
+_DATES = {"strategy": "time", "train_end": "2001-03-01", "dev_end": "2001-06-01"}
+_CAPS_CONFIG = {"data": {"dataset_type": "subscription"}, "split": _DATES}
+_TRAINING_CAPS = (
+    "parted AS (SELECT *, CASE WHEN latest_transaction_date > DATE '2001-06-01' THEN 'test' WHEN latest_transaction_date > DATE '2001-03-01' THEN 'dev' ELSE 'train' END AS split"
+    " FROM base WHERE latest_transaction_date IS NOT NULL),\n"
+    + caps_cte().replace("FROM base)", "FROM parted WHERE split = 'train')").replace("FROM base, ends", "FROM parted, ends"))
+
+
+def _capped_features(spark, sf):
+    """The feature table with the caps of all its rows, as the build writes it."""
+    return add_capped_columns(materialise(sub.base_features(*(bind(spark, sf, b) for b in ("b_label", "b_members", "b_transactions", "b_logs"))), "base"))
+
+
+def subscription_dataset(spark, sf) -> m.Dataset:
+    return assemble_dataset(_capped_features(spark, sf), _CAPS_CONFIG, f"{sf}/customer.parquet")
+
+
+@query("m12_training_caps", rounded_sql(select(BASE_SQL + ",\n" + _TRAINING_CAPS, f"SELECT msno, split, {', '.join(CAPPED_DOUBLES)} FROM capped"), CAPPED_DOUBLES))
+def m12_training_caps(spark, sf):
+    """Train, dev and test rows under the caps of the training rows alone."""
+    return rounded(subscription_dataset(spark, sf).frame.select("msno", "split", *CAPPED_DOUBLES), CAPPED_DOUBLES)
+
+
+@query("p14_fitted_caps", rounded_sql(select(BASE_SQL + ",\n" + _TRAINING_CAPS, " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", {c}_lo AS low, {c}_hi AS high FROM ends" for c in CAPPED_COLUMNS)), ["low", "high"]))
+def p14_fitted_caps(spark, sf):
+    """The caps as the table that is stored with the run."""
+    return rounded(subscription_dataset(spark, sf).caps.table(spark), ["low", "high"])
 
 
 @query("m13_saved_model")
 def m13_saved_model(spark, sf):
-    model, metadata = load_run(spark, _saved_run(spark, sf))
+    model, metadata = run(spark, sf).load(spark)
     return score_batch(bind(spark, sf, "b_telco"), model, metadata).select("customerID", "churn_probability")
 
 
 @query("m14_batch_score")
 def m14_batch_score(spark, sf):
-    directory = fresh_path(spark, "run")
-    result = train_champion(spark, dataset(spark, sf), {**CONFIG, "candidates": ["boosted_shallow"]}, directory)
-    _, metadata = load_run(spark, directory)
-    return score_batch(bind(spark, sf, "b_telco"), result["model"], metadata)
+    return score_batch(bind(spark, sf, "b_telco"), *run(spark, sf).load(spark))
 
 
 @query("n10_kmeans")
 def n10_kmeans(spark, sf):
     logs = sub.add_daily_metrics(sub.clean_logs(bind(spark, sf, "b_logs")))
-    return m.cluster_listeners(user_profile(logs).persist())
+    return m.cluster_listeners(materialise(user_profile(logs), "profile"))
 
 
 @query("n11_isotonic")
 def n11_isotonic(spark, sf):
     _, _, ready = _fitted(spark, sf)
     train = ready.filter("split = 'train'").persist()
-    folds = m.fit_isotonic_folds(train, m.logistic(train.count()), "customerID")
+    n = train.count()
+    folds = m.fit_isotonic_folds(train, m.logistic(n), "customerID", penalty_rows=n)
+    train.unpersist()
     return m.calibrated(ready.filter("split = 'dev'"), folds).select("customerID", m.LABEL, "calibrated_probability")
 
 
+_SCORES = "WITH " + cte("b_scored") + """,
+points AS (SELECT row_number() OVER (ORDER BY p) AS i, p, sum(y) AS s, count(*) AS n FROM b_scored GROUP BY p),
+upto AS (SELECT i, p, sum(s) OVER (ORDER BY i) AS s, sum(n) OVER (ORDER BY i) AS n FROM points),
+means AS (SELECT a.i AS i, b.i AS j, CAST(b.s - coalesce(z.s, 0) AS DOUBLE) / (b.n - coalesce(z.n, 0)) AS m FROM upto a LEFT JOIN upto z ON z.i = a.i - 1 JOIN upto b ON b.i >= a.i),
+least AS (SELECT i, j, min(m) OVER (PARTITION BY i ORDER BY j DESC) AS m FROM means),
+fit AS (SELECT j, max(m) AS value FROM least GROUP BY j)
+--SELECT
+SELECT p, value FROM fit JOIN upto ON upto.i = fit.j"""
+
+
+@query("n11_isotonic_fit", rounded_sql(_SCORES, ["value"]))
+def n11_isotonic_fit(spark, sf):
+    """The isotonic fit of outcomes on scores, at every score: the greatest, over the starts before it, of the least mean up to an end behind it."""
+    scores = bind(spark, sf, "b_scored").select("p", "y")
+    return rounded(fit_isotonic(scores, "p", "y").applied(scores.select("p").distinct(), "p", "value"), ["value"])
+
+
 @query("st1_stream")
 def st1_stream(spark, sf):
     """The customer table read as a stream of requests, scored and appended to a table."""
-    model, metadata = load_run(spark, _saved_run(spark, sf))
+    model, metadata = run(spark, sf).load(spark)
     source = table(spark, sf, "customer").schema
     stream = read_requests(spark, sf, source, "customer.parquet")
     requests = bind(spark, sf, "b_telco", customer=stream)

@@ -2,26 +2,35 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import math
 import random
 from dataclasses import dataclass, field
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, functions as F
 
 from ..fixed_values import SEARCH_SPACE
+from ..session import materialise
+from ..sources.sinks import stage
+from .caps import Caps
+from .isotonic import IsotonicMap, fit_isotonic
 from .metrics import choose_threshold, evaluate_scores
 from .profile import LISTENER_METRICS
 from .quantiles import exact_quantiles
 
 LABEL, WEIGHT, SCORE = "label", "weight", "churn_probability"
+#: Distinct values of all categorical columns together that a model may have.
+MOST_CATEGORIES = 1_000_000
+#: Rows of feature vectors that a task fits on.
+ROWS_PER_TASK = 50_000
 
 
 @dataclass(frozen=True)
@@ -35,6 +44,7 @@ class Dataset:
     id_col: str
     source: str = ""
     extra: dict = field(default_factory=dict)
+    caps: Caps | None = None
 
     @property
     def features(self) -> list[str]:
@@ -48,6 +58,22 @@ def _computed(columns: dict[str, str]) -> SQLTransformer:
     return SQLTransformer(statement="SELECT *, " + ", ".join(f"{sql} AS `{name}`" for name, sql in columns.items()) + " FROM __THIS__")
 
 
+def category_labels(df: DataFrame, columns: list[str], limit: int = MOST_CATEGORIES) -> dict[str, list[str]]:
+    """The distinct values of each column in alphabetical order: the dictionary of a model.
+
+    They are found and counted by Spark in one pass, and come to the driver, as part of the model, only within ``limit``; more are an error.
+    """
+    pairs = F.array(*[F.struct(F.lit(i).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for i, c in enumerate(columns)])
+    distinct = materialise(df.select(F.explode(pairs).alias("p")).select("p.column", "p.value").filter("value IS NOT NULL").distinct(), "categories")
+    if (n := distinct.count()) > limit:
+        most = distinct.groupBy("column").count().orderBy(F.desc("count")).first()
+        raise ValueError(f"{n} distinct categories, more than {limit}; {columns[most['column']]} alone has {most['count']}")
+    out: dict[str, list[str]] = {c: [] for c in columns}
+    for r in distinct.orderBy("column", "value").collect():  # `limit` at most
+        out[columns[r["column"]]].append(r["value"])
+    return out
+
+
 def fit_preprocessor(df: DataFrame, numeric: list[str], categorical: list[str]) -> PipelineModel:
     """Median-impute and standardise numbers; one-hot categories (unknown ones become all zeros).
 
@@ -66,8 +92,9 @@ def fit_preprocessor(df: DataFrame, numeric: list[str], categorical: list[str])
         parts.append("_scaled")
     if categorical:
         indexed, hot = [f"{c}__index" for c in categorical], [f"{c}__hot" for c in categorical]
+        labels = category_labels(df, categorical)
         stages += [
-            StringIndexer(inputCols=categorical, outputCols=indexed, stringOrderType="alphabetAsc", handleInvalid="keep"),
+            *[StringIndexerModel.from_arrays_of_labels([labels[c]], [c], [i], handleInvalid="keep") for c, i in zip(categorical, indexed)],
             OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True),
         ]
         parts += hot
@@ -181,11 +208,20 @@ def label_balance(df: DataFrame, label: str) -> tuple[int, float]:
     return row[0], row[1] / max(row[2], 1)
 
 
+def stored_vectors(ready: DataFrame, data: Dataset, n: int) -> DataFrame:
+    """A stored narrow table of what fitting needs, read in partitions of about ROWS_PER_TASK rows.
+
+    Trees take a job per level, so partitions that hold few rows cost more than they spread.
+    """
+    narrow = materialise(ready.select(data.id_col, "split", LABEL, WEIGHT, "features"), "vectors")
+    return narrow.coalesce(max(1, math.ceil(n / ROWS_PER_TASK)))
+
+
 def prepare_split(data: Dataset) -> Split:
     n, ratio = label_balance(data.frame.filter("split = 'train'"), data.label)
     rows = prepared(data.frame, data, ratio)
     fitted = fit_preprocessor(rows.filter("split = 'train'"), data.numeric, data.categorical)
-    ready = fitted.transform(rows).select(data.id_col, "split", LABEL, WEIGHT, "features")
+    ready = stored_vectors(fitted.transform(rows), data, n)
     return Split(fitted, ready.filter("split = 'train'").persist(), ready.filter("split = 'dev'").persist(), n, ratio)
 
 
@@ -219,32 +255,52 @@ def draw_params(space: dict, rng: random.Random) -> dict:
     return {name: draw(*spec) for name, spec in space.items()}
 
 
+TRIAL_SCHEMA = "number int, value double, params map<string,double>, threshold double, roc_auc double, pr_auc double, f1 double"
+
+
+def frame_digest(df: DataFrame) -> str:
+    """Of the rows, in whatever order: their number and the sum of their hashes."""
+    n, total = df.agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()
+    return f"{n}-{total or 0}"
+
+
 def random_search(split: Split, algorithm: str, n_trials: int = 30, objective: str = "roc_auc", seed: int = 42,
-                  space: dict | None = None, parallel: int = 2) -> tuple[DataFrame, dict]:
+                  space: dict | None = None, parallel: int = 2, directory: str | None = None) -> tuple[DataFrame, dict]:
     """Random search over boosted-tree parameters: (trial table, best trial).
 
-    Rows are preprocessed once; trials share them and run ``parallel`` at a time.
+    Rows are preprocessed once; trials share them and run ``parallel`` at a time, each in a scheduler pool of its own, so that under fair
+    scheduling none waits behind another's many small jobs. With a ``directory`` each trial commits its row to the trial table of
+    this data, space and seed as it ends; a search that is begun again, also with more trials, fits only those that the table has not got.
     """
     if algorithm not in SEARCH_SPACE:
         raise ValueError(f"algorithm must be one of {sorted(SEARCH_SPACE)}")
-    rng = random.Random(seed)
+    rng, spark = random.Random(seed), split.train.sparkSession
     # The weight of the positive class is searched around the class ratio.
     weight = {"scale_pos_weight": ("float", max(0.5, split.ratio / 2), max(0.5, 2 * split.ratio))}
-    trials = [(i, draw_params({**SEARCH_SPACE[algorithm], **weight, **(space or {})}, rng)) for i in range(n_trials)]
-
-    def run(trial):
+    ranges = {**SEARCH_SPACE[algorithm], **weight, **(space or {})}
+    trials = [(i, draw_params(ranges, rng)) for i in range(n_trials)]
+    home = None
+    if directory:
+        facts = [frame_digest(split.train.select(LABEL, vector_to_array("features"))), frame_digest(split.dev.select(LABEL, vector_to_array("features"))), algorithm, objective, seed, ranges]
+        home = f"{directory}/trials-{hashlib.sha256(json.dumps(facts, sort_keys=True).encode()).hexdigest()[:16]}"
+
+    def run(trial) -> dict:
         number, params = trial
         row = dev_metrics(boosted_trees(params, seed).fit(weighted(split.train, params)), split.dev, algorithm)
         return {"number": number, "value": row[objective], "params": {k: float(v) for k, v in params.items()},
                 **{k: row[k] for k in ("threshold", "roc_auc", "pr_auc", "f1")}}
 
+    def committed(trial) -> dict:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"trial-{trial[0] % parallel}")
+        if home is None:
+            return run(trial)
+        done = stage(spark, f"{home}/number={trial[0]}", lambda: spark.createDataFrame([run(trial)], TRIAL_SCHEMA).drop("number").coalesce(1))
+        return {"number": trial[0], **done.drop("number").first().asDict()}
+
     with ThreadPool(parallel) as pool:
-        rows = pool.map(run, trials)
+        rows = pool.map(committed, trials, chunksize=1)
     best = max(rows, key=lambda r: (r["value"], -r["number"]))
-    table = split.train.sparkSession.createDataFrame(
-        rows, "number int, value double, params map<string,double>, threshold double, roc_auc double, pr_auc double, f1 double"
-    )
-    return table, {**best, "objective_metric": objective, "algorithm": algorithm}
+    return spark.createDataFrame(rows, TRIAL_SCHEMA), {**best, "objective_metric": objective, "algorithm": algorithm}
 
 
 # ---------------------------------------------------------------- importances
@@ -288,26 +344,28 @@ def two_model_uplift(df: DataFrame, features: list[str], treatment: str = "treat
 # ---------------------------------------------------------------- calibration
 
 
-def fit_isotonic_folds(ready: DataFrame, estimator, id_col: str, folds: int = 3) -> list[tuple]:
-    """Per fold: the model fitted on the other folds and an isotonic map fitted on the fold itself."""
+def fit_isotonic_folds(ready: DataFrame, estimator, id_col: str, folds: int = 3, penalty_rows: int | None = None) -> list[tuple[Model, IsotonicMap]]:
+    """Per fold: the model fitted on the other folds and an isotonic map fitted on the fold itself.
+
+    With ``penalty_rows`` the estimator's penalty is that of a fit on so many rows, and each fit gets that of its own.
+    """
     fold = F.pmod(F.xxhash64(id_col), F.lit(folds))
     fitted = []
     for k in range(folds):
-        model = estimator.fit(ready.filter(fold != k))
-        held_out = scored(model, ready.filter(fold == k)).groupBy(SCORE).agg(
-            F.avg(LABEL).alias(LABEL), F.count("*").cast("double").alias(WEIGHT)
-        )
-        isotonic = IsotonicRegression(labelCol=LABEL, weightCol=WEIGHT, featuresCol=SCORE).fit(held_out)
-        fitted.append((model, isotonic))
+        others, own = ready.filter(fold != k), estimator
+        if penalty_rows is not None:
+            own = estimator.copy({estimator.regParam: estimator.getRegParam() * penalty_rows / max(others.count(), 1)})
+        model = own.fit(others)
+        fitted.append((model, fit_isotonic(scored(model, ready.filter(fold == k)), SCORE, LABEL)))
     return fitted
 
 
-def calibrated(df: DataFrame, folds: list[tuple], output: str = "calibrated_probability") -> DataFrame:
+def calibrated(df: DataFrame, folds: list[tuple[Model, IsotonicMap]], output: str = "calibrated_probability") -> DataFrame:
     """Mean of the folds' calibrated probabilities."""
     names = []
     for k, (model, isotonic) in enumerate(folds):
         name = f"_fold{k}"
-        df = isotonic.setPredictionCol(name).transform(scored(model, df)).drop(SCORE)
+        df = isotonic.applied(scored(model, df), SCORE, name).drop(SCORE)
         names.append(name)
     total = reduce(lambda a, b: a + b, [F.col(n) for n in names])
     return df.withColumn(output, total / len(names)).drop(*names)

@@ -107,20 +107,24 @@ _DAY_VALUES = [
 
 
 def _transaction_order() -> Column:
-    """A total order inside a day as one number: expiry, list price, amount paid, then row hash.
+    """A total order inside a day as one number: expiry, list price, amount paid, method, plan days, renewal, cancellation.
 
-    Two BIGINT halves joined in one DECIMAL keep ``max_by`` in the hash aggregate; a struct would
-    force a sort. Prices count to four decimals; NULL is lowest.
+    Rows that are equal under it are equal, so the last one does not depend on the order of merging. One DECIMAL
+    keeps ``max_by`` in the hash aggregate; a struct would force a sort. Prices count to four decimals, plan days as whole days, methods up to 2^30; NULL is lowest.
     """
-    def cents(name: str) -> Column:  # below 2^31 for prices in range
-        return F.coalesce((F.col(name) * 10_000).cast("bigint") + 1, F.lit(0).cast("bigint"))
+    def code(value: Column, most: int) -> Column:
+        return F.when(value.isNull(), 0).otherwise(F.least(value.cast("bigint") + 1, F.lit(most).cast("bigint")))
 
+    prices = 1_000_000_002  # four decimals of up to 100,000, and NULL
+    price = lambda name: code(F.col(name) * 10_000, prices - 1)
     expiry = F.coalesce(F.unix_date("membership_expire_date") + 1_000_000, F.lit(0)).cast("bigint")
-    row_hash = F.shiftrightunsigned(F.xxhash64(*_DAY_VALUES[:-1]), 34)  # 30 bits
-    high = F.shiftleft(expiry, 31) + cents("plan_list_price")
-    low = F.shiftleft(cents("actual_amount_paid"), 30) + row_hash
-    ten_to_19 = F.lit("10000000000000000000").cast("decimal(20,0)")
-    return (high.cast("decimal(18,0)") * ten_to_19 + low.cast("decimal(20,0)")).cast("decimal(38,0)")
+    rest = (
+        F.shiftleft(code(F.col("payment_method_id"), (1 << 30) - 1), 14) + F.shiftleft(code(F.col("payment_plan_days"), (1 << 12) - 1), 2)
+        + F.shiftleft(F.coalesce(F.col("is_auto_renew").cast("bigint"), F.lit(0)), 1) + F.coalesce(F.col("is_cancel").cast("bigint"), F.lit(0))
+    )  # 44 bits
+    high = (expiry * prices + price("plan_list_price")).cast("decimal(16,0)")
+    paid = price("actual_amount_paid").cast("decimal(10,0)")
+    return ((high * F.lit(str(prices)).cast("decimal(10,0)") + paid) * F.lit(str(1 << 44)).cast("decimal(14,0)") + rest.cast("decimal(14,0)")).cast("decimal(38,0)")
 
 
 def fold_transaction_days(transactions: DataFrame) -> DataFrame:

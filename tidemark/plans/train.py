@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.columns import in_hash_sample
 from ..functions.telco import engineer_telco, fit_bill_cutoffs
 from ..operators import models as m
+from ..operators.caps import Caps, capped_pairs
 from ..operators.metrics import evaluate_scores
 from ..operators.splits import SplitSpec, assign
 from ..operators.subscription import column_roles, fill_categories, model_frame
 from ..session import materialise
-from ..sources.sinks import write_metadata, write_report_csv, write_test_artifacts
+from ..sources.sinks import stage, write_metadata, write_report_csv, write_test_artifacts
 from ..sources.tables import path_exists, read_table
 
 
@@ -30,11 +31,15 @@ def _split(df: DataFrame, cfg: dict, label: str, id_col: str, dataset: str) -> D
     return assign(df, SplitSpec.configured(cfg.get("split", {}), dataset, date_col=date_col), label, id_col)
 
 
+def _fit_rows(parts: DataFrame, data: dict) -> DataFrame:
+    return parts if data.get("fit_on", "train") == "all" else parts.filter("split = 'train'")
+
+
 def assemble_dataset(df: DataFrame, cfg: dict, source: str = "") -> m.Dataset:
     """Sample, split, engineer and assign roles. The split comes before dates are dropped.
 
-    Telco bill cut-offs are fitted on the training rows (``cfg['data']['fit_on'] = 'all'`` fits
-    them on every row). The frame is stored once: every fit and every evaluation reads it.
+    Telco bill cut-offs and the caps of subscription columns are fitted on the training rows (``cfg['data']['fit_on'] = 'all'`` fits
+    them on every row) and belong to the run. The frame is stored once: every fit and every evaluation reads it.
     """
     data = cfg["data"]
     dataset = data.get("dataset_type", "telco").lower()
@@ -45,7 +50,11 @@ def assemble_dataset(df: DataFrame, cfg: dict, source: str = "") -> m.Dataset:
         label = data.get("target_col", "is_churn")
         if label not in df.columns:
             raise ValueError(f"target column '{label}' is missing")
-        parts = _split(df, cfg, label, id_col, dataset)
+        parts, caps = _split(df, cfg, label, id_col, dataset), None
+        if columns := capped_pairs(df):
+            parts = materialise(parts, "parts")
+            caps = Caps.fitted(_fit_rows(parts, data), columns)
+            parts = caps.applied(parts)
         keep = parts.withColumn("_id", F.col(id_col))
         frame = model_frame(keep, label, id_col).withColumnRenamed("_id", id_col)
         extra = {}
@@ -55,13 +64,12 @@ def assemble_dataset(df: DataFrame, cfg: dict, source: str = "") -> m.Dataset:
         label = "ChurnFlag"
         labelled = df.withColumn(label, F.when(F.lower("Churn") == "yes", 1).otherwise(0))
         parts = _split(labelled, cfg, label, id_col, dataset)
-        fit_rows = parts if data.get("fit_on", "train") == "all" else parts.filter("split = 'train'")
-        cut = fit_bill_cutoffs(fit_rows).first()
+        cut, caps = fit_bill_cutoffs(_fit_rows(parts, data)).first(), None
         frame = engineer_telco(parts, (cut["p75"], cut["median"])).drop("Churn")
         extra = {"p75": cut["p75"], "median": cut["median"]}
     numeric, categorical = column_roles(frame, exclude=(label, id_col, "split"))
     stored = materialise(fill_categories(frame, categorical), "dataset")
-    return m.Dataset(stored, numeric, categorical, label, id_col, source, extra)
+    return m.Dataset(stored, numeric, categorical, label, id_col, source, extra, caps)
 
 
 def load_dataset(spark: SparkSession, cfg: dict) -> m.Dataset:
@@ -83,14 +91,17 @@ def apply_tuned_params(spark: SparkSession, cfg: dict, directory: str) -> dict:
 
 
 def tune(spark: SparkSession, data: m.Dataset, cfg: dict, directory: str, space: dict | None = None) -> dict:
-    """Random search; writes the trial table and the best parameters; returns the best trial."""
+    """Random search; writes the trial table and the best parameters; returns the best trial.
+
+    Every trial is committed below ``directory`` when it ends, so a search that was stopped goes on with those that are missing.
+    """
     t = cfg.get("tuning", {})
     algorithm = t.get("algorithm", "boosted_shallow")
     split = m.prepare_split(data)
     try:
         trials, best = m.random_search(
             split, algorithm, int(t.get("n_trials", 30)), t.get("objective_metric", "roc_auc"),
-            cfg.get("split", {}).get("random_state", 42), space, int(t.get("parallel", 2)),
+            cfg.get("split", {}).get("random_state", 42), space, int(t.get("parallel", 2)), f"{directory}/tuning",
         )
     finally:
         split.release()
@@ -111,16 +122,37 @@ def tune(spark: SparkSession, data: m.Dataset, cfg: dict, directory: str, space:
 METADATA_SCHEMA = (
     "champion_model string, threshold double, numeric_cols array<string>, categorical_cols array<string>, "
     "feature_columns array<string>, dataset_type string, data_source string, date_col string, train_end string, "
-    "dev_end string, bill_p75 double, bill_median double, test_metrics struct<roc_auc double, pr_auc double, "
+    "dev_end string, bill_p75 double, bill_median double, caps array<struct<column string, low double, high double>>, test_metrics struct<roc_auc double, pr_auc double, "
     "f1 double, precision double, recall double, threshold double, positive_rate double>"
 )
 
 
-def train_champion(spark: SparkSession, data: m.Dataset, cfg: dict, directory: str | None = None) -> dict:
+CANDIDATE_SCHEMA = m.METRIC_SCHEMA
+
+
+def _candidate_row(spark: SparkSession, name: str, estimator, split: m.Split, params: dict, directory: str | None, resume: bool) -> dict:
+    """Fit one candidate and measure it on dev. With a directory its model and then its metric row are kept there, and found again on ``resume``."""
+    def fit() -> tuple[dict, PipelineModel]:
+        model = estimator.fit(m.weighted(split.train, params))
+        return m.dev_metrics(model, split.dev, name), PipelineModel([*split.fitted.stages, model])
+
+    if not directory:
+        return fit()[0]
+    home = f"{directory}/candidates/{name}"
+
+    def build() -> DataFrame:
+        row, model = fit()
+        model.write().overwrite().save(f"{home}/model")
+        return spark.createDataFrame([row], CANDIDATE_SCHEMA).coalesce(1)
+
+    return stage(spark, f"{home}/metrics", build, resume).first().asDict()
+
+
+def train_champion(spark: SparkSession, data: m.Dataset, cfg: dict, directory: str | None = None, resume: bool = False) -> dict:
     """Fit the candidates, pick by dev ROC-AUC, refit on train+dev, evaluate on test, save.
 
     The threshold is the one chosen on dev. Returns the champion's name, model, candidate table
-    and test metric row.
+    and test metric row. ``resume`` takes candidates that ``directory`` already has: only for a directory of this very data and config.
     """
     if directory:
         cfg = apply_tuned_params(spark, cfg, directory)
@@ -130,17 +162,18 @@ def train_champion(spark: SparkSession, data: m.Dataset, cfg: dict, directory: s
         estimators = m.candidate_models(cfg.get("models", {}), split.n_train, seed)
         estimators = {k: v for k, v in estimators.items() if k in cfg.get("candidates", estimators)}
         params = cfg.get("models", {})
-        rows = [m.dev_metrics(e.fit(m.weighted(split.train, params.get(name, {}))), split.dev, name) for name, e in estimators.items()]
+        rows = [_candidate_row(spark, name, e, split, params.get(name, {}), directory, resume) for name, e in estimators.items()]
     finally:
         split.release()
     candidates = m.candidate_table(spark, rows)
     champion = min(rows, key=lambda r: (-r["roc_auc"], r["model_name"]))
 
     seen = m.prepared(data.frame.filter("split in ('train', 'dev')"), data, split.ratio)
-    fitted = m.fit_preprocessor(seen, data.numeric, data.categorical)
+    fitted, n_seen = m.fit_preprocessor(seen, data.numeric, data.categorical), seen.count()
     # The linear penalty belongs to the rows of this fit, not to those of the candidates'.
-    final = m.candidate_models(cfg.get("models", {}), seen.count(), seed)[champion["model_name"]]
-    ready = m.weighted(fitted.transform(seen), cfg.get("models", {}).get(champion["model_name"], {}))
+    final = m.candidate_models(cfg.get("models", {}), n_seen, seed)[champion["model_name"]]
+    vectors = m.stored_vectors(fitted.transform(seen), data, n_seen)
+    ready = m.weighted(vectors, cfg.get("models", {}).get(champion["model_name"], {}))
     model = PipelineModel([*fitted.stages, final.fit(ready)])
     test = data.frame.filter("split = 'test'")
     test_scored = m.scored(model, m.prepared(test, data)).select(m.LABEL, m.SCORE)
@@ -163,7 +196,7 @@ def save_run(spark: SparkSession, data: m.Dataset, cfg: dict, result: dict, test
         "dataset_type": cfg["data"].get("dataset_type", "telco"), "data_source": data.source,
         "date_col": s.get("date_col") if timed else None, "train_end": s.get("train_end"),
         "dev_end": s.get("dev_end") if timed else None, "bill_p75": data.extra.get("p75"),
-        "bill_median": data.extra.get("median"), "test_metrics": result["test_metrics"].first().asDict(),
+        "bill_median": data.extra.get("median"), "caps": data.caps.rows if data.caps else None, "test_metrics": result["test_metrics"].first().asDict(),
     }
     write_metadata(spark.createDataFrame([metadata], METADATA_SCHEMA), f"{directory}/model_metadata.json")
     write_report_csv(result["candidates"], f"{directory}/candidate_model_results.csv")

@@ -22,6 +22,7 @@ def local_session(cpus: int | str = "*", app: str = "tidemark", shuffle_partitio
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.scheduler.mode", "FAIR")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
