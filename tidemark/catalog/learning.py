@@ -20,7 +20,9 @@ from ..session import fresh_path, materialise
 from ..streaming.scoring import read_requests, start_scoring
 from .bindings import bind, cte, table
 from .registry import query, rounded, rounded_sql
-from .subscription import BASE_SQL, CAPPED_DOUBLES, caps_cte, select
+from .splitting import stratified_sql
+from .subscription import BASE_SQL, CAPPED_DOUBLES, LOGS, caps_cte, select
+from .telco import FEATURES
 
 #: All three candidates as declared: 2,000 iterations, 400 trees.
 CONFIG = {"data": {"dataset_type": "telco"}, "split": {"train_size": 0.70, "dev_size": 0.15, "random_state": 42}}
@@ -76,19 +78,55 @@ def m3_one_hot(spark, sf):
     return out.filter("hot > 0").select("customerID", F.get(names, F.col("i")).alias("slot"))
 
 
-@query("m4_preprocessor")
+_NUMERIC = [
+    "SeniorCitizen", "tenure", "MonthlyCharges", "TotalCharges", "avg_monthly_spend", "price_ratio", "revenue_risk_proxy", "is_month_to_month", "auto_pay",
+    "electronic_check", "paperless", "num_services", "service_adoption_rate", "multi_service_customer", "has_support", "has_streaming", "fiber_customer",
+    "senior_citizen", "high_bill", "low_tenure_high_bill", "high_value_long_tenure", "fiber_monthly", "month_to_month_no_support"]
+_CATEGORICAL = [
+    "gender", "Partner", "Dependents", "PhoneService", "MultipleLines", "InternetService", "OnlineSecurity", "OnlineBackup", "DeviceProtection", "TechSupport",
+    "StreamingTV", "StreamingMovies", "Contract", "PaperlessBilling", "PaymentMethod", "tenure_group", "customer_stage"]
+
+
+_DRAWN, _, _SPLIT = stratified_sql(dev=True).rpartition("\nSELECT ")
+_PARTS = f"b_scored AS (SELECT customerID AS id, CAST(lower(Churn) = 'yes' AS INT) AS y FROM b_telco){_DRAWN},\nparts_of AS (SELECT {_SPLIT})"
+
+
+def _vector_sql() -> str:
+    """Every slot that is not 0 of the vectors of all customers: medians, moments, categories and bill cut-offs are those of the training rows."""
+    features = FEATURES.replace("q AS (SELECT", _PARTS + ",\nq AS (SELECT", 1).replace("0.5) AS med FROM b_telco)", "0.5) AS med FROM b_telco WHERE customerID IN (SELECT id FROM parts_of WHERE split = 'train'))", 1)
+    numbers = " UNION ALL ".join(f"SELECT customerID, split, {i} AS part, CAST({c} AS DOUBLE) AS x FROM rows_of" for i, c in enumerate(_NUMERIC))
+    values = " UNION ALL ".join(f"SELECT customerID, split, {i} AS part, coalesce(CAST({c} AS VARCHAR), '__missing__') AS v FROM rows_of" for i, c in enumerate(_CATEGORICAL))
+    return f"""{features},
+rows_of AS (SELECT f.*, p.split FROM features f JOIN parts_of p ON p.id = f.customerID),
+numbers AS ({numbers}),
+medians AS (SELECT part, coalesce(quantile_cont(x, 0.5), 0) AS m FROM numbers WHERE split = 'train' GROUP BY part),
+filled AS (SELECT customerID, split, part, coalesce(x, m) AS x FROM numbers JOIN medians USING (part)),
+moments AS (SELECT part, avg(x) AS mean, stddev_pop(x) AS dev FROM filled WHERE split = 'train' GROUP BY part),
+cats AS ({values}),
+known AS (SELECT part, v, {len(_NUMERIC)} - 1 + row_number() OVER (ORDER BY part, v) AS slot FROM (SELECT DISTINCT part, v FROM cats WHERE split = 'train'))
+--SELECT
+SELECT customerID, split, CAST(slot AS INT) AS slot, value FROM (
+ SELECT customerID, split, part AS slot, CASE WHEN dev > 0 THEN (x - mean) / dev ELSE 0.0 END AS value FROM filled JOIN moments USING (part)
+ UNION ALL SELECT customerID, split, slot, 1.0 FROM cats JOIN known USING (part, v)) slots WHERE abs(value) > 1e-9"""
+
+
+@query("m4_preprocessor", rounded_sql(_vector_sql(), ["value"]))
 def m4_preprocessor(spark, sf):
+    """The whole vector of every customer, a row per slot that is not 0."""
     _, _, ready = _fitted(spark, sf)
-    return ready.select("customerID", "split", vector_to_array("features").alias("features"))
+    slots = ready.select("customerID", "split", F.posexplode(vector_to_array("features")).alias("slot", "value")).filter(F.abs("value") > 1e-9)
+    return rounded(slots, ["value"])
 
 
-@query("m5_logistic")
+@query("m5_logistic", "WITH " + cte("b_telco") + "\nSELECT customerID, CAST(lower(Churn) = 'yes' AS DOUBLE) AS label, true AS at_optimum, true AS is_probability FROM b_telco")
 def m5_logistic(spark, sf):
+    """Scores of all customers under a model that is the optimum of the training rows: every gradient of its loss and penalty there is 0."""
     _, _, ready = _fitted(spark, sf)
     train = ready.filter("split = 'train'").persist()
     model = m.logistic(train.count()).fit(train)
+    optimal = m.is_stationary(model, train)
     train.unpersist()
-    return m.scored(model, ready).select("customerID", m.LABEL, m.SCORE)
+    return m.scored(model, ready).select("customerID", m.LABEL, F.lit(optimal).alias("at_optimum"), F.col(m.SCORE).between(0, 1).alias("is_probability"))
 
 
 @query("m6_boosted_trees")
@@ -124,10 +162,18 @@ def m9_tuned_champion(spark, sf):
     return train_champion(spark, data, cfg, directory)["candidates"]
 
 
-@query("m10_two_model_uplift")
+@query("m10_two_model_uplift", "WITH " + cte("b_experiment") + "\nSELECT id, treatment, true AS both_at_optimum FROM b_experiment")
 def m10_two_model_uplift(spark, sf):
-    scored, _, _ = m.two_model_uplift(bind(spark, sf, "b_experiment"), ["propensity", "score"])
-    return scored.select("id", "uplift_score")
+    """Both arms' models are the optima of their own rows: every gradient is 0 there. That the scores are theirs is j6."""
+    rows = bind(spark, sf, "b_experiment")
+    scored, *pair = m.two_model_uplift(rows, ["propensity", "score"])
+
+    def optimal(model, arm) -> bool:
+        labelled = arm.withColumn(m.LABEL, F.col("outcome").cast("double"))
+        return m.is_stationary(model.stages[-1], PipelineModel(model.stages[:-1]).transform(labelled))
+
+    both = all(optimal(model, rows.filter(F.col("treatment") == t)) for model, t in zip(pair, (1, 0)))
+    return scored.select("id", "treatment", (F.lit(both) & F.col("uplift_score").between(-1, 1)).alias("both_at_optimum"))
 
 
 @query("j6_uplift_alignment", "WITH " + cte("b_experiment") + "\nSELECT id, treatment, outcome, true AS from_own_row FROM b_experiment")
@@ -151,25 +197,31 @@ def _explained(spark, sf):
     stored = run(spark, sf)
     name = stored.candidates(spark).filter("model_name <> 'logistic_regression'").first()["model_name"]
     model = stored.candidate(name)
-    attributed, _ = tree_attributions(_vectors(spark, sf, model), model.stages[-1])
-    return attributed, m.feature_names(model), model.stages[-1]
+    attributed, expected = tree_attributions(_vectors(spark, sf, model), model.stages[-1])
+    return attributed, model.stages[-1], m.feature_names(model), expected
 
 
-@query("m11_attributions")
+@query("m11_attributions", "WITH " + cte("b_telco") + "\nSELECT customerID, true AS adds_up, true AS largest_first FROM b_telco")
 def m11_attributions(spark, sf):
-    attributed, names, _ = _explained(spark, sf)
-    return driver_columns(attributed, names).select("customerID", "attributions", "top_driver_1", "top_driver_2", "top_driver_3", "primary_driver_theme")
+    """Attributions of every customer: with the expected margin they add up to the log-odds of the model's own probability, and the drivers are the largest."""
+    vectors, model, names, expected = _explained(spark, sf)
+    out = driver_columns(m.scored(model, vectors), names)
+    margin = F.log(F.col(m.SCORE) / (1 - F.col(m.SCORE)))
+    total = F.aggregate("attributions", F.lit(float(expected)), lambda a, x: a + x)
+    sizes = F.transform("attributions", F.abs)
+    largest = F.get(F.array(*map(F.lit, names)), F.array_position(sizes, F.array_max(sizes)).cast("int") - 1)
+    return out.select("customerID", (F.abs(total - margin) < 1e-6).alias("adds_up"), F.col("top_driver_1").startswith(largest).alias("largest_first"))
 
 
 @query("a21_mean_attribution")
 def a21_mean_attribution(spark, sf):
-    attributed, names, _ = _explained(spark, sf)
+    attributed, _, names, _ = _explained(spark, sf)
     return mean_absolute(attributed, names)
 
 
 @query("a22_importance")
 def a22_importance(spark, sf):
-    _, names, model = _explained(spark, sf)
+    _, model, names, _ = _explained(spark, sf)
     return m.importance_table(spark, model, names)
 
 
@@ -219,20 +271,30 @@ def m14_batch_score(spark, sf):
     return score_batch(bind(spark, sf, "b_telco"), *run(spark, sf).load(spark))
 
 
-@query("n10_kmeans")
+@query("n10_kmeans", "WITH " + cte("b_logs") + ",\n" + LOGS + "\nSELECT DISTINCT msno, true AS at_rest, true AS in_range FROM l_clean")
 def n10_kmeans(spark, sf):
+    """Every listener's cluster: its mean is the nearest of the clusters' own means, so that a further round would move nobody."""
     logs = sub.add_daily_metrics(sub.clean_logs(bind(spark, sf, "b_logs")))
-    return m.cluster_listeners(materialise(user_profile(logs), "profile"))
+    clustered = m.cluster_listeners(materialise(user_profile(logs), "profile"))
+    return m.nearest_means(clustered).select("msno", "at_rest", F.col("cluster").between(0, 4).alias("in_range"))
 
 
-@query("n11_isotonic")
+@query("n11_isotonic", f"WITH {cte('b_telco')}, {_PARTS}\nSELECT id AS customerID, CAST(y AS DOUBLE) AS label, true AS rises, true AS keeps_means, split FROM parts_of WHERE split = 'dev'")
 def n11_isotonic(spark, sf):
+    """Calibrated dev rows; every fold's map rises, and over its own fold its values have the mean of the labels."""
     _, _, ready = _fitted(spark, sf)
     train = ready.filter("split = 'train'").persist()
     n = train.count()
     folds = m.fit_isotonic_folds(train, m.logistic(n), "customerID", penalty_rows=n)
+    rises, keeps = True, True
+    for k, (model, isotonic) in enumerate(folds):
+        values = [r["value"] for r in isotonic.blocks.orderBy("x0").collect()]  # blocks, few
+        rises &= all(a < b for a, b in zip(values, values[1:]))
+        own = isotonic.applied(m.scored(model, train.filter(m.fold_of("customerID", len(folds)) == k)), m.SCORE, "value")
+        keeps &= abs(own.agg(F.avg(F.col("value") - F.col(m.LABEL))).first()[0]) < 1e-9
     train.unpersist()
-    return m.calibrated(ready.filter("split = 'dev'"), folds).select("customerID", m.LABEL, "calibrated_probability")
+    out = m.calibrated(ready.filter("split = 'dev'"), folds)
+    return out.select("customerID", m.LABEL, (F.lit(rises) & F.col("calibrated_probability").between(0, 1)).alias("rises"), F.lit(keeps).alias("keeps_means"), "split")
 
 
 _SCORES = "WITH " + cte("b_scored") + """,
@@ -252,13 +314,16 @@ def n11_isotonic_fit(spark, sf):
     return rounded(fit_isotonic(scores, "p", "y").applied(scores.select("p").distinct(), "p", "value"), ["value"])
 
 
-@query("st1_stream")
+@query("st1_stream", "WITH " + cte("b_telco") + "\nSELECT customerID AS customer_id, true AS as_in_batch, true AS as_predicted FROM b_telco")
 def st1_stream(spark, sf):
-    """The customer table read as a stream of requests, scored and appended to a table."""
+    """The customer table read as a stream of requests, scored and appended to a table, whose rows are those of the batch."""
     model, metadata = run(spark, sf).load(spark)
+    batch = score_batch(bind(spark, sf, "b_telco"), model, metadata, explain=False)
     source = table(spark, sf, "customer").schema
     stream = read_requests(spark, sf, source, "customer.parquet")
     requests = bind(spark, sf, "b_telco", customer=stream)
     output = fresh_path(spark, "responses")
     start_scoring(requests, model, metadata, output, fresh_path(spark, "stream-state")).awaitTermination()
-    return spark.read.parquet(output)
+    both = spark.read.parquet(output).join(batch.select(F.col("customerID").alias("customer_id"), F.col(m.SCORE).alias("_p"), F.col("predicted_churn").alias("_predicted")), "customer_id", "full")
+    return both.select("customer_id", F.coalesce(F.abs(F.col(m.SCORE) - F.col("_p")) < 1e-9, F.lit(False)).alias("as_in_batch"),
+                       F.coalesce(F.col("predicted_churn") == F.col("_predicted"), F.lit(False)).alias("as_predicted"))

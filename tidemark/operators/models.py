@@ -15,7 +15,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed_values import SEARCH_SPACE
 from ..session import materialise
@@ -138,7 +138,7 @@ def logistic(n_rows: int, max_iter: int = 2000, weight: str | None = None) -> Lo
     """L2 logistic regression; the penalty matches an inverse strength of 1 over summed losses."""
     model = LogisticRegression(
         labelCol=LABEL, featuresCol="features", maxIter=max_iter, regParam=1.0 / max(n_rows, 1),
-        elasticNetParam=0.0, standardization=False,
+        elasticNetParam=0.0, standardization=False, tol=1e-10,
     )
     return model.setWeightCol(weight) if weight else model
 
@@ -183,6 +183,24 @@ def scored(model, df: DataFrame, output: str = SCORE) -> DataFrame:
     return out.withColumn(output, vector_to_array("probability")[1]).drop("probability", *extra)
 
 
+def penalised_gradient(model, rows: DataFrame) -> DataFrame:
+    """Rows (slot, gradient, size) of an unweighted linear model's loss over ``rows``, with its penalty; slot -1 is the intercept, ``size`` the
+    root mean square of the slot's values. At the optimum of ``logistic`` every gradient is 0.
+
+    Tasks add up their rows, so one row per slot and task is exchanged.
+    """
+    residual = scored(model, rows).select((F.col(SCORE) - F.col(LABEL)).alias("r"), vector_to_array("features").alias("x"))
+    slots = F.concat(F.array(F.struct(F.lit(-1).alias("slot"), F.lit(1.0).alias("x"))), F.transform("x", lambda x, i: F.struct(i.alias("slot"), x.alias("x"))))
+    sums = residual.select("r", F.explode(slots).alias("s")).groupBy("s.slot").agg(F.avg(F.col("r") * F.col("s.x")).alias("loss"), F.sqrt(F.avg(F.col("s.x") ** 2)).alias("size"))
+    weights = F.array(F.lit(0.0), *[F.lit(float(w)) for w in model.coefficients])
+    return sums.select("slot", (F.col("loss") + model.getRegParam() * F.get(weights, F.col("slot") + 1)).alias("gradient"), "size")
+
+
+def is_stationary(model, rows: DataFrame, tolerance: float = 1e-4) -> bool:
+    """Whether ``model`` is the optimum over ``rows``: no slot's gradient exceeds ``tolerance`` of the slot's size."""
+    return penalised_gradient(model, rows).filter(F.abs("gradient") > tolerance * F.col("size")).isEmpty()
+
+
 # ---------------------------------------------------------------- train, compare, search
 
 
@@ -344,13 +362,16 @@ def two_model_uplift(df: DataFrame, features: list[str], treatment: str = "treat
 # ---------------------------------------------------------------- calibration
 
 
+def fold_of(id_col: str, folds: int) -> Column:
+    return F.pmod(F.xxhash64(id_col), F.lit(folds))
+
+
 def fit_isotonic_folds(ready: DataFrame, estimator, id_col: str, folds: int = 3, penalty_rows: int | None = None) -> list[tuple[Model, IsotonicMap]]:
     """Per fold: the model fitted on the other folds and an isotonic map fitted on the fold itself.
 
     With ``penalty_rows`` the estimator's penalty is that of a fit on so many rows, and each fit gets that of its own.
     """
-    fold = F.pmod(F.xxhash64(id_col), F.lit(folds))
-    fitted = []
+    fold, fitted = fold_of(id_col, folds), []
     for k in range(folds):
         others, own = ready.filter(fold != k), estimator
         if penalty_rows is not None:
@@ -375,10 +396,22 @@ def calibrated(df: DataFrame, folds: list[tuple[Model, IsotonicMap]], output: st
 
 
 def cluster_listeners(profile: DataFrame, k: int = 5, seed: int = 42, columns: list[str] = LISTENER_METRICS) -> DataFrame:
-    """Standardised K-means over the mean listening profile; adds ``cluster``."""
+    """Standardised K-means over the mean listening profile, until centres rest; adds ``cluster``."""
     pipeline = Pipeline(stages=[
         VectorAssembler(inputCols=columns, outputCol="_raw", handleInvalid="skip"),
         StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True),
-        KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster"),
+        KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster", maxIter=300, tol=1e-9),
     ])
     return pipeline.fit(profile).transform(profile).drop("_raw", "features")
+
+
+def nearest_means(clustered: DataFrame, columns: list[str] = LISTENER_METRICS, slack: float = 1e-6) -> DataFrame:
+    """``clustered`` with ``at_rest``: whether each row's own cluster mean is its nearest, distances in standard deviations, but for ``slack``."""
+    deviations = clustered.agg(*[F.stddev_samp(c).alias(c) for c in columns]).first()
+    means = clustered.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in columns]).collect()  # a row per cluster
+
+    def distance(mean) -> Column:
+        return sum((((F.col(c) - mean[c]) / (deviations[c] or 1.0)) ** 2 for c in columns), F.lit(0.0))
+
+    own = F.coalesce(*[F.when(F.col("cluster") == m["cluster"], distance(m)) for m in means])
+    return clustered.withColumn("at_rest", own <= F.least(*map(distance, means), F.lit(float("inf"))) + slack)
