@@ -35,7 +35,13 @@ def _overlaps(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def candidate_pairs(points: np.ndarray, sizes: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions (i, j) of all pairs of different ``parts`` that the bounds let pass; a superset of the similar ones.
+    """Positions (i, j) of all pairs of different ``parts`` that the bounds let pass; a superset of the similar ones."""
+    found = [np.zeros((2, 0), np.int64), *(np.stack(pairs[:2]) for pairs in leaf_pairs(points, sizes, parts))]
+    return tuple(np.concatenate(found, axis=1))
+
+
+def leaf_pairs(points: np.ndarray, sizes: np.ndarray, parts: np.ndarray):
+    """The pairs of each leaf with itself and those after it: (i, j, share of the overlap needed that the bound allows), leaf by leaf.
 
     ``points`` are counts, ``sizes`` their sums. Leaves are filled in order of size, then of the
     heaviest group, so that sizes of a leaf are close.
@@ -43,7 +49,6 @@ def candidate_pairs(points: np.ndarray, sizes: np.ndarray, parts: np.ndarray) ->
     order = np.lexsort([points.argmax(axis=1), sizes])
     points, sizes, parts = points[order], sizes[order].astype(np.int64), parts[order]
     levels = _levels(points, sizes)
-    found_i, found_j = [], []
     leaves = len(levels[0][0])
     for leaf in range(leaves):
         mine = slice(leaf * FAN, (leaf + 1) * FAN)
@@ -59,6 +64,7 @@ def candidate_pairs(points: np.ndarray, sizes: np.ndarray, parts: np.ndarray) ->
             if depth:
                 below = (nodes[:, None] * FAN + np.arange(FAN)).ravel()
                 nodes = below[below < len(levels[depth - 1][0])]
+        found: list[tuple] = []
         for other in nodes[nodes >= leaf]:
             theirs = slice(other * FAN, (other + 1) * FAN)
             shared = _overlaps(points[mine], points[theirs])
@@ -66,9 +72,9 @@ def candidate_pairs(points: np.ndarray, sizes: np.ndarray, parts: np.ndarray) ->
             good = (7 * shared >= needs(a, b)) & (4 * np.minimum(a, b) >= 3 * np.maximum(a, b))
             good &= parts[mine][:, None] != parts[theirs][None, :]
             i, j = np.nonzero(good)
+            allowed = 7 * shared[i, j] / needs(sizes[i + leaf * FAN], sizes[j + other * FAN])
             i, j = i + leaf * FAN, j + other * FAN
             ahead = i < j
-            found_i.append(order[i[ahead]])
-            found_j.append(order[j[ahead]])
-    empty = np.zeros(0, np.int64)
-    return np.concatenate([empty, *found_i]), np.concatenate([empty, *found_j])
+            found.append((order[i[ahead]], order[j[ahead]], allowed[ahead]))
+        if found:
+            yield tuple(map(np.concatenate, zip(*found)))
