@@ -81,4 +81,4 @@ def test_queries_equal_their_sql(spark, sf, name):
 
 
 def test_a_query_per_operator():
-    assert {int(n[2:].partition("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].partition("_")[0]) for n in QUERIES} == set(range(1, 14))
