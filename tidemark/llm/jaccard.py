@@ -11,8 +11,7 @@ so sets meet in blocks, one per such shingle, and a tree is built for each block
 3. Star links inside each block (each set to the smallest key) are verified: they join copies, so
    that a block of thousands of near copies becomes one component without all its pairs. Further turns take other sets as hubs.
 4. Blocks that still hold several components go through the tree, which bounds the overlap of pairs of different
-   components by summed coordinate minima. First each set's nearest pair is verified, in turns, which joins families of near copies; then
-   all pairs that the tree lets pass and that are not joined yet.
+   components by summed coordinate minima; what it lets pass, each pair in one block, is verified on the sets.
 
 So every pair that the bounds allow is either verified or connected already.
 """
@@ -41,8 +40,8 @@ BATCH_LEAST = 16
 BLOCK_SETS = 100_000
 #: First shingles per bucket.
 BUCKET_ENTRIES = 1_000_000
-#: Turns of links from one set of a block to the others, and of each set to its nearest one, before all pairs of the trees; they only spare these work.
-HUB_TURNS, NEAREST_TURNS = 1, 2
+#: Turns of links from one set of a block to the others before the trees; they only spare the trees work.
+HUB_TURNS = 2
 #: Bits of the filter that says which sets are to be compared: 16 per set, and no more than these.
 FILTER_BITS = 1 << 27
 #: Sets that a task works on at a time, and words it remembers.
@@ -385,11 +384,11 @@ def _open_lists(blocks: DataFrame, parts: DataFrame) -> DataFrame:
         "list", F.col("m.keys").alias("key"), F.col("m.parts").alias("part"))
 
 
-def _tree_pairs(lists: DataFrame, points: DataFrame, nearest: bool = False) -> DataFrame:
+def _tree_pairs(lists: DataFrame, points: DataFrame) -> DataFrame:
     """Distinct pairs of different components that the tree of some list lets pass. A list holds at most two parts of a block.
 
-    With ``nearest`` only one pair for each set of a list, that whose bound leaves most room: links among these join
-    families whose sets share many blocks, before all pairs are asked for.
+    Sets of one family share many lists; a pair is taken from the first list that holds both, lists being ranked by a hash. (Lists of
+    one rank both give it.)
     """
     def join(batches):
         open_list, held = None, []
@@ -398,34 +397,11 @@ def _tree_pairs(lists: DataFrame, points: DataFrame, nearest: bool = False) -> D
             key = np.concatenate([t["key"].to_numpy() for t in held])
             part = np.concatenate([t["part"].to_numpy() for t in held])
             stored = [x for t in held for x in t["point"].to_pylist()]
+            earlier = [frozenset(x) for t in held for x in t["earlier"].to_pylist()]
             point = np.stack([_as_point(x, GROUPS) for x in stored])
-            best, other = np.zeros(len(key)), np.full(len(key), -1)
-            for i, j, allowed in leaf_pairs(point, point.sum(axis=1, dtype=np.int64), part):
-                if nearest:
-                    for x, y in ((i, j), (j, i)):
-                        order = np.lexsort([-allowed, x])
-                        x, y, share = x[order], y[order], allowed[order]
-                        first = np.append(True, x[1:] != x[:-1])[:len(x)]
-                        x, y, share = x[first], y[first], share[first]
-                        more = share > best[x]
-                        best[x[more]], other[x[more]] = share[more], y[more]
-                else:
-                    yield i, j
-            if nearest:
-                i = np.flatnonzero(other >= 0)
-                yield i, other[i]
-
-        def named():
-            key = np.concatenate([t["key"].to_numpy() for t in held])
-            stored = [x for t in held for x in t["point"].to_pylist()]
-            earlier = [frozenset() if nearest else frozenset(x for x in of if x < open_list) for t in held for of in t["of"].to_pylist()]
-            for i, j in pairs():
-                # A pair belongs to the first of the lists that hold both.
-                finer = np.fromiter((earlier[x].isdisjoint(earlier[y]) and _may_link(stored[x], stored[y]) for x, y in zip(i, j)), bool, len(i))
-                low, high = np.minimum(key[i], key[j])[finer], np.maximum(key[i], key[j])[finer]
-                if len(low):
-                    both = np.unique(np.stack([low, high], axis=1), axis=0)
-                    yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+            for i, j in leaf_pairs(point, point.sum(axis=1, dtype=np.int64), part):
+                mine = np.fromiter((earlier[x].isdisjoint(earlier[y]) and _may_link(stored[x], stored[y]) for x, y in zip(i, j)), bool, len(i))
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(key[i], key[j])[mine]), pa.array(np.maximum(key[i], key[j])[mine])], ["a", "b"])
 
         for b in batches:
             names = b["list"].to_numpy()
@@ -434,18 +410,17 @@ def _tree_pairs(lists: DataFrame, points: DataFrame, nearest: bool = False) -> D
                 if start == end:
                     continue
                 if names[start] != open_list and held:
-                    yield from named()
+                    yield from pairs()
                     held = []
                 open_list = names[start]
                 held.append(b.slice(start, end - start))
         if held:
-            yield from named()
+            yield from pairs()
 
     # A set stands in as many lists as it has first shingles, at most.
-    of = F.array().cast("array<bigint>").alias("of")
-    if not nearest:
-        lists, of = lists.join(lists.groupBy("key").agg(F.collect_list("list").alias("of")), "key"), "of"
-    located = lists.join(points, "key").select("list", "key", "part", "point", of)
+    ranked = lists.withColumn("rank", F.hash("list"))
+    of = ranked.groupBy("key").agg(F.collect_set("rank").alias("of"))
+    located = ranked.join(of, "key").join(points, "key").select("list", "key", "part", "point", F.filter("of", lambda x: x < F.col("rank")).alias("earlier"))
     return located.repartition("list").sortWithinPartitions("list").mapInArrow(lambda batches: trimmed(join(batches)), "a bigint, b bigint").distinct()
 
 
@@ -480,10 +455,6 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         hubs = materialise(_bounded(_hub_links(blocks, parts, turn), points), "pairs")
         links = materialise(links.union(_verified(hubs, carriers)), "verified")
         parts = materialise(components(links), "parts")
-    for _ in range(NEAREST_TURNS):
-        near = materialise(_tree_pairs(materialise(_open_lists(blocks, parts), "lists"), points, nearest=True), "pairs")
-        links = materialise(links.union(_verified(near, carriers)), "verified")
-        parts = materialise(components(links), "parts")
     lists = materialise(_open_lists(blocks, parts), "lists")
     further = materialise(_tree_pairs(lists, points), "pairs")
     links = links.union(_verified(further, carriers))

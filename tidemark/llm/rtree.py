@@ -36,12 +36,12 @@ def _overlaps(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def candidate_pairs(points: np.ndarray, sizes: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions (i, j) of all pairs of different ``parts`` that the bounds let pass; a superset of the similar ones."""
-    found = [np.zeros((2, 0), np.int64), *(np.stack(pairs[:2]) for pairs in leaf_pairs(points, sizes, parts))]
+    found = [np.zeros((2, 0), np.int64), *map(np.stack, leaf_pairs(points, sizes, parts))]
     return tuple(np.concatenate(found, axis=1))
 
 
 def leaf_pairs(points: np.ndarray, sizes: np.ndarray, parts: np.ndarray):
-    """The pairs of each leaf with itself and those after it: (i, j, share of the overlap needed that the bound allows), leaf by leaf.
+    """The pairs (i, j) of each leaf with itself and those after it, leaf by leaf.
 
     ``points`` are counts, ``sizes`` their sums. Leaves are filled in order of size, then of the
     heaviest group, so that sizes of a leaf are close.
@@ -72,9 +72,8 @@ def leaf_pairs(points: np.ndarray, sizes: np.ndarray, parts: np.ndarray):
             good = (7 * shared >= needs(a, b)) & (4 * np.minimum(a, b) >= 3 * np.maximum(a, b))
             good &= parts[mine][:, None] != parts[theirs][None, :]
             i, j = np.nonzero(good)
-            allowed = 7 * shared[i, j] / needs(sizes[i + leaf * FAN], sizes[j + other * FAN])
             i, j = i + leaf * FAN, j + other * FAN
             ahead = i < j
-            found.append((order[i[ahead]], order[j[ahead]], allowed[ahead]))
+            found.append((order[i[ahead]], order[j[ahead]]))
         if found:
             yield tuple(map(np.concatenate, zip(*found)))
