@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import hashed_text, quality, toxicity
 from tidemark.llm.licenses import CONFIRMED, GATE, TEMPLATES, UNKNOWN, WINDOW_WORDS, license_notices, notices_of, train_families, words_of
-from tidemark.llm.rules import MEASURES, IsolationForest, calibrated, judge, measures, thresholds
+from tidemark.llm.rules import MEASURES, IsolationForest, calibrated, centre_and_scale, features, judge, labelled_thresholds, measures, thresholds, tree_draws
 from tidemark.llm.secrets import ALLOWED, CANDIDATE, LEAST_BITS, WINDOW, find_secrets, mask_secrets, secret_digests
 
 
@@ -150,6 +150,33 @@ def test_symbol_junk_goes(spark):
     assert not any(k for i, k in got.items() if i < 20) and np.mean([k for i, k in got.items() if i >= 20]) > 0.97
 
 
+def test_thresholds_of_all_labelled_rows(spark):
+    """Those of the local definition, though no row of a cause or a label comes to the driver."""
+    rng = np.random.default_rng(5)
+    paths, cause, good = rng.uniform(4, 12, 3000).round(2), rng.integers(0, 4, 3000), rng.random(3000) < 0.8
+    good[cause == 2], good[cause == 3] = False, True
+    rows = spark.createDataFrame([(float(p), int(c), bool(g)) for p, c, g in zip(paths, cause, good)], "path double, cause int, good boolean")
+    for frame, keep in ((rows, np.ones(3000, bool)), (rows.filter("NOT good"), ~good), (rows.filter("good"), good), (rows.filter("cause = 9"), cause == 9)):
+        assert (labelled_thresholds(frame, 5, 0.01) == thresholds(paths[keep], cause[keep], good[keep], 5, 0.01)).all()
+
+
+def test_every_document_and_label_counts(spark):
+    """Trees draw from all rows that pass, centre and scale are theirs, also beyond the 20,000 that were once the most."""
+    n = 30_000
+    columns = ["CAST(id AS BIGINT) AS doc_id", "100 + id % 50 AS n_words", "500 + id % 90 AS word_chars", "CAST(id >= 20000 AS BIGINT) * 40 AS n_symbols",
+               *(f"CAST(0 AS BIGINT) AS {m}" for m in MEASURES[3:])]
+    rows = spark.range(n).selectExpr(*columns).selectExpr("doc_id", *(f"CAST({m} AS BIGINT) AS {m}" for m in MEASURES))
+    draws = tree_draws(rows, n, trees=100, tree_rows=256)
+    assert [len(d) for d in draws] == [256] * 100
+    different = {tuple(r) for d in draws for r in d}
+    share = np.mean([np.mean(d[:, 1] > 0) for d in draws])
+    assert 0.3 < share < 0.37 and len(different) > 400
+    assert all(len(d) == 100 for d in tree_draws(rows.limit(100), 100, trees=3))
+    whole = features(rows.toArrow())
+    centre, scale = centre_and_scale(rows)
+    assert np.allclose(centre, np.median(whole, axis=0)) and np.allclose(scale, whole.std(axis=0) + 1e-9)
+
+
 BASE = {
     "assign": re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
     "access": re.compile("AKIA[A-Z0-9]+"),

@@ -1,8 +1,8 @@
 """Quality rules with an isolation forest on what the rules measure.
 
-The measures of a text are exact counts. A forest of random splits, grown on a bounded sample of all documents, gives each
+The measures of a text are exact counts. A forest of random splits, each tree of which draws its rows from all documents, gives each
 document the mean length of its paths; short paths mean few documents are like it. How short is too short is set
-on labelled rows, for each measure that can make a document odd: the threshold that finds most bad ones among those
+on all labelled rows, for each measure that can make a document odd: the threshold that finds most bad ones among those
 that reject at most ``spare`` of the good ones. (An odd share of symbols marks junk; one repeated line seldom does.)
 """
 
@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from ..operators.quantiles import exact_quantiles
+from ..operators.ranking import with_global_rank
 from ..session import materialise
 from .common import id_and_text
 
@@ -20,9 +22,8 @@ SYMBOLS = b"#*$%&|<>"
 REPEAT_WINDOW = 3
 #: Documents below or above these fail without the forest.
 FEWEST_WORDS, MOST_REPEATED_PERCENT = 50, 50
+#: Trees, and the rows that each draws for itself from all documents: an isolation forest's own subsampling.
 TREES, TREE_ROWS = 200, 256
-#: Documents, by smallest hash of the id, that the trees are grown on; and labelled rows that set the threshold.
-SAMPLE_ROWS, LABEL_ROWS = 20_000, 20_000
 #: Share of good labelled rows that the threshold may reject.
 SPARE = 0.001
 
@@ -96,6 +97,13 @@ class IsolationForest:
         rng = np.random.default_rng(seed)
         self.trees = [self._grow(rows[rng.choice(len(rows), min(tree_rows, len(rows)), replace=False)], rng) for _ in range(trees)]
 
+    @classmethod
+    def of(cls, draws: list[np.ndarray], seed: int = 7) -> "IsolationForest":
+        """A tree for each of ``draws``."""
+        forest, rng = cls.__new__(cls), np.random.default_rng(seed)
+        forest.trees = [cls._grow(rows, rng) for rows in draws]
+        return forest
+
     @staticmethod
     def _grow(rows: np.ndarray, rng) -> tuple:
         column, cut, child, length = [], [], [], []
@@ -161,37 +169,104 @@ def thresholds(paths: np.ndarray, cause: np.ndarray, good: np.ndarray, groups: i
     return out
 
 
-def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-          sample_rows: int = SAMPLE_ROWS, label_rows: int = LABEL_ROWS) -> DataFrame:
+_FEATURES = [f"f{i}" for i in range(len(MEASURES) - 1)]
+_AS_DOUBLES = ", ".join(f"{f} double" for f in _FEATURES)
+
+
+def _columns(rows: np.ndarray) -> list[pa.Array]:
+    return [pa.array(np.ascontiguousarray(rows[:, i])) for i in range(rows.shape[1])]
+
+
+def tree_draws(passed: DataFrame, n: int, trees: int = TREES, tree_rows: int = TREE_ROWS) -> list[np.ndarray]:
+    """For each tree the features of the ``tree_rows`` rows of ``passed``, which has ``n``, that come first under a hash order of its own.
+
+    A row leaves its task for the trees where it is among the first by expectation, with twice the rows that are needed.
+    """
+    limit = np.uint64(min(2 * tree_rows / max(n, 1), 1.0) * (2**64 - 2**12))
+    salts = np.random.default_rng(11).integers(0, 2**64, trees, np.uint64)
+
+    def drawn(batches):
+        for b in batches:
+            rows, mark = features(b), b["mark"].to_numpy().view(np.uint64)
+            found = []
+            for tree, salt in enumerate(salts):
+                key = (mark ^ salt) * np.uint64(0x9E3779B97F4A7C15)
+                key ^= key >> np.uint64(32)
+                key *= np.uint64(0xD6E8FEB86659FD93)
+                key ^= key >> np.uint64(32)
+                at = np.flatnonzero(key <= limit) if n > 2 * tree_rows else np.arange(len(key))
+                found.append((np.full(len(at), tree, np.int32), (key[at] >> np.uint64(1)).astype(np.int64), at))
+            tree, key, at = (np.concatenate(c) for c in zip(*found))
+            yield pa.RecordBatch.from_arrays([pa.array(tree), pa.array(key), *_columns(rows[at])], ["tree", "key", *_FEATURES])
+
+    marked = passed.select(*MEASURES, F.xxhash64("doc_id", *MEASURES).alias("mark"))
+    first = Window.partitionBy("tree").orderBy("key", *_FEATURES)
+    ranked = marked.mapInArrow(drawn, f"tree int, key bigint, {_AS_DOUBLES}").withColumn("place", F.row_number().over(first))
+    table = ranked.filter(F.col("place") <= tree_rows).orderBy("tree", "place").toArrow()  # trees * tree_rows rows: the model's own
+    tree, rows = table["tree"].to_numpy(), np.stack([table[f].to_numpy() for f in _FEATURES], axis=1)
+    return [rows[tree == t] for t in range(trees)]
+
+
+def centre_and_scale(passed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Median and standard deviation of every feature, of all rows."""
+    def turned(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(_columns(features(b)), _FEATURES)
+
+    stored = materialise(passed.select(*MEASURES).mapInArrow(turned, _AS_DOUBLES), "features")
+    medians = exact_quantiles(stored, _FEATURES, [0.5]).first()
+    spread = stored.agg(*[F.stddev_pop(f).alias(f) for f in _FEATURES]).first()
+    return np.array([medians[f][0] for f in _FEATURES]), np.array([spread[f] for f in _FEATURES]) + 1e-9
+
+
+def labelled_thresholds(rated: DataFrame, groups: int, spare: float = SPARE) -> np.ndarray:
+    """``thresholds`` of all rows (path, cause, good) of ``rated``; what comes to the driver is a few numbers per cause."""
+    out = np.zeros(groups)
+    per = {r["cause"]: r for r in rated.groupBy("cause").agg(F.count_if("good").alias("n"), F.max(F.when(~F.col("good"), F.col("path"))).alias("bad")).collect()}
+    before, targets = 0, {}
+    for c in sorted(per):
+        if per[c]["n"]:
+            targets[before + int(spare * per[c]["n"])] = c
+            before += per[c]["n"]
+    if not targets:
+        return out
+    ranked = with_global_rank(rated.filter("good").select("cause", "path"), [F.col("cause"), F.col("path")])
+    limits = {targets[r["rank"]]: r["path"] for r in ranked.filter(F.col("rank").isin(list(targets))).collect()}
+    below = [F.max(F.when(~F.col("good") & (F.col("cause") == c) & (F.col("path") < limit), F.col("path"))).alias(f"c{c}") for c, limit in limits.items()]
+    caught = rated.agg(*below).first()
+    for c in per:
+        if c not in limits:
+            out[c] = np.nextafter(per[c]["bad"], np.inf)
+        elif caught[f"c{c}"] is not None:
+            out[c] = (caught[f"c{c}"] + limits[c]) / 2
+    return out
+
+
+def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
     """Rows (doc_id, MEASURES, base_failed, path, kept), one per row of ``docs``.
 
     ``base_failed``: fewer than FEWEST_WORDS words, or more than MOST_REPEATED_PERCENT percent of them repeated. Others are kept unless
     their path is below the threshold of their oddest measure. ``labels`` has id and ``label_col`` (1 good, 0 bad, null: ignored). With no usable labels or no documents
-    that pass the base rules nothing is anomalous. The trees see ``sample_rows`` documents that pass, the threshold ``label_rows`` labelled ones, by
-    smallest hash of the id; both are bounds on what comes to the driver.
+    that pass the base rules nothing is anomalous. Every document that passes may be drawn by every tree, all of them give centre and
+    scale, and all labelled ones the thresholds.
     """
     base = materialise(measures(docs, id_col, text_col), "measures").withColumn(
         "base_failed", (F.col("n_words") < FEWEST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")))
-    passed, order = base.filter("NOT base_failed"), F.xxhash64("doc_id")
-    sample = features(passed.orderBy(order, *MEASURES).limit(sample_rows).toArrow())
-    chosen = labels.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{label_col}`").alias("good")).dropna().groupBy("doc_id").agg(F.min("good").alias("good"))
-    labelled = passed.join(F.broadcast(chosen.orderBy(order).limit(label_rows)), "doc_id").toArrow()  # at most label_rows rows
-    model = None
-    if len(sample):
-        forest, centre, scale = IsolationForest(sample), np.median(sample, axis=0), sample.std(axis=0) + 1e-9
-        rows, good = features(labelled), labelled["good"].to_numpy() > 0
-        paths, cause = forest.paths(rows), oddest(rows, centre, scale)
-        model = forest, centre, scale, thresholds(paths, cause, good, sample.shape[1])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def score(batches):
+    passed = base.filter("NOT base_failed")
+    n = passed.count()
+    if not n:
+        return base.withColumns({"path": F.lit(0.0), "kept": ~F.col("base_failed")})
+    centre, scale = centre_and_scale(passed)
+    shared = docs.sparkSession.sparkContext.broadcast((IsolationForest.of(tree_draws(passed, n)), centre, scale))
+
+    def rate(batches):
         for b in batches:
-            path, threshold = np.zeros(b.num_rows), np.zeros(b.num_rows)
-            if shared.value:
-                forest, centre, scale, thresholds = shared.value
-                rows = features(b)
-                path, threshold = forest.paths(rows), thresholds[oddest(rows, centre, scale)]
-            kept = ~b["base_failed"].to_numpy(zero_copy_only=False) & (path >= threshold)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(path), pa.array(kept)], [*b.schema.names, "path", "kept"])
-
-    return base.mapInArrow(score, f"{_SCHEMA}, base_failed boolean, path double, kept boolean")
+            forest, centre, scale = shared.value
+            rows = features(b)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(forest.paths(rows)), pa.array(oddest(rows, centre, scale), pa.int32())], [*b.schema.names, "path", "cause"])
+
+    rated = materialise(base.mapInArrow(rate, f"{_SCHEMA}, base_failed boolean, path double, cause int"), "paths")
+    chosen = labels.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{label_col}`").alias("good")).dropna().groupBy("doc_id").agg((F.min("good") > 0).alias("good"))
+    limits = labelled_thresholds(materialise(rated.filter("NOT base_failed").join(chosen, "doc_id").select("path", "cause", "good"), "rated"), len(_FEATURES))
+    threshold = F.get(F.array(*[F.lit(float(x)) for x in limits]), F.col("cause"))
+    return rated.withColumn("kept", ~F.col("base_failed") & (F.col("path") >= threshold)).drop("cause")
