@@ -1,6 +1,7 @@
 import threading
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import models as m
 from tidemark.plans import train as tr
@@ -48,3 +49,15 @@ def test_what_still_runs_is_cancelled(spark):
             raise KeyError("stop")
     assert ended.is_set()
     assert spark.range(5).count() == 5
+
+
+def test_stored_vectors_are_dealt_out_by_rows(spark, data, monkeypatch):
+    """One stored file of many rows is not one task's."""
+    monkeypatch.setattr(m, "ROWS_PER_TASK", 10)
+    rows = m.prepared(data.frame, data)
+    ready = m.fit_preprocessor(rows, data.numeric, data.categorical).transform(rows)
+    parts = m.stored_vectors(ready, data, 120)
+    sizes = [r["count"] for r in parts.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 12 and sum(sizes) == 120 and max(sizes) <= 20
+    monkeypatch.setattr(m, "ROWS_PER_TASK", 120)
+    assert m.stored_vectors(ready, data, 120).rdd.getNumPartitions() == 1
