@@ -12,7 +12,7 @@ import tiktoken
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from tidemark.llm import simple8b
+from tidemark.llm import packing, simple8b
 from tidemark.llm.bin_completion import best_fit, lower_bound, pack
 from tidemark.llm.bpe import ByteBPE, decode_documents, encode_documents, round_trip_digests
 from tidemark.llm.common import library_encoder
@@ -169,3 +169,13 @@ def test_token_files(spark, odd, docs):
         assert order == sorted(order)
         want = Counter((r["doc_id"], tuple([*whole.encode(r["text"] or "", add_special_tokens=False).ids, 1])) for r in frame.collect())
         assert Counter((r["doc_id"], tuple(r["ids"])) for r in got) == want
+
+
+def test_packing_takes_a_batch_in_slices(spark, monkeypatch):
+    """Texts of one batch become strings a slice at a time, and the pieces stay the same."""
+    docs = spark.createDataFrame([(i, "some words of text " * (1 + i % 5)) for i in range(40)], "doc_id bigint, text string").coalesce(1)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    read = lambda: sorted(map(tuple, packing.cut_documents(docs, path, 16, 0).drop("task").collect()))
+    whole, taken = read(), spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(packing, "slices", lambda b: (taken.add(1) or b.slice(at, 1) for at in range(b.num_rows)), raising=False)
+    assert read() == whole and taken.value == 40
