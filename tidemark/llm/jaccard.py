@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import fresh_path, materialise
-from .common import id_and_text, slices, trimmed
+from .common import TRIMMED_SLICES, id_and_text, slices, trimmed
 from .components import components
 from .rtree import leaf_pairs, needs
 
@@ -122,7 +122,7 @@ def _stored_sets(docs: DataFrame) -> str:
         yield from counter.frequent()
 
     path = fresh_path(docs.sparkSession, "shingles")
-    docs.mapInArrow(lambda batches: trimmed(read(batches)), _SETS).write.partitionBy("kind").parquet(path)
+    docs.mapInArrow(lambda batches: trimmed(read(batches), TRIMMED_SLICES), _SETS).write.partitionBy("kind").parquet(path)
     return path
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import materialise
 from .bin_completion import Plan, pack
-from .common import id_and_text, library_encoder, slices, trimmed
+from .common import TRIMMED_SLICES, id_and_text, library_encoder, slices, trimmed
 
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, task int, nth bigint"
 
@@ -60,7 +60,7 @@ def cut_documents(docs: DataFrame, path: str, capacity: int, end_id: int, id_col
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth", "ids"]
             yield pa.RecordBatch.from_arrays(columns, names[:len(columns)])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(lambda batches: trimmed(cut(batches)), _PIECES + (", ids array<int>" if with_ids else ""))
+    return id_and_text(docs, id_col, text_col).mapInArrow(lambda batches: trimmed(cut(batches), TRIMMED_SLICES), _PIECES + (", ids array<int>" if with_ids else ""))
 
 
 def plan_slots(plan: Plan) -> list[tuple]:
