@@ -1,6 +1,7 @@
 """Tokenizers, packing and token files against the libraries and brute force."""
 
 import base64
+import gc
 import hashlib
 import zlib
 from collections import Counter
@@ -67,6 +68,23 @@ def test_pieces_equal_whole_texts(path, spaces):
     same()
 
 
+@pytest.mark.parametrize(("path", "spaces"), [(BYTES, True), (WORDS, False)])
+def test_learning_pieces_keeps_no_lists(path, spaces):
+    """Lists kept for every new piece set off a collection every 2,000 of them."""
+    encode, rounds = library_encoder(path, spaces), []
+    letters = ["".join(chr(97 + i // 26 ** k % 26) for k in range(4)) for i in range(20_000)]
+    words = [f"{w}q{w}," for w in letters]
+    text = " ".join(words)
+    gc.collect()
+    gc.callbacks.append(lambda phase, info: rounds.append(info) if phase == "start" else None)
+    try:
+        ids = next(encode([text]))
+    finally:
+        gc.callbacks.pop()
+    assert len(rounds) < 8
+    assert np.frombuffer(ids, "<u4").tolist() == library(path).encode(text, add_special_tokens=False).ids
+
+
 def test_round_trip(spark, odd, docs, reference):
     for frame in (odd, docs):
         rows = frame.select("doc_id", "text").collect()

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import PieceEncoder, byte_characters, id_and_text
+from .common import PieceEncoder, byte_characters, id_and_text, id_bytes
 
 #: Sentencepiece wants an unknown piece; ranks follow it.
 _FIRST = 1
@@ -101,7 +101,7 @@ class ByteBPE:
             found = [[self._unreached[t]] if (t := m.encode()) in self._unreached else ids for m, ids in zip(matches, found)]
         return found
 
-    def _encode_many(self, pieces: list[str]) -> list[list[int]]:
+    def _encode_many(self, pieces: list[str]) -> list[bytes]:
         """``pieces`` have no white space but one leading space, so a line break between them is a match of its own."""
         matches = self._split("\n".join(pieces))
         found = iter(self._matches([m for m in matches if m != "\n"]))
@@ -111,7 +111,7 @@ class ByteBPE:
                 out.append([])
             else:
                 out[-1] += next(found)
-        return out
+        return list(map(id_bytes, out))
 
     def _encode_whole(self, text: str) -> list[int]:
         matches = self._split(text)
