@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 from tidemark.llm import packing, simple8b
 from tidemark.llm.bin_completion import best_fit, lower_bound, pack
 from tidemark.llm.bpe import ByteBPE, decode_documents, encode_documents, round_trip_digests
-from tidemark.llm.common import library_encoder
+from tidemark.llm.common import library_encoder, trimmed
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.token_files import read_token_files, write_token_files
 from tidemark.session import fresh_path
@@ -85,6 +85,15 @@ def test_learning_pieces_keeps_no_lists(path, spaces):
     assert np.frombuffer(ids, "<u4").tolist() == library(path).encode(text, add_special_tokens=False).ids
 
 
+def test_other_passes_drop_known_pieces():
+    """A worker that packed texts and then does something else holds no pieces any more."""
+    encode = library_encoder(BYTES, True)
+    want = next(encode(["several pieces, known"]))
+    assert list(trimmed(iter("ab"), tokens=True)) == ["a", "b"] and encode._known
+    assert list(trimmed(iter("ab"))) == ["a", "b"] and not encode._known
+    assert next(encode(["several pieces, known"])) == want
+
+
 def test_round_trip(spark, odd, docs, reference):
     for frame in (odd, docs):
         rows = frame.select("doc_id", "text").collect()

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialise
-from .common import id_and_text
+from .common import TRIMMED_SLICES, id_and_text, slices, trimmed
 
 #: Partners in a round: 2**BITS.
 BITS = 4
@@ -131,7 +131,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             entries = _sorted(np.concatenate(parts), largest)
             return pa.RecordBatch.from_pylist([{"node": task, "partner": None, "run": entries.tobytes()}], _schema())
 
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole)):
             entries = np.zeros(b.num_rows, _ENTRY)
             texts = [t.encode().lower() for t in b["text"].to_pylist()]
             sums = np.frombuffer(b"".join([hashlib.sha256(t).digest() for t in texts]), ">u8").reshape(-1, 4)
@@ -153,7 +153,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         if held:
             yield run()
 
-    leaves = materialise(id_and_text(docs, id_col, text_col).mapInArrow(digest, _RUN), "digests")
+    leaves = materialise(id_and_text(docs, id_col, text_col).mapInArrow(lambda batches: trimmed(digest(batches), TRIMMED_SLICES), _RUN), "digests")
     top = leaves.agg(F.max("node")).first()[0] or 0
     rounds = max(1, -(-int(top).bit_length() // BITS))
     levels = [leaves]

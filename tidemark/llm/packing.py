@@ -60,7 +60,7 @@ def cut_documents(docs: DataFrame, path: str, capacity: int, end_id: int, id_col
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth", "ids"]
             yield pa.RecordBatch.from_arrays(columns, names[:len(columns)])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(lambda batches: trimmed(cut(batches), TRIMMED_SLICES), _PIECES + (", ids array<int>" if with_ids else ""))
+    return id_and_text(docs, id_col, text_col).mapInArrow(lambda batches: trimmed(cut(batches), TRIMMED_SLICES, tokens=True), _PIECES + (", ids array<int>" if with_ids else ""))
 
 
 def plan_slots(plan: Plan) -> list[tuple]:

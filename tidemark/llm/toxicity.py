@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import give_back, id_and_text
+from .common import TRIMMED_SLICES, give_back, id_and_text, slices, trimmed
 from .hashed_text import PLACES, Rows, WordPlaces, as_rows, labelled_rows, logistic, sigmoid
 
 # Words that place a toxic text in a category, and the order of the chain.
@@ -117,11 +117,11 @@ def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str =
 
     def apply(batches):
         chain, places = shared.value, WordPlaces(stems=True)
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole)):
             p = np.array([chain.probabilities(places(t)) for t in b["text"].to_pylist()]).reshape(-1, len(names))
             yield pa.RecordBatch.from_arrays([b["doc_id"], *(pa.array(np.ascontiguousarray(p[:, i])) for i in range(len(names))), pa.array(p[:, -1] >= chain.threshold)], ["doc_id", *names, "rejected"])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(apply, "doc_id bigint, " + ", ".join(f"{n} double" for n in names) + ", rejected boolean")
+    return id_and_text(docs, id_col, text_col).mapInArrow(lambda batches: trimmed(apply(batches), TRIMMED_SLICES), "doc_id bigint, " + ", ".join(f"{n} double" for n in names) + ", rejected boolean")
 
 
 def toxic_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: int = TRAIN_ROWS) -> DataFrame:
