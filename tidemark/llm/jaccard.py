@@ -7,7 +7,8 @@ so sets meet in blocks, one per such shingle, and a tree is built for each block
 
 1. One pass over the texts stores each distinct set of a task, its point and its key. Shingles that are
    frequent in a batch are counted on the way; their list is bounded by the mean set size times MOST_FREQUENT.
-2. First shingles are exchanged as packed arrays by hash bucket and sorted there into blocks.
+2. First shingles are exchanged as packed arrays by hash bucket and sorted there into blocks. Places of the first shingle
+   that a pair shares bound what it can share at all, so a set whose place allows none of the others leaves the block.
 3. Star links inside each block (each set to the smallest key) are verified: they join copies, so
    that a block of thousands of near copies becomes one component without all its pairs. Further turns take other sets as hubs.
 4. Blocks that still hold several components go through the tree, which bounds the overlap of pairs of different
@@ -40,6 +41,8 @@ BATCH_LEAST = 16
 BLOCK_SETS = 100_000
 #: First shingles per bucket.
 BUCKET_ENTRIES = 1_000_000
+#: Lists of a set, the first by rank, that its rows carry: a pair is taken where no earlier list of both is known.
+KNOWN_LISTS = 8
 #: Turns of links from one set of a block to the others before the trees; they only spare the trees work.
 HUB_TURNS = 2
 #: Bits of the filter that says which sets are to be compared: 16 per set, and no more than these.
@@ -163,6 +166,15 @@ def _batch(kind: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, ["kind", *types])
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers, first bytes first, so that the zeros of small ones stand together and compress."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
 def _point(shingles: np.ndarray) -> bytes:
     groups = GROUPS
     while True:
@@ -185,46 +197,52 @@ def _may_link(x: bytes, y: bytes) -> bool:
 
 
 def _entries(sets: DataFrame, frequent: Broadcast, buckets: int, block_sets: int) -> DataFrame:
-    """First shingles of each set as packed rows (bucket, keys, counts, shingles), the ``counts[i]`` shingles of ``keys[i]`` in a row.
+    """First shingles of each set as packed rows (bucket, keys, counts, lengths, shingles, places): the ``counts[i]`` shingles of ``keys[i]``, a
+    set of ``lengths[i]``, in a row, with their places in the common order of the set.
 
     A shingle of more than ``block_sets`` sets by the count of frequent ones is a block for every two parts of its sets.
     """
     def first(batches):
         often, seen = frequent.value
         for b in (whole.slice(at, SLICE) for whole in batches for at in range(0, whole.num_rows, SLICE)):
-            keys, chosen = [], []
+            keys, chosen, length, place = [], [], [], []
             for key, data in zip(b["key"].to_pylist(), b["shingles"].to_pylist()):
                 values = _unpacked(data)
                 at = np.searchsorted(often, values)
                 is_often = (often[np.minimum(at, len(often) - 1)] == values) if len(often) else np.zeros(len(values), bool)
                 n = len(values)
                 values = np.concatenate([values[~is_often], values[is_often]])[:n - (3 * n + 3) // 4 + 1]
-                block = values
+                block, at_place = values, np.arange(len(values))
                 if len(often):
                     at = np.minimum(np.searchsorted(often, values), len(often) - 1)
                     split = np.where(often[at] == values, -(-seen[at] // block_sets), 1)
                     if (split > 1).any():
                         block = np.concatenate([values[split == 1], *(
                             _part_blocks(v, int(s), key) for v, s in zip(values[split > 1], split[split > 1]))])
+                        at_place = np.concatenate([at_place[split == 1], np.repeat(at_place[split > 1], split[split > 1])])
                 keys.append(np.full(len(block), key, np.int64))
                 chosen.append(block)
+                length.append(np.full(len(block), n))
+                place.append(at_place)
             if not keys:
                 continue
-            key, shingle = np.concatenate(keys), np.concatenate(chosen)
+            key, shingle, n, at = map(np.concatenate, (keys, chosen, length, place))
             bucket = (shingle % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            key, shingle, bucket = key[order], shingle[order], bucket[order]
+            key, shingle, n, at, bucket = key[order], shingle[order], n[order], at[order], bucket[order]
             ends = np.flatnonzero(np.append(bucket[1:] != bucket[:-1], True)) + 1
             rows, start = [], 0
             for end in ends:
                 k = key[start:end]
                 heads = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-                rows.append((int(bucket[start]), k[heads].tobytes(), np.diff(np.append(heads, len(k))).astype("<u4").tobytes(), _packed(shingle[start:end])))
+                rows.append((int(bucket[start]), k[heads].tobytes(), _planes(np.diff(np.append(heads, len(k)))), _planes(n[start:end][heads]),
+                             _packed(shingle[start:end]), _planes(at[start:end])))
                 start = end
             columns = list(zip(*rows))
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], ["bucket", "keys", "counts", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], ["bucket", "keys", "counts", "lengths", "shingles", "places"])
 
-    return sets.select("key", "shingles").mapInArrow(lambda batches: trimmed(first(batches)), "bucket int, keys binary, counts binary, shingles binary")
+    schema = "bucket int, keys binary, counts binary, lengths binary, shingles binary, places binary"
+    return sets.select("key", "shingles").mapInArrow(lambda batches: trimmed(first(batches)), schema)
 
 
 def _part_blocks(shingle: int, parts: int, key: int) -> np.ndarray:
@@ -235,35 +253,85 @@ def _part_blocks(shingle: int, parts: int, key: int) -> np.ndarray:
 
 
 def _runs(shingle: np.ndarray, key: np.ndarray):
-    """Entries sorted by shingle then key without repeats, and the bounds of the shingles that two or more sets hold."""
+    """Positions of the entries sorted by shingle then key without repeats, and the bounds of the shingles that two or more sets hold."""
     order = np.lexsort([key, shingle])
-    shingle, key = shingle[order], key[order]
     if len(key):
-        new = np.append(True, (shingle[1:] != shingle[:-1]) | (key[1:] != key[:-1]))
-        shingle, key = shingle[new], key[new]
-    heads = np.flatnonzero(np.append(True, shingle[1:] != shingle[:-1])) if len(key) else np.zeros(0, np.int64)
-    ends = np.append(heads[1:], len(key))
+        s, k = shingle[order], key[order]
+        order = order[np.append(True, (s[1:] != s[:-1]) | (k[1:] != k[:-1]))]
+    shingle = shingle[order]
+    heads = np.flatnonzero(np.append(True, shingle[1:] != shingle[:-1])) if len(order) else np.zeros(0, np.int64)
+    ends = np.append(heads[1:], len(order))
     several = ends - heads > 1
-    return shingle, key, heads[several], ends[several]
+    return order, heads[several], ends[several]
+
+
+def _inside(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Positions of the members of blocks, block after block."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(sizes.sum())
+
+
+def _reach(length: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The largest length with which a set may be similar, if the first shingle they share is at ``place`` of its own.
+
+    From there on they share length - place at most, and need 3/7 of both lengths. So x and y may link only if each is within the other's reach.
+    """
+    return (4 * length - 7 * place) // 3
+
+
+def _partnered(sizes: np.ndarray, length: np.ndarray, reach: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Whether each member, block after block, has one of another ``part`` in its block with each in the other's reach."""
+    if not len(length):
+        return np.zeros(0, bool)
+    # One line for all blocks: the numbers of a block are above all those of the blocks before it.
+    offset = np.repeat(np.arange(len(sizes)), sizes) * (int(max(length.max(), reach.max())) + 1)
+    low, high = length + offset, reach + offset
+    order = np.argsort(low, kind="stable")
+    far, of = high[order], part[order]
+    # The farthest reach of all up to a length, and of those of other parts than the one that reaches farthest.
+    first = np.maximum.accumulate(far)
+    leads = np.append(True, far[1:] > first[:-1])
+    leader = of[np.maximum.accumulate(np.where(leads, np.arange(len(far)), 0))]
+    second = np.where(of != leader, far, -1)
+    changed = np.append(False, leader[1:] != leader[:-1])
+    second[changed] = first[:-1][changed[1:]]
+    second = np.maximum.accumulate(second)
+    last = np.searchsorted(low[order], high, "right") - 1
+    farthest = np.where(leader[last] != part, first[last], second[last])
+    return (last >= 0) & (farthest >= low)
+
+
+def _kept_blocks(sizes: np.ndarray, keep: np.ndarray) -> np.ndarray:
+    """Sizes of the blocks whose members are those to ``keep``; empty ones are left out."""
+    left = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=keep, minlength=len(sizes)).astype(np.int64)
+    return left[left > 0]
 
 
 def _blocks(entries: DataFrame) -> DataFrame:
-    """Per bucket one row of its blocks of several sets: ``sizes`` and ``keys``; and its star links, ``a`` the smallest key of a block."""
+    """Per bucket one row of its blocks of several sets: ``sizes``, and ``keys``, ``lengths`` and ``places`` of their members; and its star links,
+    ``a`` the smallest key of a block. Sets without a partner in reach are left out."""
     def build(group, table):
-        keys = np.frombuffer(b"".join(table["keys"].to_pylist()), np.int64)
-        counts = np.frombuffer(b"".join(table["counts"].to_pylist()), "<u4")
-        shingle, key, heads, ends = _runs(_unpacked(b"".join(table["shingles"].to_pylist())), np.repeat(keys, counts))
+        def joined(column, read):
+            return np.concatenate([read(x) for x in table[column].to_pylist()])
+
+        keys, counts, lengths = joined("keys", lambda x: np.frombuffer(x, np.int64)), joined("counts", _from_planes), joined("lengths", _from_planes)
+        at, heads, ends = _runs(joined("shingles", _unpacked), np.repeat(keys, counts))
         sizes = ends - heads
-        inside = np.repeat(heads - np.append(0, np.cumsum(sizes)[:-1]), sizes) + np.arange(sizes.sum())
-        members, first = key[inside], np.repeat(key[heads], sizes)
-        a, b = first[first != members], members[first != members]
-        links = np.unique(np.stack([a, b], axis=1), axis=0)
+        at = at[_inside(heads, sizes)]
+        key, length, place = np.repeat(keys, counts)[at], np.repeat(lengths, counts)[at], joined("places", _from_planes)[at]
+        keep = _partnered(sizes, length, _reach(length, place), key)
+        sizes, key, length, place = _kept_blocks(sizes, keep), key[keep], length[keep], place[keep]
+        reach, hub = _reach(length, place), np.repeat(np.cumsum(sizes) - sizes, sizes)
+        linked = (key != key[hub]) & (length <= reach[hub]) & (length[hub] <= reach)
+        links = np.unique(np.stack([key[hub][linked], key[linked]], axis=1), axis=0)
         return pa.table({
-            "bucket": [group[0].as_py()], "sizes": pa.array([sizes.astype("<u4").tobytes()], pa.binary()), "keys": pa.array([members.tobytes()], pa.binary()),
+            "bucket": pa.array([group[0].as_py()], pa.int32()), **{c: pa.array([x], pa.binary()) for c, x in (
+                ("sizes", _planes(sizes)), ("keys", key.tobytes()), ("lengths", _planes(length)), ("places", _planes(place)))},
             "a": pa.array([links[:, 0]], pa.list_(pa.int64())), "b": pa.array([links[:, 1]], pa.list_(pa.int64())),
-        }, schema=pa.schema([("bucket", pa.int32()), ("sizes", pa.binary()), ("keys", pa.binary()), ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64()))]))
+        })
 
-    return entries.groupBy("bucket").applyInArrow(build, "bucket int, sizes binary, keys binary, a array<bigint>, b array<bigint>")
+    schema = "bucket int, sizes binary, keys binary, lengths binary, places binary, a array<bigint>, b array<bigint>"
+    return entries.groupBy("bucket").applyInArrow(build, schema)
 
 
 def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
@@ -318,7 +386,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _by_bucket(blocks: DataFrame, parts: DataFrame, make, schema: str) -> DataFrame:
     """Cogroups each bucket's blocks with the components of its sets: rows of ``make`` (keys, parts, starts, sizes) of its open blocks.
 
-    A block is open while its sets lie in several components; a set without a link is its own.
+    A block is open while sets of several components are in each other's reach; the others leave it. A set without a link is a component of its own.
     """
     def members(batches):
         for b in batches:
@@ -334,7 +402,7 @@ def _by_bucket(blocks: DataFrame, parts: DataFrame, make, schema: str) -> DataFr
         if not stored.num_rows:
             return make(empty, empty, empty, empty)
         row = stored.to_pylist()[0]
-        key, sizes = np.frombuffer(row["keys"], np.int64), np.frombuffer(row["sizes"], "<u4").astype(np.int64)
+        key, sizes, length = np.frombuffer(row["keys"], np.int64), _from_planes(row["sizes"]), _from_planes(row["lengths"])
         part = key.copy()
         if labels.num_rows:
             known, label = labels["key"].to_numpy(), labels["part"].to_numpy()
@@ -342,25 +410,21 @@ def _by_bucket(blocks: DataFrame, parts: DataFrame, make, schema: str) -> DataFr
             known, label = known[order], label[order]
             at = np.minimum(np.searchsorted(known, key), len(known) - 1)
             part = np.where(known[at] == key, label[at], key)
-        ends = np.cumsum(sizes)
-        starts = ends - sizes
-        several = np.minimum.reduceat(part, starts) != np.maximum.reduceat(part, starts) if len(starts) else np.zeros(0, bool)
-        return make(key, part, starts[several], sizes[several])
+        keep = _partnered(sizes, length, _reach(length, _from_planes(row["places"])), part)
+        sizes = _kept_blocks(sizes, keep)
+        return make(key[keep], part[keep], np.cumsum(sizes) - sizes, sizes)
 
-    return blocks.select("bucket", "keys", "sizes").groupBy("bucket").cogroup(named.groupBy("bucket")).applyInArrow(open_blocks, schema)
+    return blocks.select("bucket", "keys", "sizes", "lengths", "places").groupBy("bucket").cogroup(named.groupBy("bucket")).applyInArrow(open_blocks, schema)
 
 
 def _hub_links(blocks: DataFrame, parts: DataFrame, turn: int) -> DataFrame:
     """Distinct links, in each open block, from one set to those of other components. All blocks rank sets alike, and each turn anew."""
     def stars(key, part, starts, sizes):
-        inside = np.repeat(starts - np.append(0, np.cumsum(sizes)[:-1]) if len(starts) else starts, sizes) + np.arange(sizes.sum())
-        key, part = key[inside], part[inside]
         if not len(key):
             return pa.table({"a": pa.array([], pa.list_(pa.int64())), "b": pa.array([], pa.list_(pa.int64()))})
         rank = (key.view(np.uint64) ^ np.uint64(turn * 0x5851F42D4C957F2D & (1 << 64) - 1)) * _MIX
         rank ^= rank >> np.uint64(31)
-        heads = np.append(0, np.cumsum(sizes)[:-1])
-        hub = rank == np.repeat(np.minimum.reduceat(rank, heads), sizes)
+        hub = rank == np.repeat(np.minimum.reduceat(rank, starts), sizes)
         hubs, of = np.repeat(key[hub], sizes), np.repeat(part[hub], sizes)
         a, b = hubs[of != part], key[of != part]
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
@@ -387,8 +451,8 @@ def _open_lists(blocks: DataFrame, parts: DataFrame) -> DataFrame:
 def _tree_pairs(lists: DataFrame, points: DataFrame) -> DataFrame:
     """Distinct pairs of different components that the tree of some list lets pass. A list holds at most two parts of a block.
 
-    Sets of one family share many lists; a pair is taken from the first list that holds both, lists being ranked by a hash. (Lists of
-    one rank both give it.)
+    Sets of one family share many lists; a pair is taken from the first list that holds both, as far as the KNOWN_LISTS first lists of
+    both tell. So it may be given by several lists, but by one at least.
     """
     def join(batches):
         open_list, held = None, []
@@ -397,10 +461,10 @@ def _tree_pairs(lists: DataFrame, points: DataFrame) -> DataFrame:
             key = np.concatenate([t["key"].to_numpy() for t in held])
             part = np.concatenate([t["part"].to_numpy() for t in held])
             stored = [x for t in held for x in t["point"].to_pylist()]
-            earlier = [frozenset(x) for t in held for x in t["earlier"].to_pylist()]
+            first = [frozenset(x) for t in held for x in t["first"].to_pylist()]
             point = np.stack([_as_point(x, GROUPS) for x in stored])
             for i, j in leaf_pairs(point, point.sum(axis=1, dtype=np.int64), part):
-                mine = np.fromiter((earlier[x].isdisjoint(earlier[y]) and _may_link(stored[x], stored[y]) for x, y in zip(i, j)), bool, len(i))
+                mine = np.fromiter((min(first[x] & first[y], default=open_list) >= open_list and _may_link(stored[x], stored[y]) for x, y in zip(i, j)), bool, len(i))
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(key[i], key[j])[mine]), pa.array(np.maximum(key[i], key[j])[mine])], ["a", "b"])
 
         for b in batches:
@@ -418,9 +482,8 @@ def _tree_pairs(lists: DataFrame, points: DataFrame) -> DataFrame:
             yield from pairs()
 
     # A set stands in as many lists as it has first shingles, at most.
-    ranked = lists.withColumn("rank", F.hash("list"))
-    of = ranked.groupBy("key").agg(F.collect_set("rank").alias("of"))
-    located = ranked.join(of, "key").join(points, "key").select("list", "key", "part", "point", F.filter("of", lambda x: x < F.col("rank")).alias("earlier"))
+    of = lists.groupBy("key").agg(F.slice(F.sort_array(F.collect_set("list")), 1, KNOWN_LISTS).alias("first"))
+    located = lists.join(of, "key").join(points, "key").select("list", "key", "part", "point", "first")
     return located.repartition("list").sortWithinPartitions("list").mapInArrow(lambda batches: trimmed(join(batches)), "a bigint, b bigint").distinct()
 
 
