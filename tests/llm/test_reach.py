@@ -30,3 +30,12 @@ def test_similar_sets_are_in_reach_at_their_first_shared_shingle():
         i, j = np.searchsorted(x, shared[0]), np.searchsorted(y, shared[0])
         assert len(y) <= jaccard._reach(np.int64(len(x)), i) and len(x) <= jaccard._reach(np.int64(len(y)), j)
     assert similar > 500
+
+
+def test_points_are_stored_packed():
+    for n in (40, 300, 3_000):
+        shingles = np.random.default_rng(n).integers(0, 1 << 48, n).astype(np.uint64)
+        stored = jaccard._point(shingles)
+        point = jaccard._as_point(stored)
+        assert (point == np.bincount((shingles % np.uint64(len(point))).astype(np.int64), minlength=len(point))).all()
+        assert 5 * len(stored) < 3 * len(point)

@@ -19,6 +19,8 @@ So every pair that the bounds allow is either verified or connected already.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -180,19 +182,22 @@ def _point(shingles: np.ndarray) -> bytes:
     while True:
         counts = np.bincount((shingles % np.uint64(groups)).astype(np.int64), minlength=groups)
         if 2 * groups > len(shingles) and counts.max() < 256:
-            return counts.astype(np.uint8).tobytes()
+            return zlib.compress(counts.astype(np.uint8).tobytes(), 1)  # small counts: a fraction of the bytes
         groups *= 2
 
 
-def _as_point(data: bytes, groups: int | None = None) -> np.ndarray:
-    point = np.frombuffer(data, np.uint8)
-    return point if groups in (None, len(point)) else point.reshape(-1, groups).sum(axis=0, dtype=np.uint16)
+def _as_point(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), np.uint8)
+
+
+def _folded(point: np.ndarray, groups: int) -> np.ndarray:
+    return point if groups == len(point) else point.reshape(-1, groups).sum(axis=0, dtype=np.uint16)
 
 
-def _may_link(x: bytes, y: bytes) -> bool:
+def _may_link(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether two points, in the groups both have, allow the overlap that their sizes need."""
-    groups = min(len(x), len(y))
-    a, b = _as_point(x, groups), _as_point(y, groups)
+    groups = min(len(a), len(b))
+    a, b = _folded(a, groups), _folded(b, groups)
     return bool(7 * np.minimum(a, b).sum(dtype=np.int64) >= needs(a.sum(dtype=np.int64), b.sum(dtype=np.int64)))
 
 
@@ -338,7 +343,7 @@ def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
     """The pairs (a, b) whose points allow the overlap they need."""
     def bound(batches):
         for b in batches:
-            good = list(map(_may_link, b["x"].to_pylist(), b["y"].to_pylist()))
+            good = [_may_link(_as_point(x), _as_point(y)) for x, y in zip(b["x"].to_pylist(), b["y"].to_pylist())]
             yield b.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     left = pairs.join(points.select(F.col("key").alias("a"), F.col("point").alias("x")), "a")
@@ -460,9 +465,9 @@ def _tree_pairs(lists: DataFrame, points: DataFrame) -> DataFrame:
         def pairs():
             key = np.concatenate([t["key"].to_numpy() for t in held])
             part = np.concatenate([t["part"].to_numpy() for t in held])
-            stored = [x for t in held for x in t["point"].to_pylist()]
+            stored = [_as_point(x) for t in held for x in t["point"].to_pylist()]
             first = [frozenset(x) for t in held for x in t["first"].to_pylist()]
-            point = np.stack([_as_point(x, GROUPS) for x in stored])
+            point = np.stack([_folded(x, GROUPS) for x in stored])
             for i, j in leaf_pairs(point, point.sum(axis=1, dtype=np.int64), part):
                 mine = np.fromiter((min(first[x] & first[y], default=open_list) >= open_list and _may_link(stored[x], stored[y]) for x, y in zip(i, j)), bool, len(i))
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(key[i], key[j])[mine]), pa.array(np.maximum(key[i], key[j])[mine])], ["a", "b"])
