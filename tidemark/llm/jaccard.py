@@ -27,7 +27,7 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import fresh_path, materialise
+from ..session import fresh_path, materialise, text_batches
 from .common import TRIMMED_SLICES, id_and_text, slices, trimmed
 from .components import components
 from .rtree import leaf_pairs, needs
@@ -50,7 +50,9 @@ HUB_TURNS = 2
 #: Bits of the filter that says which sets are to be compared: 16 per set, and no more than these.
 FILTER_BITS = 1 << 27
 #: Sets that a task works on at a time, and words it remembers.
-SLICE, KNOWN_WORDS = 1_000, 300_000
+SLICE, KNOWN_WORDS = 1_000, 100_000
+#: Bytes of texts whose sets are made at a time; one text may have more.
+SET_BYTES = 1 << 20
 #: Sets whose shingles are counted together, fewer where they have more distinct shingles than these.
 COUNTED_SETS, COUNTED_SHINGLES = 4_000, 2_000_000
 #: Keys that a task remembers; a set whose key was forgotten is stored once more.
@@ -92,7 +94,7 @@ def _stored_sets(docs: DataFrame) -> str:
         known: dict[bytes, int] = {}
         carried: set[int] = set()
         counter = _Counter()
-        for b in (part for whole in batches for part in slices(whole)):
+        for b in (part for whole in batches for part in slices(whole, size=SET_BYTES)):
             n, keys, points, packed, fresh = [], [], [], [], []
             if len(carried) > CARRIED:
                 carried.clear()
@@ -127,7 +129,8 @@ def _stored_sets(docs: DataFrame) -> str:
         yield from counter.frequent()
 
     path = fresh_path(docs.sparkSession, "shingles")
-    docs.mapInArrow(lambda batches: trimmed(read(batches), TRIMMED_SLICES), _SETS).write.partitionBy("kind").parquet(path)
+    with text_batches(docs.sparkSession):
+        docs.mapInArrow(lambda batches: trimmed(read(batches), 4 * TRIMMED_SLICES), _SETS).write.partitionBy("kind").parquet(path)
     return path
 
 
