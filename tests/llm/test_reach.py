@@ -39,3 +39,13 @@ def test_points_are_stored_packed():
         point = jaccard._as_point(stored)
         assert (point == np.bincount((shingles % np.uint64(len(point))).astype(np.int64), minlength=len(point))).all()
         assert 5 * len(stored) < 3 * len(point)
+
+
+def test_points_take_a_bit_for_each_group_and_shingle():
+    for n in (1, 40, 300, 500, 3_000):
+        shingles = np.random.default_rng(n).integers(0, 1 << 48, n).astype(np.uint64)
+        stored = jaccard._point(shingles)
+        point = jaccard._as_point(stored)
+        assert point.sum(dtype=np.int64) == n and len(stored) == -(-(n + len(point)) // 8)
+    one = np.full(200, 7 << 20, np.uint64)  # all in one group
+    assert jaccard._as_point(jaccard._point(one)).max() == 200

@@ -19,8 +19,6 @@ So every pair that the bounds allow is either verified or connected already.
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -185,12 +183,15 @@ def _point(shingles: np.ndarray) -> bytes:
     while True:
         counts = np.bincount((shingles % np.uint64(groups)).astype(np.int64), minlength=groups)
         if 2 * groups > len(shingles) and counts.max() < 256:
-            return zlib.compress(counts.astype(np.uint8).tobytes(), 1)  # small counts: a fraction of the bytes
+            bits = np.zeros(groups + len(shingles), bool)
+            bits[np.cumsum(counts) + np.arange(groups)] = True  # each count as so many zeros before a one, as most are 0 to 3
+            return np.packbits(bits).tobytes()
         groups *= 2
 
 
 def _as_point(data: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data), np.uint8)
+    ones = np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8)))
+    return (np.diff(ones, prepend=-1) - 1).astype(np.uint8)
 
 
 def _folded(point: np.ndarray, groups: int) -> np.ndarray:
@@ -472,7 +473,7 @@ def _tree_pairs(lists: DataFrame, points: DataFrame) -> DataFrame:
             first = [frozenset(x) for t in held for x in t["first"].to_pylist()]
             point = np.stack([_folded(x, GROUPS) for x in stored])
             for i, j in leaf_pairs(point, point.sum(axis=1, dtype=np.int64), part):
-                mine = np.fromiter((min(first[x] & first[y], default=open_list) >= open_list and _may_link(stored[x], stored[y]) for x, y in zip(i, j)), bool, len(i))
+                mine = np.fromiter((first[x].isdisjoint(first[y]) and _may_link(stored[x], stored[y]) for x, y in zip(i, j)), bool, len(i))
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(key[i], key[j])[mine]), pa.array(np.maximum(key[i], key[j])[mine])], ["a", "b"])
 
         for b in batches:
@@ -489,9 +490,9 @@ def _tree_pairs(lists: DataFrame, points: DataFrame) -> DataFrame:
         if held:
             yield from pairs()
 
-    # A set stands in as many lists as it has first shingles, at most.
+    # A set stands in as many lists as it has first shingles, at most; a row needs the names before its own.
     of = lists.groupBy("key").agg(F.slice(F.sort_array(F.collect_set("list")), 1, KNOWN_LISTS).alias("first"))
-    located = lists.join(of, "key").join(points, "key").select("list", "key", "part", "point", "first")
+    located = lists.join(of, "key").join(points, "key").select("list", "key", "part", "point", F.filter("first", lambda x: x < F.col("list")).alias("first"))
     return located.repartition("list").sortWithinPartitions("list").mapInArrow(lambda batches: trimmed(join(batches)), "a bigint, b bigint").distinct()
 
 
