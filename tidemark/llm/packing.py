@@ -20,9 +20,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..session import materialise
+from ..session import materialise, text_batches
 from .bin_completion import Plan, pack
-from .common import TRIMMED_SLICES, id_and_text, library_encoder, slices, trimmed
+from .common import KEPT_PIECES, TRIMMED_SLICES, id_and_text, library_encoder, slices, trimmed
 
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, task int, nth bigint"
 
@@ -59,6 +59,7 @@ def cut_documents(docs: DataFrame, path: str, capacity: int, end_id: int, id_col
                 columns.append(pa.array(kept, pa.list_(pa.int32())))
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth", "ids"]
             yield pa.RecordBatch.from_arrays(columns, names[:len(columns)])
+        encode.forget(KEPT_PIECES)
 
     return id_and_text(docs, id_col, text_col).mapInArrow(lambda batches: trimmed(cut(batches), TRIMMED_SLICES, tokens=True), _PIECES + (", ids array<int>" if with_ids else ""))
 
@@ -85,7 +86,8 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = 2048, end_id: int
 
     Every row of ``docs`` is packed, repeated rows and null ids too. No documents, no rows.
     """
-    pieces = materialise(cut_documents(docs, path, capacity, end_id, id_col, text_col, with_ids), "pieces")
+    with text_batches(docs.sparkSession):
+        pieces = materialise(cut_documents(docs, path, capacity, end_id, id_col, text_col, with_ids), "pieces")
     # A row per task and length; tasks are as many as input splits, which bounds a window over one length.
     counts = pieces.groupBy("task", "length").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
