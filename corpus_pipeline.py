@@ -14,11 +14,13 @@ from tidemark.llm.exact_dedup import exact_duplicates
 from tidemark.llm.jaccard import jaccard_components
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.secrets import mask_secrets
-from tidemark.session import materialise, ship_package
+from tidemark.session import materialise, ship_package, text_batches
 
 #: As the operators lower-case: A-Z only.
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SHA = "_text_sha256_of_stage"
+#: Pieces that a worker remembers while it packs: workers of earlier stages still hold memory beside it.
+_REMEMBERED = 200_000
 
 
 def _with_digest(docs: DataFrame) -> DataFrame:
@@ -31,14 +33,17 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows of one id stand and fall together; an id that has none rejected stays, as do null ids.
     """
     ship_package(spark)
-    rejected = toxic.toxic_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).filter("rejected")
-    return docs.join(rejected.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    with text_batches(spark):
+        rejected = toxic.toxic_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).filter("rejected")
+        gone = materialise(rejected.select("doc_id").distinct(), "rejected")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id stays; of rows that repeat both id and text, one."""
     ship_package(spark)
-    kept = exact_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
+    with text_batches(spark):
+        kept = exact_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
     marked = _with_digest(docs)
     same = marked["doc_id"].eqNullSafe(kept["_kept_id"]) & (marked[_SHA] == kept["_kept_sha"])
     return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", _SHA]).select(*docs.columns)
@@ -59,7 +64,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens, a row per piece."""
     ship_package(spark)
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), remembered=_REMEMBERED)
 
 
 STAGES = [

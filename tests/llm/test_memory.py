@@ -76,3 +76,16 @@ def test_a_worker_keeps_few_pieces_after_packing(spark, monkeypatch):
     assert len(encoder._known) == 1_000  # a few are kept for the next task
     monkeypatch.setattr(packing, "KEPT_PIECES", 2_000)
     assert packed(3_000) and not encoder._known
+
+
+def test_a_pass_may_remember_fewer_pieces():
+    encoder = common.library_encoder(public_tokenizers.path("byte_bpe_50k.json"), spaces=True)
+    texts = [" ".join(f"q{i}x{j}" for j in range(40)) for i in range(1_024)]
+    encoder.forget()
+    encoder.remembered = None
+    whole = list(encoder(texts))
+    assert len(encoder._known) == 40 * 1_024
+    encoder.forget()
+    encoder.remembered = 5_000
+    assert list(encoder(texts)) == whole and len(encoder._known) == 40 * 256
+    encoder.remembered = None

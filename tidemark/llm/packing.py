@@ -28,7 +28,7 @@ _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigi
 
 
 def cut_documents(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: str = "doc_id", text_col: str = "text",
-                  with_ids: bool = False) -> DataFrame:
+                  with_ids: bool = False, remembered: int | None = None) -> DataFrame:
     """Rows per piece: doc_id, piece, start, length, ids_crc32, task, nth, and ``ids`` if asked for.
 
     Pieces of a longer document are full but for the first. A null or empty text is one piece of the end id.
@@ -36,6 +36,7 @@ def cut_documents(docs: DataFrame, path: str, capacity: int, end_id: int, id_col
     def cut(batches):
         encode, task, seen = library_encoder(path, spaces=True), TaskContext.get().partitionId(), Counter()
         end = np.array([end_id], "<u4").tobytes()
+        encode.remembered = remembered
         for b in (part for whole in batches for part in slices(whole)):
             doc, piece, starts, lengths, crcs, nth, kept = [], [], [], [], [], [], []
             for doc_id, ids in zip(b["doc_id"].to_pylist(), encode(b["text"].to_pylist())):
@@ -81,13 +82,14 @@ def plan_slots(plan: Plan) -> list[tuple]:
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
-                   with_ids: bool = False) -> DataFrame:
+                   with_ids: bool = False, remembered: int | None = None) -> DataFrame:
     """Rows per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids).
 
-    Every row of ``docs`` is packed, repeated rows and null ids too. No documents, no rows.
+    Every row of ``docs`` is packed, repeated rows and null ids too. No documents, no rows. A worker remembers ``remembered`` pieces of
+    texts (else REMEMBERED_PIECES): fewer take less memory and more time.
     """
     with text_batches(docs.sparkSession):
-        pieces = materialise(cut_documents(docs, path, capacity, end_id, id_col, text_col, with_ids), "pieces")
+        pieces = materialise(cut_documents(docs, path, capacity, end_id, id_col, text_col, with_ids, remembered), "pieces")
     # A row per task and length; tasks are as many as input splits, which bounds a window over one length.
     counts = pieces.groupBy("task", "length").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
