@@ -81,3 +81,24 @@ def test_a_stopped_search_goes_on(spark, tmp_path, monkeypatch):
     assert tr.tune(spark, data, cfg, str(tmp_path)) == best and len(asked) == asked_before
     trials = spark.read.option("header", True).csv(f"{tmp_path}/tuning/trials.csv")
     assert sorted(int(r.number) for r in trials.collect()) == list(range(30))
+
+
+def test_search_queries_search_the_declared_space(spark, monkeypatch):
+    """m8 makes 30 trials in the declared ranges; m9 tunes by as many and trains three candidates, the tuned one with the best parameters found."""
+    asked, draw = [], m.boosted_trees
+
+    def trees(params, seed):
+        asked.append(params)
+        return draw({**params, "n_estimators": 1, "max_depth": 1}, seed)  # what is searched is the declared space; what is fitted stays small
+
+    monkeypatch.setattr(m, "boosted_trees", trees)
+    space = m.SEARCH_SPACE["boosted_shallow"]
+    within = lambda p: all(low <= p[k] <= high for k, (_, low, high) in space.items())
+    assert learning.m8_random_search(spark, SF).count() == 30 == len(asked) and all(map(within, asked))
+    assert {k for k in space if len({p[k] for p in asked}) > 3} == set(space)
+    searched = {tuple(p[k] for k in space) for p in asked}
+    asked.clear()
+    rows = learning.m9_tuned_champion(spark, SF).collect()
+    assert {r.model_name for r in rows} == {"logistic_regression", "boosted_shallow", "boosted_leafy"}
+    assert {tuple(p[k] for k in space) for p in asked[:30]} == searched
+    assert tuple(asked[30][k] for k in space) in searched
